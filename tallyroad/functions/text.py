@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 # Trimming strips every character up to U+0020 at both ends.
@@ -44,3 +46,12 @@ def strict_int(value: Column) -> Column:
 def clamp_int(value: Column) -> Column:
     """Narrow a long to int; values out of range stop at the int limits."""
     return F.greatest(F.least(value, F.lit(2**31 - 1)), F.lit(-(2**31))).cast("int")
+
+
+def rarely(value: Column, expression: Callable[[Column], Column]) -> Column:
+    """``expression(value)``, kept out of the generated code of its stage.
+
+    A lambda of a higher-order function is interpreted. That costs little for
+    the few rows that need it, and keeps the code of all other rows under the
+    size (8,000 bytes a method) beyond which the JVM stops compiling it."""
+    return F.get(F.transform(F.array(value), expression), F.lit(0))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from tallyroad.functions.text import rarely
+
 # Label and message time formats.
 SECOND_FORMAT = "yyyy-MM-dd HH:mm:ss"
 MINUTE_LABEL = "yyyy-MM-dd_HH-mm"
@@ -54,7 +56,7 @@ def parse_timestamp(text: Column) -> Column:
     becomes the epoch, so its row is kept and lands in the 1970 bucket."""
     return F.coalesce(
         F.try_to_timestamp(text, F.lit(SECOND_FORMAT)),
-        _lenient_timestamp(text),
+        rarely(text, _lenient_timestamp),
         F.timestamp_seconds(F.lit(0)),
     )
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyroad.functions.jsonio import read_json
-from tallyroad.functions.text import is_blank, strict_int, trim_controls
+from tallyroad.functions.text import is_blank, rarely, strict_int, trim_controls
 from tallyroad.functions import status, timebucket
 
 # The table whose changes are counted, the change type kept, and
@@ -51,8 +51,11 @@ def classify(
 ) -> DataFrame:
     """Add ``outcome``, ``reason`` and ``rec`` to the input columns."""
     kept = messages.columns
+    value = F.col(value_col)
+    # Text from brace to brace needs no trimming, which looks at every character.
+    tight = value.startswith("{") & value.endswith("}")
     parsed = messages.withColumn(
-        "_text", F.when(~is_blank(F.col(value_col)), trim_controls(F.col(value_col)))
+        "_text", F.when(tight, value).when(~is_blank(value), trim_controls(value))
     )
     parsed = parsed.withColumn("_m", read_json(F.col("_text"), _NARROW))
     parsed = parsed.withColumn("_usual", _is_usual(source_table))
@@ -66,12 +69,18 @@ def classify(
     result = (
         F.when(F.col("_text").isNull(), _result("blank"))
         .when(F.col("_usual"), _usual_result(source_table))
-        .otherwise(_wide_result(source_table))
+        .otherwise(
+            rarely(
+                F.struct("_top", "_data", "_values"), lambda w: _wide_result(w, source_table)
+            )
+        )
     )
     # A generated column stops filters on the result from being pushed below
     # it, which would parse every text a second time.
-    return parsed.select(*kept, F.explode(F.array(result)).alias("_r")).select(
-        *kept, "_r.outcome", "_r.reason", "_r.rec"
+    return (
+        parsed.select(*kept, result.alias("_result"))
+        .select(*kept, F.explode(F.array("_result")).alias("_r"))
+        .select(*kept, "_r.outcome", "_r.reason", "_r.rec")
     )
 
 
@@ -186,9 +195,9 @@ def _usual_result(source_table: str) -> Column:
     )
 
 
-def _wide_result(source_table: str) -> Column:
+def _wide_result(wide: Column, source_table: str) -> Column:
     """The checks in the order that decides which of several faults counts."""
-    top, data, values = F.col("_top"), F.col("_data"), F.col("_values")
+    top, data, values = wide["_top"], wide["_data"], wide["_values"]
 
     def missing(m: Column, key: str) -> Column:
         return ~F.map_contains_key(m, key)

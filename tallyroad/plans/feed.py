@@ -19,7 +19,7 @@ is_del             1 when event_id % 11 = 0, else 0
 complete_time      null
 =================  =========================================================
 
-The first fault rule that fits an event changes its message (``FAULTS``).
+The first fault rule that fits an event changes its text (``FAULTS``).
 """
 
 from __future__ import annotations
@@ -48,6 +48,25 @@ FAULTS = {
     167: "no_is_del",
     173: "null_type",
 }
+
+# Fault -> the pattern it replaces in the text, and by what.
+EDITS = {
+    "broken_text": (r"^", "["),
+    "null_msgid": (r'"msgid":\d+', '"msgid":null'),
+    "no_values": (r',"values":\{[^}]*\}', ""),
+    "null_values": (r'"values":\{[^}]*\}', '"values":null'),
+    "null_driver": (r'"driver_id":\d+', '"driver_id":null'),
+    "no_driver": (r'"driver_id":\d+,', ""),
+    "empty_is_del": (r'"is_del":\d+', '"is_del":""'),
+    "no_timestamp": (r'"timestamp":"[^"]*",', ""),
+    "null_timestamp": (r'"timestamp":"[^"]*"', '"timestamp":null'),
+    "text_price": (r'"customer_price":\d+', '"customer_price":"x"'),
+    "empty_adc": (r'"adc_id":\d+', '"adc_id":""'),
+    "blank_line": (r"^.*$", " \t "),
+    "padded": (r"^(.*)$", " \t$1\n "),
+    "no_is_del": (r'"is_del":\d+,', ""),
+    "null_type": (r'"type":"[A-Z]*"', '"type":null'),
+}
 TOPIC = "trans_event"
 TOPIC_PARTITIONS = 16
 
@@ -65,100 +84,75 @@ def batch_of(batches: int) -> Column:
 
 def messages(spark: SparkSession, sf_dir: str, batches: int = 8) -> DataFrame:
     """``event_id, batch_id, topic, partition, offset, value``."""
-    ev = events(spark, sf_dir)
-    return ev.select(
+    placed = with_texts(events(spark, sf_dir))
+    return placed.select(
         "event_id",
         batch_of(batches).alias("batch_id"),
         F.lit(TOPIC).alias("topic"),
         (F.col("event_id") % TOPIC_PARTITIONS).cast("int").alias("partition"),
         F.floor(F.col("event_id") / TOPIC_PARTITIONS).alias("offset"),
-        message_text().alias("value"),
+        "value",
     )
 
 
-def clean_text() -> Column:
-    """The message of an event before any fault."""
-    return write_json(_envelope(_values()))
-
-
-def message_text() -> Column:
-    def envelope(values: Column | None, **change: Column | None) -> Column:
-        return write_json(_envelope(values, **change))
-
-    null = F.lit(None)
-    text = clean_text()
-    shapes = {
-        "broken_text": F.concat(F.lit("["), text),
-        "null_msgid": envelope(_values(), msgid=null.cast("bigint")),
-        "no_values": envelope(None),
-        "null_values": envelope(null.cast("int")),
-        "null_driver": envelope(_values(driver_id=null.cast("bigint"))),
-        "no_driver": envelope(_values(driver_id=None)),
-        "empty_is_del": envelope(_values(is_del=F.lit(""))),
-        "no_timestamp": envelope(_values(), timestamp=None),
-        "null_timestamp": envelope(_values(), timestamp=null.cast("string")),
-        "text_price": envelope(_values(customer_price=F.lit("x"))),
-        "empty_adc": envelope(_values(adc_id=F.lit(""))),
-        "blank_line": F.lit(" \t "),
-        "padded": F.concat(F.lit(" \t"), text, F.lit("\n ")),
-        "text_data": write_json(
-            F.struct(
-                F.col("event_id").alias("msgid"),
-                write_json(_data(_values())).alias("data"),
-            )
-        ),
-        "no_is_del": envelope(_values(is_del=None)),
-        "null_type": envelope(_values(), type=null.cast("string")),
-    }
-    result = None
-    for divisor, fault in FAULTS.items():
-        hit = F.col("event_id") % divisor == 0
-        result = (
-            F.when(hit, shapes[fault]) if result is None else result.when(hit, shapes[fault])
-        )
-    return result.otherwise(text)
+def with_texts(ev: DataFrame) -> DataFrame:
+    """Events with ``clean``, the message before any fault, and ``value``."""
+    id_ = F.col("event_id")
+    fault = None
+    for divisor, name in FAULTS.items():
+        hit = id_ % divisor == 0
+        fault = F.when(hit, name) if fault is None else fault.when(hit, name)
+    data = F.struct(
+        F.when(id_ % 17 == 0, "other").otherwise(SOURCE_TABLE).alias("table"),
+        F.when(id_ % 13 == 0, "INSERT").otherwise("UPDATE").alias("type"),
+        second_text().alias("timestamp"),
+        _values().alias("values"),
+    )
+    written = ev.withColumn("_data", write_json(data)).select(
+        *[c for c in ev.columns if c != "value"],
+        fault.alias("_fault"),
+        "_data",
+        F.concat(
+            F.lit('{"msgid":'), id_.cast("string"), F.lit(',"data":'), "_data", F.lit("}")
+        ).alias("clean"),
+    )
+    patterns = F.create_map(*[F.lit(x) for f, (find, _) in EDITS.items() for x in (f, find)])
+    changes = F.create_map(*[F.lit(x) for f, (_, by) in EDITS.items() for x in (f, by)])
+    quoted = F.concat(
+        F.lit('{"msgid":'),
+        id_.cast("string"),
+        F.lit(',"data":"'),
+        F.replace("_data", F.lit('"'), F.lit('\\"')),
+        F.lit('"}'),
+    )
+    value = (
+        F.when(F.col("_fault").isNull(), F.col("clean"))
+        .when(F.col("_fault") == "text_data", quoted)
+        .otherwise(F.regexp_replace("clean", patterns[F.col("_fault")], changes[F.col("_fault")]))
+    )
+    return written.withColumn("value", value).drop("_fault", "_data")
 
 
 def second_text() -> Column:
     return F.substring(F.col("ts").cast("string"), 1, 19)
 
 
-def _struct(parts: dict[str, Column], change: dict[str, Column | None]) -> Column:
-    merged = {**parts, **change}
-    return F.struct(*[v.alias(k) for k, v in merged.items() if v is not None])
-
-
-def _values(**change: Column | None) -> Column:
+def _values() -> Column:
     id_ = F.col("event_id")
-    error = F.element_at(F.array(*[F.lit(s) for s in (450, 500, 600, 950)]), (id_ % 4 + 1).cast("int"))
     kind = F.col("event_type")
-    parts = {
-        "driver_id": F.col("user_id"),
-        "adc_id": id_ % 7,
-        "status": F.when(kind == "signup", 400)
+    errors = F.array(*[F.lit(s) for s in (450, 500, 600, 950)])
+    code = (
+        F.when(kind == "signup", 400)
         .when(kind == "view", 800)
         .when(kind == "purchase", 900)
         .when(kind == "click", 100)
-        .otherwise(error),
-        "customer_price": F.floor("value"),
-        "is_del": F.when(id_ % 11 == 0, 1).otherwise(0),
-        "complete_time": F.lit(None).cast("string"),
-    }
-    return _struct(parts, change)
-
-
-def _data(values: Column | None, **change: Column | None) -> Column:
-    id_ = F.col("event_id")
-    parts = {
-        "table": F.when(id_ % 17 == 0, "other").otherwise(SOURCE_TABLE),
-        "type": F.when(id_ % 13 == 0, "INSERT").otherwise("UPDATE"),
-        "timestamp": second_text(),
-    }
-    if values is not None:
-        parts["values"] = values
-    return _struct(parts, change)
-
-
-def _envelope(values: Column | None, **change: Column | None) -> Column:
-    msgid = change.pop("msgid", F.col("event_id"))
-    return F.struct(msgid.alias("msgid"), _data(values, **change).alias("data"))
+        .otherwise(F.get(errors, (id_ % 4).cast("int")))
+    )
+    return F.struct(
+        F.col("user_id").alias("driver_id"),
+        (id_ % 7).alias("adc_id"),
+        code.alias("status"),
+        F.floor("value").alias("customer_price"),
+        F.when(id_ % 11 == 0, 1).otherwise(0).alias("is_del"),
+        F.lit(None).cast("string").alias("complete_time"),
+    )

@@ -88,8 +88,8 @@ def json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def split_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts of two messages each, split at ``@`` and parsed."""
-    pairs = feed.events(spark, sf_dir).select(
-        F.concat_ws("@", feed.clean_text(), feed.message_text()).alias("value")
+    pairs = feed.with_texts(feed.events(spark, sf_dir)).select(
+        F.concat_ws("@", "clean", "value").alias("value")
     )
     recs = parse.records(parse.classify(sources.split_texts(pairs)))
     return recs.groupBy("event_type", "status").agg(F.count("*").alias("n_records"))
