@@ -11,7 +11,7 @@ import json
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyroad.functions import timebucket
@@ -49,18 +49,20 @@ def metrics_job(
     run = _Run(checkpoint, root, clock)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        now = run.time(batch, batch_id)
-        if archive is not None:
-            write_archive(batch, archive_path(*archive, now, run.folder(batch, batch_id)))
-        seq = run.sequence(batch, batch_id)
-        rows = measured_batch(batch, source_table, width).persist(StorageLevel.MEMORY_AND_DISK)
+        # The source is read and parsed once, for all outputs of the batch.
+        rows = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            now = run.time(rows, batch_id)
+            if archive is not None:
+                write_archive(rows, archive_path(*archive, now, run.folder(rows, batch_id)))
+            seq = run.sequence(rows, batch_id)
             write_metrics(rows, root, seq, now, key_life)
-            _write_ledger(rows, root, seq, run.query_id(batch), batch_id, consumer)
+            _write_ledger(rows, root, seq, run.query_id(rows), batch_id, consumer)
         finally:
             rows.unpersist()
 
-    return _start(messages, process, checkpoint, interval)
+    rows = measured(_timed(messages), source_table, width, keep_text=archive is not None)
+    return _start(rows, process, checkpoint, interval)
 
 
 def archive_job(
@@ -78,7 +80,7 @@ def archive_job(
         now = run.time(batch, batch_id)
         write_archive(batch, archive_path(archive_root, topic, now, run.folder(batch, batch_id)))
 
-    return _start(messages, process, checkpoint, interval)
+    return _start(_timed(messages), process, checkpoint, interval)
 
 
 def offset_ranges(query: StreamingQuery) -> list[dict]:
@@ -102,18 +104,21 @@ def stop_after_batch(query: StreamingQuery, poll_seconds: float = 0.1) -> None:
     query.stop()
 
 
-def measured_batch(
-    batch: DataFrame,
+def measured(
+    messages: DataFrame,
     source_table: str = parse.SOURCE_TABLE,
     width: int = timebucket.TEN_MINUTES,
+    keep_text: bool = False,
 ) -> DataFrame:
-    """Everything the tables need from a batch, in one pass over it: measures
-    of rows that count, text and reason of rejected ones, offsets of all."""
+    """Everything the tables need from messages: measures of rows that count,
+    text and reason of rejected ones, offsets of all."""
     rows = parse.measure_rows(
-        parse.classify(batch, source_table=source_table),
+        parse.classify(messages, source_table=source_table),
         width,
-        keep=("topic", "partition", "offset", "value"),
+        keep=("topic", "partition", "offset", BATCH_TIME, "value"),
     )
+    if keep_text:
+        return rows
     return rows.withColumn("value", F.when(F.col("outcome") == "quarantined", F.col("value")))
 
 
@@ -136,10 +141,12 @@ def write_metrics(
         written_at.alias("written_at"),
         F.to_date("run_hour").alias("run_day"),
     )
-    tables.write_batch(writes, root, "hour_writes", seq, ("run_day",))
+    # AQE merges the rows of small days into few files and splits a hot day.
+    spread = writes.hint("rebalance", "run_day")
+    tables.write_batch(spread, root, "hour_writes", seq, ("run_day",))
 
     state = tables.read(spark, root, "hour_writes").where(F.col("batch_seq") <= seq)
-    mine = tables.read(spark, root, "hour_writes").where(F.col("batch_seq") == seq)
+    mine = state.where(F.col("batch_seq") == seq)
     days = [r[0] for r in mine.select("run_day").distinct().limit(PRUNED_DAYS + 1).collect()]
     if len(days) <= PRUNED_DAYS:
         state = state.where(F.col("run_day").isin(days))
@@ -192,12 +199,13 @@ class _Run:
         A query's first batch takes the number after the last one in the
         ledger. Later starts of that query find it in its ledger rows."""
         if self._start is None:
-            spark = batch.sparkSession
-            ledger = tables.read(spark, self.root, "ledger")
-            mine = ledger.where(F.col("query_id") == self.query_id(batch))
-            known = mine.agg(F.min(F.col("batch_seq") - F.col("batch_id"))).first()[0]
+            ledger = tables.read(batch.sparkSession, self.root, "ledger")
+            mine = F.col("query_id") == self.query_id(batch)
+            known, newest = ledger.agg(
+                F.min(F.when(mine, F.col("batch_seq") - F.col("batch_id"))), F.max("batch_seq")
+            ).first()
             if known is None:
-                known = tables.last_committed(spark, self.root) + 1 - batch_id
+                known = (-1 if newest is None else newest) + 1 - batch_id
             self._start = known
         return self._start + batch_id
 
@@ -210,22 +218,28 @@ def _write_ledger(
     spark = rows.sparkSession
     known = rows.where(F.col("partition").isNotNull() & F.col("offset").isNotNull())
     ranges = offsets.ledger_rows(known, consumer, F.lit(batch_id))
-    marker = spark.createDataFrame(
-        [Row(topic="", consumer=consumer, partition=-1, offset=-1, batch_id=batch_id)],
-        offsets.LEDGER_SCHEMA,
+    marker = spark.range(1).select(
+        F.lit("").alias("topic"),
+        F.lit(consumer).alias("consumer"),
+        F.lit(-1).alias("partition"),
+        F.lit(-1).cast("bigint").alias("offset"),
+        F.lit(batch_id).cast("bigint").alias("batch_id"),
     )
     ledger = ranges.unionByName(marker).withColumn("query_id", F.lit(query_id))
     tables.write_batch(ledger.coalesce(1), root, "ledger", seq)
 
 
+def _timed(messages: DataFrame) -> DataFrame:
+    return messages.withColumn(BATCH_TIME, F.current_timestamp())
+
+
 def _start(
-    messages: DataFrame,
+    rows: DataFrame,
     process: Callable[[DataFrame, int], None],
     checkpoint: str,
     interval: str | None,
 ) -> StreamingQuery:
-    timed = messages.withColumn(BATCH_TIME, F.current_timestamp())
-    writer = timed.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    writer = rows.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     if interval is None:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=interval).start()

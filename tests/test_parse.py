@@ -1,0 +1,160 @@
+"""Message cases by hand: what becomes of each, and the record it gives."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyroad.functions import text
+from tallyroad.operators import parse
+from tallyroad.sources import messages
+
+VALUES = {
+    "driver_id": 5,
+    "adc_id": 9,
+    "status": 400,
+    "customer_price": 10,
+    "is_del": 0,
+    "complete_time": None,
+}
+DATA = {
+    "table": "yn_trans_event",
+    "type": "UPDATE",
+    "timestamp": "2017-06-19 01:00:03",
+    "values": VALUES,
+}
+GONE = object()
+
+
+def changed(base, change):
+    return {k: v for k, v in {**base, **change}.items() if v is not GONE}
+
+
+def message(values=None, data=None, **top):
+    inner = changed(DATA, data or {})
+    if values is not None:
+        inner["values"] = changed(VALUES, values)
+    return json.dumps(changed({"msgid": 1, "data": inner}, top))
+
+
+def outcomes(spark, texts):
+    rows = parse.measure_rows(
+        parse.classify(messages.from_memory(spark, texts)), keep=("value", "rec")
+    ).collect()
+    by_text = {r["value"]: r for r in rows}
+    return [by_text[t] for t in texts]
+
+
+# message, outcome, reason, some fields of the record
+CASES = {
+    "unchanged": (message(), "counted", None, {"msg_id": "1", "complete_time": "0", "status": "400"}),
+    "white space around": (" \t" + message() + "\r\n ", "counted", None, {"msg_id": "1"}),
+    "control characters around": ("\x01" + message() + "\x02", "counted", None, {"msg_id": "1"}),
+    "null": (None, "blank", None, None),
+    "empty": ("", "blank", None, None),
+    "blank": (" \t\n", "blank", None, None),
+    "wide blanks": (" 　", "blank", None, None),
+    "only control characters": ("\x01\x02", "quarantined", "not_an_object", None),
+    "no JSON": ("not json", "quarantined", "not_an_object", None),
+    "array": ("[1]", "quarantined", "not_an_object", None),
+    "array of messages": ("[" + message() + "]", "quarantined", "not_an_object", None),
+    "cut off": (message()[:60], "quarantined", "not_an_object", None),
+    "single quotes": ("{'msgid':1}", "quarantined", "not_an_object", None),
+    "text after the brace": (message() + " and more", "counted", None, {"msg_id": "1"}),
+    "no msgid": (message(msgid=GONE), "counted", None, {"msg_id": "0"}),
+    "null msgid": (message(msgid=None), "quarantined", "null_msgid", None),
+    "null msgid of another table": (
+        message(msgid=None, data={"table": "other"}), "quarantined", "null_msgid", None),
+    "no data": (message(msgid=2, data={}).replace('"data"', '"date"'), "ignored", None, None),
+    "null data": ('{"msgid":1,"data":null}', "quarantined", "data_not_an_object", None),
+    "number data": ('{"msgid":1,"data":7}', "quarantined", "data_not_an_object", None),
+    "array data": ('{"msgid":1,"data":[' + json.dumps(DATA) + "]}", "quarantined", "data_not_an_object", None),
+    "text data": (
+        json.dumps({"msgid": 1, "data": json.dumps(DATA)}), "quarantined", "data_not_an_object", None),
+    "other table": (message(data={"table": "other"}), "ignored", None, None),
+    "no table": (message(data={"table": GONE}), "ignored", None, None),
+    "null table": (message(data={"table": None}), "ignored", None, None),
+    "other table, null type": (message(data={"table": "other", "type": None}), "ignored", None, None),
+    "no type": (message(data={"type": GONE}), "filtered", None, {"event_type": "-"}),
+    "insert": (message(data={"type": "INSERT"}), "filtered", None, {"event_type": "INSERT"}),
+    "lower case": (message(data={"type": "update"}), "filtered", None, {"event_type": "update"}),
+    "null type": (message(data={"type": None}), "quarantined", "null_type", None),
+    "null timestamp": (message(data={"timestamp": None}), "quarantined", "null_timestamp", None),
+    "no timestamp": (message(data={"timestamp": GONE}), "counted", None, {"timestamp": "0"}),
+    "no values": (message(data={"values": GONE}), "ignored", None, None),
+    "null values": (message(data={"values": None}), "quarantined", "values_not_an_object", None),
+    "number values": (message(data={"values": 7}), "quarantined", "values_not_an_object", None),
+    "text values": (
+        message(data={"values": json.dumps(VALUES)}), "quarantined", "values_not_an_object", None),
+    "no driver": (message({"driver_id": GONE}), "counted", None, {"driver_id": "0"}),
+    "null driver": (message({"driver_id": None}), "counted", None, {"driver_id": ""}),
+    "empty driver": (message({"driver_id": ""}), "counted", None, {"driver_id": ""}),
+    "no complete time": (message({"complete_time": GONE}), "counted", None, {"complete_time": "0"}),
+    "empty complete time": (message({"complete_time": ""}), "counted", None, {"complete_time": "0"}),
+    "complete time": (message({"complete_time": "x"}), "counted", None, {"complete_time": "x"}),
+    "no is_del": (message({"is_del": GONE}), "counted", None, {"is_del": "0"}),
+    "text is_del": (message({"is_del": "0"}), "counted", None, {"is_del": "0"}),
+    "null is_del": (message({"is_del": None}), "filtered", None, {"is_del": ""}),
+    "empty is_del": (message({"is_del": ""}), "filtered", None, {"is_del": ""}),
+    "decimal is_del": (message({"is_del": 0.0}), "filtered", None, {"is_del": "0.0"}),
+    "deleted": (message({"is_del": 1}), "filtered", None, {"is_del": "1"}),
+    "null site": (message({"adc_id": None}), "quarantined", "bad_adc_id", {"adc_id": ""}),
+    "no site": (message({"adc_id": GONE}), "counted", None, {"adc_id": "0"}),
+    "text site": (message({"adc_id": "x"}), "quarantined", "bad_adc_id", {"adc_id": "x"}),
+    "site with blank": (message({"adc_id": "9 "}), "quarantined", "bad_adc_id", {"adc_id": "9 "}),
+    "huge site": (message({"adc_id": 3000000000}), "quarantined", "bad_adc_id", None),
+    "bad site of a deleted row": (message({"adc_id": "x", "is_del": 1}), "filtered", None, None),
+    "price kept as text": (
+        message({"customer_price": 22500.0}), "counted", None, {"event_price": "22500.0"}),
+    "decimal price counted": (
+        message({"status": 900, "customer_price": "1.5"}), "quarantined", "bad_price", None),
+    "empty price counted": (
+        message({"status": 900, "customer_price": ""}), "quarantined", "bad_price", None),
+    "bad price not counted": (message({"status": 800, "customer_price": "x"}), "counted", None, None),
+    "more fields": (
+        message({"car_num": "A"}, {"database": "d", "before": VALUES}), "counted", None, {"adc_id": "9"}),
+}
+
+
+@pytest.fixture(scope="module")
+def results(spark):
+    return dict(zip(CASES, outcomes(spark, [c[0] for c in CASES.values()])))
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_case(results, name):
+    _, outcome, reason, fields = CASES[name]
+    row = results[name]
+    assert (row["outcome"], row["reason"]) == (outcome, reason)
+    if fields is None:
+        assert outcome in ("counted", "quarantined", "filtered") or row["rec"] is None
+    else:
+        record = row["rec"].asDict()
+        assert {k: record[k] for k in fields} == fields
+
+
+def test_counted_agrees_with_measure_rows(spark):
+    texts = messages.from_memory(spark, [c[0] for c in CASES.values()])
+    classified = parse.classify(texts)
+    direct = parse.counted(classified)
+    marked = parse.measure_rows(classified).where("outcome = 'counted'").select(*direct.columns)
+    assert direct.exceptAll(marked).count() == marked.exceptAll(direct).count() == 0
+    assert direct.count() > 10
+
+
+def test_other_source_table(spark):
+    texts = messages.from_memory(spark, [message(), message(data={"table": "mine"})])
+    recs = parse.records(parse.classify(texts, source_table="mine"))
+    assert recs.count() == 1
+
+
+def test_split_texts(spark):
+    texts = messages.from_memory(spark, ["a@b@@c", "", None])
+    assert [r[0] for r in messages.split_texts(texts).collect()] == ["a", "b", "", "c", ""]
+
+
+def test_strict_int(spark):
+    given = ["1", "-1", "+1", "007", "", " 1", "1 ", "1.0", "x", "2147483648", "1L"]
+    df = spark.createDataFrame([(g,) for g in given], "t string")
+    got = [r[0] for r in df.select(text.strict_int(F.col("t"))).collect()]
+    assert got == [1, -1, 1, 7, None, None, None, None, None, None, None]
