@@ -1,0 +1,135 @@
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyroad.functions import status
+from tallyroad.operators import hourly
+
+HOUR = dt.datetime(2024, 1, 1, 5)
+START = dt.datetime(2024, 1, 2)
+
+
+def writes(spark, data):
+    """``(adc, metric, driver, price, hours after the start)``"""
+    rows = [
+        (HOUR, adc, metric, driver, price, START + dt.timedelta(hours=hours))
+        for adc, metric, driver, price, hours in data
+    ]
+    return spark.createDataFrame(
+        rows,
+        "run_hour timestamp, adc_id string, metric string, driver_id string, price long, "
+        "written_at timestamp",
+    )
+
+
+def read(spark, data, as_of, life=24 * 3600):
+    at = F.lit(START + dt.timedelta(hours=as_of))
+    return {r["adc_id"]: r for r in hourly.hourly_with_expiry(writes(spark, data), at, life).collect()}
+
+
+def store(data, as_of, life_hours=24):
+    """A key-value store with expiring keys, write by write."""
+    sets, totals, last = {}, {}, {}
+    for adc, metric, driver, price, hours in sorted(data, key=lambda w: w[4]):
+        if metric is None:
+            continue
+        key = (adc, metric)
+        if key in last and hours - last[key] > life_hours:
+            sets.pop(key, None)
+            totals.pop(key, None)
+        last[key] = hours
+        sets.setdefault(key, set()).add(driver)
+        if price is not None:
+            totals[key] = totals.get(key, 0) + price
+    for key, hours in last.items():
+        if as_of - hours > life_hours:
+            sets.pop(key, None)
+            totals.pop(key, None)
+    return {
+        adc: (
+            [len(sets.get((adc, m), ())) for m in status.METRICS],
+            totals.get((adc, status.PRICED_METRIC)),
+        )
+        for adc in {w[0] for w in data}
+    }
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_expiry_equals_a_key_value_store(spark, seed):
+    rng = random.Random(seed)
+    data = set()
+    for _ in range(600):
+        metric = rng.choice([*status.METRICS, None])
+        driver = None if metric is None else f"d{rng.randrange(6)}"
+        # The first site is hot; batches come every seven hours.
+        adc = "0" if rng.random() < 0.34 else str(rng.randrange(60))
+        data.add((adc, metric, driver, 7 * rng.randrange(12)))
+    data = [
+        (a, m, d, rng.randrange(50) if m == status.PRICED_METRIC else None, h)
+        for a, m, d, h in sorted(data, key=str)
+    ]
+    for as_of in (77, 90, 101, 102):
+        got = {
+            adc: ([r[m] for m in status.METRICS], r["event_price"])
+            for adc, r in read(spark, data, as_of).items()
+        }
+        assert got == store(data, as_of)
+
+
+def test_set_restarts_after_a_long_gap(spark):
+    data = [("9", "sign_driver", "a", None, 0), ("9", "sign_driver", "b", None, 25)]
+    assert read(spark, data, 25)["9"]["sign_driver"] == 1
+
+
+def test_any_write_renews_the_whole_set(spark):
+    data = [("9", "sign_driver", "a", None, 0), ("9", "sign_driver", "b", None, 20),
+            ("9", "sign_driver", "b", None, 40)]
+    assert read(spark, data, 64)["9"]["sign_driver"] == 2
+    assert read(spark, data, 64.5)["9"]["sign_driver"] == 0
+
+
+def test_exactly_the_life_is_alive(spark):
+    data = [("9", "sign_driver", "a", None, 0), ("9", "sign_driver", "b", None, 24)]
+    assert read(spark, data, 48)["9"]["sign_driver"] == 2
+
+
+def test_expired_total_is_null(spark):
+    data = [("9", "complete_driver", "a", 5, 0), ("9", "sign_driver", "a", None, 30)]
+    row = read(spark, data, 30)["9"]
+    assert (row["complete_driver"], row["event_price"], row["sign_driver"]) == (0, None, 1)
+
+
+def test_no_expiry_equals_an_endless_life(spark):
+    data = [(str(i % 3), m, f"d{i % 5}", i if m == status.PRICED_METRIC else None, i)
+            for i in range(200) for m in status.METRICS]
+    plain = hourly.hourly(writes(spark, data))
+    endless = hourly.hourly_with_expiry(writes(spark, data), F.lit(START), 10**9)
+    assert plain.exceptAll(endless.select(plain.columns)).count() == 0
+
+
+def test_hour_without_priced_message_has_no_total(spark):
+    row = hourly.hourly(writes(spark, [("9", None, None, None, 0)])).first()
+    assert row["event_price"] is None
+    assert [row[m] for m in status.METRICS] == [0, 0, 0, 0]
+
+
+def test_new_members(spark):
+    old = writes(spark, [("9", "sign_driver", "a", None, 0)])
+    new = writes(spark, [("9", "sign_driver", "a", None, 1), ("9", "sign_driver", "b", None, 1),
+                         ("9", "run_driver", "a", None, 1), ("9", None, None, None, 1)])
+    added = hourly.new_members(hourly.members(old), new)
+    assert {(r["metric"], r["driver_id"]) for r in added.collect()} == {
+        ("sign_driver", "b"), ("run_driver", "a")}
+
+
+def test_touched_keys_include_those_without_metric(spark):
+    data = [("9", None, None, None, 0), ("8", "sign_driver", "a", None, 0)]
+    assert hourly.touched_keys(writes(spark, data)).count() == 2
+
+
+def test_two_spellings_of_a_site_leave_one_row(spark):
+    data = [("9", "sign_driver", d, None, 0) for d in "abc"] + [("09", "sign_driver", "a", None, 0)]
+    stored = hourly.stored_rows(hourly.hourly(writes(spark, data))).collect()
+    assert [(r["adc_id"], r["sign_driver"]) for r in stored] == [(9, 3)]
