@@ -14,10 +14,12 @@ parses that tell those cases apart.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyroad.functions.jsonio import read_json
-from tallyroad.functions.text import is_blank, rarely, strict_int, trim_controls
+from tallyroad.functions.text import is_blank, strict_int, trim_controls
 from tallyroad.functions import status, timebucket
 
 # The table whose changes are counted, the change type kept, and
@@ -46,6 +48,79 @@ _DATA = "data MAP<STRING, STRING>"
 _VALUES = "data STRUCT<values MAP<STRING, STRING>>"
 
 
+def _struct_sql(outcome: str, reason: str | None = None, rec: str | None = None) -> str:
+    if rec is None:
+        rec = "CAST(NULL AS STRUCT<" + ", ".join(f"`{f}`: STRING" for f in RECORD_FIELDS) + ">)"
+    reason = "CAST(NULL AS STRING)" if reason is None else f"'{reason}'"
+    return f"named_struct('outcome', '{outcome}', 'reason', {reason}, 'rec', {rec})"
+
+
+def _record_sql(msg_id: str, timestamp: str, event_type: str, field: Callable[[str], str]) -> str:
+    """A record from the SQL of its parts; ``field`` gives that of a field of
+    ``values``. Null and empty completion times read as ``0``."""
+    parts = {"msg_id": msg_id, "timestamp": timestamp, "event_type": event_type}
+    for name, source in VALUE_FIELDS.items():
+        parts[name] = field(source)
+    parts["complete_time"] = f"coalesce(nullif({parts['complete_time']}, ''), '0')"
+    pairs = ", ".join(f"'{name}', {sql}" for name, sql in parts.items())
+    return _struct_sql("record", rec=f"named_struct({pairs})")
+
+
+# The text again when the narrow parse cannot decide a message.
+_NEEDS_WIDE = (
+    "CASE WHEN _text IS NOT NULL AND NOT coalesce(startswith(_text, '{')"
+    " AND _m.msgid IS NOT NULL AND _m.data.`table` IS NOT NULL AND (_m.data.`table` <> _table OR ("
+    "_m.data.`timestamp` IS NOT NULL AND _m.data.type IS NOT NULL AND "
+    + " AND ".join(
+        f"_m.data.`values`.{source} IS NOT NULL"
+        for name, source in VALUE_FIELDS.items()
+        if name != "complete_time"
+    )
+    + ")), false) THEN _text END"
+)
+
+_USUAL_RECORD = _record_sql(
+    "_m.msgid", "_m.data.`timestamp`", "_m.data.type", lambda f: f"_m.data.`values`.{f}"
+)
+
+# A missing field reads as a default, a null one as empty text.
+_WIDE_RECORD = _record_sql(
+    "IF(map_contains_key(w._top, 'msgid'), w._top['msgid'], '0')",
+    "IF(map_contains_key(w._data, 'timestamp'), w._data['timestamp'], '0')",
+    "IF(map_contains_key(w._data, 'type'), w._data['type'], '-')",
+    lambda f: f"coalesce(IF(map_contains_key(w._values, '{f}'), w._values['{f}'], '0'), '')",
+)
+
+# The checks come in the order that decides which of several faults counts.
+# They run inside a lambda, which is interpreted: that costs little for the few
+# messages that need it and keeps the compiled code of all others small (the
+# JVM does not compile methods over 8,000 bytes).
+_RESULT = f"""
+    CASE
+        WHEN _text IS NULL THEN {_struct_sql("blank")}
+        WHEN _wide IS NULL AND _m.data.`table` = _table THEN {_USUAL_RECORD}
+        WHEN _wide IS NULL THEN {_struct_sql("ignored")}
+        ELSE transform(array(named_struct(
+            '_top', _top, '_data', _data, '_values', _values, '_table', _table)), w ->
+            CASE
+                WHEN w._top IS NULL THEN {_struct_sql("quarantined", "not_an_object")}
+                WHEN map_contains_key(w._top, 'msgid') AND w._top['msgid'] IS NULL
+                    THEN {_struct_sql("quarantined", "null_msgid")}
+                WHEN NOT map_contains_key(w._top, 'data') THEN {_struct_sql("ignored")}
+                WHEN w._data IS NULL THEN {_struct_sql("quarantined", "data_not_an_object")}
+                WHEN NOT (w._data['table'] <=> w._table) THEN {_struct_sql("ignored")}
+                WHEN map_contains_key(w._data, 'timestamp') AND w._data['timestamp'] IS NULL
+                    THEN {_struct_sql("quarantined", "null_timestamp")}
+                WHEN map_contains_key(w._data, 'type') AND w._data['type'] IS NULL
+                    THEN {_struct_sql("quarantined", "null_type")}
+                WHEN NOT map_contains_key(w._data, 'values') THEN {_struct_sql("ignored")}
+                WHEN w._values IS NULL THEN {_struct_sql("quarantined", "values_not_an_object")}
+                ELSE {_WIDE_RECORD}
+            END)[0]
+    END
+"""
+
+
 def classify(
     messages: DataFrame, value_col: str = "value", source_table: str = SOURCE_TABLE
 ) -> DataFrame:
@@ -58,27 +133,20 @@ def classify(
         "_text", F.when(tight, value).when(~is_blank(value), trim_controls(value))
     )
     parsed = parsed.withColumn("_m", read_json(F.col("_text"), _NARROW))
-    parsed = parsed.withColumn("_usual", _is_usual(source_table))
-    wide = F.when(F.col("_text").isNotNull() & ~F.col("_usual"), F.col("_text"))
-    parsed = (
-        parsed.withColumn("_wide", wide)
-        .withColumn("_top", read_json(F.col("_wide"), _TOP))
-        .withColumn("_data", read_json(F.col("_wide"), _DATA)["data"])
-        .withColumn("_values", read_json(F.col("_wide"), _VALUES)["data"]["values"])
-    )
-    result = (
-        F.when(F.col("_text").isNull(), _result("blank"))
-        .when(F.col("_usual"), _usual_result(source_table))
-        .otherwise(
-            rarely(
-                F.struct("_top", "_data", "_values"), lambda w: _wide_result(w, source_table)
-            )
-        )
+    table = F.lit(source_table)
+    parsed = parsed.withColumns({"_table": table, "_wide": F.expr(_NEEDS_WIDE)})
+    wide = F.col("_wide")
+    parsed = parsed.withColumns(
+        {
+            "_top": read_json(wide, _TOP),
+            "_data": read_json(wide, _DATA)["data"],
+            "_values": read_json(wide, _VALUES)["data"]["values"],
+        }
     )
     # A generated column stops filters on the result from being pushed below
     # it, which would parse every text a second time.
     return (
-        parsed.select(*kept, result.alias("_result"))
+        parsed.select(*kept, F.expr(_RESULT).alias("_result"))
         .select(*kept, F.explode(F.array("_result")).alias("_r"))
         .select(*kept, "_r.outcome", "_r.reason", "_r.rec")
     )
@@ -168,86 +236,3 @@ def _measures(width: int) -> dict[str, Column]:
         "driver_id": F.when(metric.isNotNull(), F.col("rec.driver_id")),
         "price": F.when(priced, strict_int(F.col("rec.event_price"))),
     }
-
-
-def _is_usual(source_table: str) -> Column:
-    data = F.col("_m")["data"]
-    present = data["timestamp"].isNotNull() & data["type"].isNotNull()
-    for name, field in VALUE_FIELDS.items():
-        if name != "complete_time":
-            present = present & data["values"][field].isNotNull()
-    usual = (
-        F.col("_text").startswith("{")
-        & F.col("_m")["msgid"].isNotNull()
-        & data["table"].isNotNull()
-        & ((data["table"] != source_table) | present)
-    )
-    return F.coalesce(usual, F.lit(False))
-
-
-def _usual_result(source_table: str) -> Column:
-    data = F.col("_m")["data"]
-    fields = {name: data["values"][field] for name, field in VALUE_FIELDS.items()}
-    fields["complete_time"] = _or_zero(fields["complete_time"])
-    rec = _record(F.col("_m")["msgid"], data["timestamp"], data["type"], fields)
-    return F.when(data["table"] == source_table, _result("record", rec=rec)).otherwise(
-        _result("ignored")
-    )
-
-
-def _wide_result(wide: Column, source_table: str) -> Column:
-    """The checks in the order that decides which of several faults counts."""
-    top, data, values = wide["_top"], wide["_data"], wide["_values"]
-
-    def missing(m: Column, key: str) -> Column:
-        return ~F.map_contains_key(m, key)
-
-    def null(m: Column, key: str) -> Column:
-        return F.map_contains_key(m, key) & m[key].isNull()
-
-    def text(m: Column, key: str, if_missing: str) -> Column:
-        return F.when(missing(m, key), if_missing).otherwise(m[key])
-
-    fields = {
-        name: F.coalesce(text(values, field, "0"), F.lit("")) for name, field in VALUE_FIELDS.items()
-    }
-    fields["complete_time"] = _or_zero(fields["complete_time"])
-    rec = _record(
-        text(top, "msgid", "0"), text(data, "timestamp", "0"), text(data, "type", "-"), fields
-    )
-    return (
-        F.when(top.isNull(), _result("quarantined", "not_an_object"))
-        .when(null(top, "msgid"), _result("quarantined", "null_msgid"))
-        .when(missing(top, "data"), _result("ignored"))
-        .when(data.isNull(), _result("quarantined", "data_not_an_object"))
-        .when(~data["table"].eqNullSafe(source_table), _result("ignored"))
-        .when(null(data, "timestamp"), _result("quarantined", "null_timestamp"))
-        .when(null(data, "type"), _result("quarantined", "null_type"))
-        .when(missing(data, "values"), _result("ignored"))
-        .when(values.isNull(), _result("quarantined", "values_not_an_object"))
-        .otherwise(_result("record", rec=rec))
-    )
-
-
-def _or_zero(value: Column) -> Column:
-    return F.when(value.isNull() | (value == ""), "0").otherwise(value)
-
-
-def _record(msg_id: Column, timestamp: Column, event_type: Column, fields: dict) -> Column:
-    return F.struct(
-        msg_id.alias("msg_id"),
-        timestamp.alias("timestamp"),
-        event_type.alias("event_type"),
-        *[value.alias(name) for name, value in fields.items()],
-    )
-
-
-def _result(outcome: str, reason: str | None = None, rec: Column | None = None) -> Column:
-    if rec is None:
-        shape = ", ".join(f"{f}: string" for f in RECORD_FIELDS)
-        rec = F.lit(None).cast(f"struct<{shape}>")
-    return F.struct(
-        F.lit(outcome).alias("outcome"),
-        F.lit(reason).cast("string").alias("reason"),
-        rec.alias("rec"),
-    )
