@@ -71,11 +71,7 @@ def get(puts: DataFrame, row_key: str) -> DataFrame:
 def delete_latest(puts: DataFrame, named: DataFrame) -> DataFrame:
     """Drop the newest version of the named cells; older ones show again.
     Returns settled cells. The join is on the version too."""
-    cells = settle(puts)
     asked = named.select(*CELL).distinct()
-    newest = (
-        cells.join(asked, list(CELL), "left_semi")
-        .groupBy(*CELL)
-        .agg(F.max("version").alias("version"))
-    )
-    return cells.join(newest, [*CELL, "version"], "left_anti")
+    newest = puts.groupBy(*CELL).agg(F.max("version").alias("version"))
+    gone = newest.join(asked, list(CELL), "left_semi")
+    return settle(puts).join(gone, [*CELL, "version"], "left_anti")

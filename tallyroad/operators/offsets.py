@@ -6,8 +6,6 @@ the first one not read yet.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 LEDGER_SCHEMA = (
@@ -75,11 +73,16 @@ def node_positions(nodes: DataFrame, text_col: str = "offsets") -> DataFrame:
     )
 
 
+def positions_json(positions: DataFrame) -> DataFrame:
+    """Positions as the JSON of the Kafka source's ``startingOffsets``, one row
+    per topic. A group has one entry per topic partition."""
+    pairs = F.sort_array(F.collect_list(F.struct("partition", "offset")))
+    folded = positions.groupBy("topic").agg(F.map_from_entries(pairs).alias("_map"))
+    return folded.select("topic", F.to_json(F.create_map("topic", "_map")).alias("offsets"))
+
+
 def starting_offsets(positions: DataFrame, topic: str, default: str = "latest") -> str:
-    """The ``startingOffsets`` option of the Kafka source; ``default`` when
-    nothing is stored. One short row per topic partition reaches the driver,
-    which is what the option has to hold."""
-    rows = positions.where(F.col("topic") == topic).select("partition", "offset").collect()
-    if not rows:
-        return default
-    return json.dumps({topic: {str(r["partition"]): r["offset"] for r in rows}})
+    """The ``startingOffsets`` option for a topic; ``default`` when nothing is
+    stored."""
+    row = positions_json(positions.where(F.col("topic") == topic)).first()
+    return default if row is None else row["offsets"]

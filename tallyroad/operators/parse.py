@@ -167,11 +167,15 @@ def is_live_update(prefix: str = "") -> Column:
     return (F.col(prefix + "event_type") == KEPT_TYPE) & (F.col(prefix + "is_del") == NOT_DELETED)
 
 
-def live_updates(recs: DataFrame, width: int = timebucket.TEN_MINUTES) -> DataFrame:
+def live_updates(
+    recs: DataFrame, width: int = timebucket.TEN_MINUTES, partitions: int | None = None
+) -> DataFrame:
     """Updates of rows that are not deleted, with ``run_ts``, the start of
-    their time bucket."""
+    their time bucket. ``partitions`` merges tasks without a shuffle, for small
+    batches; large ones leave it out."""
     ts = timebucket.parse_timestamp(F.col("timestamp"))
-    return recs.where(is_live_update()).withColumn("run_ts", timebucket.bucket_start(ts, width))
+    live = recs.where(is_live_update()).withColumn("run_ts", timebucket.bucket_start(ts, width))
+    return live if partitions is None else live.coalesce(partitions)
 
 
 def number_fault(prefix: str = "") -> Column:

@@ -77,6 +77,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores when the input has fewer splits than there are cores (a
+    single small file); an input of many files stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def batch_of(batches: int) -> Column:
     """The micro-batch an event arrives in."""
     return F.col("event_id") % batches
@@ -84,7 +91,7 @@ def batch_of(batches: int) -> Column:
 
 def messages(spark: SparkSession, sf_dir: str, batches: int = 8) -> DataFrame:
     """``event_id, batch_id, topic, partition, offset, value``."""
-    placed = with_texts(events(spark, sf_dir))
+    placed = with_texts(spread(events(spark, sf_dir)))
     return placed.select(
         "event_id",
         batch_of(batches).alias("batch_id"),

@@ -417,6 +417,11 @@ def oracle_sql() -> dict[str, str]:
         "offset_node_text": f"""WITH {_LEDGER.strip()}
             SELECT topic, string_agg(partition || ':' || "offset", ',' ORDER BY partition) AS offsets
             FROM positions GROUP BY 1""",
+        "offset_json": f"""WITH {_LEDGER.strip()}
+            SELECT topic, '{{"' || topic || '":{{'
+                   || string_agg('"' || partition || '":' || "offset", ',' ORDER BY partition)
+                   || '}}}}' AS offsets
+            FROM positions GROUP BY 1""",
         "cells_settled": f"WITH {_PUTS.strip()} SELECT {_CELL_COLUMNS} FROM settled",
         "cells_latest": f"WITH {_PUTS.strip()} SELECT {_CELL_COLUMNS} FROM ranked WHERE place = 1",
         "cells_versions": f"""WITH {_PUTS.strip()}

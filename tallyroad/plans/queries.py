@@ -88,7 +88,7 @@ def json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def split_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts of two messages each, split at ``@`` and parsed."""
-    pairs = feed.with_texts(feed.events(spark, sf_dir)).select(
+    pairs = feed.with_texts(feed.spread(feed.events(spark, sf_dir))).select(
         F.concat_ws("@", "clean", "value").alias("value")
     )
     recs = parse.records(parse.classify(sources.split_texts(pairs)))
@@ -414,6 +414,13 @@ def offset_node_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offsets.node_text(positions, "topic")
 
 
+@query
+def offset_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The positions as the option a Kafka source starts from."""
+    positions = offsets.resume(_ledger(spark, sf_dir), feed.TOPIC, CONSUMER)
+    return offsets.positions_json(positions)
+
+
 # --- versioned cells -------------------------------------------------------
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # A merged output up to this size is one file, written by one task.
@@ -38,8 +39,12 @@ def write_merged_text(
     else as as few files of about that size as hold it. Returns the number of
     files asked for. Without ``overwrite`` an existing path is an error."""
     column = F.col(lines.columns[0])
-    size = lines.agg(F.sum(F.octet_length(column) + 1)).first()[0] or 0
-    files = max(1, math.ceil(size / one_file_bytes))
-    parts = lines.coalesce(1) if files == 1 else lines.repartition(files)
-    parts.write.mode("overwrite" if overwrite else "error").text(path)
+    lines = lines.persist(StorageLevel.DISK_ONLY)
+    try:
+        size = lines.agg(F.sum(F.octet_length(column) + 1)).first()[0] or 0
+        files = max(1, math.ceil(size / one_file_bytes))
+        parts = lines.coalesce(1) if files == 1 else lines.repartition(files)
+        parts.write.mode("overwrite" if overwrite else "error").text(path)
+    finally:
+        lines.unpersist()
     return files
