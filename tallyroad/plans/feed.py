@@ -97,7 +97,7 @@ def messages(spark: SparkSession, sf_dir: str, batches: int = 8) -> DataFrame:
         batch_of(batches).alias("batch_id"),
         F.lit(TOPIC).alias("topic"),
         (F.col("event_id") % TOPIC_PARTITIONS).cast("int").alias("partition"),
-        F.floor(F.col("event_id") / TOPIC_PARTITIONS).alias("offset"),
+        F.expr(f"event_id div {TOPIC_PARTITIONS}").alias("offset"),
         "value",
     )
 
