@@ -523,4 +523,4 @@ def merged_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = daily.select(F.concat_ws(",", "run_time", "adc_id", *metrics.MEASURES).alias("value"))
     path = scratch_dir(spark, "merged")
     text_archive.write_merged_text(lines, path)
-    return spark.read.text(path)
+    return spark.read.text(path, lineSep="\n")

@@ -60,6 +60,20 @@ def append(df: DataFrame, url: str, table: str, nullable: Sequence[str] = (), **
         part.write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()
 
 
+def replace_rows(
+    df: DataFrame,
+    connect: Callable[[], object],
+    url: str,
+    table: str,
+    keys: Sequence[str],
+    nullable: Sequence[str] = (),
+    **options: str,
+) -> None:
+    """Delete the rows with the keys of ``df``, then insert ``df``."""
+    run_statement(df, connect, delete_statement(table, keys), keys)
+    append(df, url, table, nullable, **options)
+
+
 def delete_statement(table: str, keys: Sequence[str]) -> str:
     return f"DELETE FROM {table} WHERE " + " AND ".join(f"{k} = ?" for k in keys)
 

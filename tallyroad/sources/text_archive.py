@@ -26,7 +26,9 @@ def write_archive(messages: DataFrame, path: str, value_col: str = "value") -> N
 
 
 def read_archive(spark: SparkSession, root: str, topic: str) -> DataFrame:
-    return spark.read.option("recursiveFileLookup", "true").text(f"{root.rstrip('/')}/{topic}")
+    return spark.read.option("recursiveFileLookup", "true").text(
+        f"{root.rstrip('/')}/{topic}", lineSep="\n"
+    )
 
 
 def write_merged_text(

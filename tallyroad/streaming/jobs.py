@@ -11,7 +11,7 @@ import json
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyroad.functions import timebucket
@@ -19,10 +19,6 @@ from tallyroad.operators import hourly as hours, metrics, offsets, parse
 from tallyroad.sources.text_archive import archive_path, write_archive
 from tallyroad.streaming import tables
 
-# Up to this many calendar days, a batch names its days to prune the state it
-# reads; a batch with more of them reads the state of all days.
-PRUNED_DAYS = 400
-
 
 # The time of a batch comes from the checkpoint, so a replay sees it again.
 BATCH_TIME = "batch_time"
@@ -37,6 +33,7 @@ def metrics_job(
     width: int = timebucket.TEN_MINUTES,
     key_life: int | None = hours.KEY_LIFE,
     archive: tuple[str, str] | None = None,
+    publish: Callable[[SparkSession, int], None] | None = None,
     clock: Callable[[int], dt.datetime] | None = None,
     interval: str | None = None,
 ) -> StreamingQuery:
@@ -45,7 +42,9 @@ def metrics_job(
     ``interval`` is the micro-batch interval (``60 seconds``); without it the
     job takes what is there and stops. ``key_life=None`` keeps hourly state
     for ever. ``archive`` is the root and topic name of a raw archive to write
-    as well. ``clock`` replaces the batch times, by batch id."""
+    as well. ``publish`` is called with the number of a batch when its tables
+    are written and before it is committed, so again in a replay (see
+    ``tables.changed_by``). ``clock`` replaces the batch times, by batch id."""
     run = _Run(checkpoint, root, clock)
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -57,6 +56,8 @@ def metrics_job(
                 write_archive(rows, archive_path(*archive, now, run.folder(rows, batch_id)))
             seq = run.sequence(rows, batch_id)
             write_metrics(rows, root, seq, now, key_life)
+            if publish is not None:
+                publish(batch.sparkSession, seq)
             _write_ledger(rows, root, seq, run.query_id(rows), batch_id, consumer)
         finally:
             rows.unpersist()
@@ -131,25 +132,20 @@ def write_metrics(
     counted = rows.where(F.col("outcome") == "counted")
     keys = ("run_ts", "adc_id")
     partial = metrics.driver_rows(counted, *keys).groupBy(*keys)
+    summed = partial.agg(*metrics.measure_columns(F.lit(0)))
     tables.write_batch(
-        partial.agg(*metrics.measure_columns(F.lit(0))), root, "ten_minute", seq
+        summed.withColumn("run_day", F.to_date("run_ts")), root, "ten_minute", seq
     )
 
     written_at = F.lit(now).cast("timestamp")
-    writes = hours.batch_writes(counted).select(
-        "*",
-        written_at.alias("written_at"),
-        F.to_date("run_hour").alias("run_day"),
+    writes = hours.batch_writes(counted).withColumns(
+        {"written_at": written_at, "run_day": F.to_date("run_hour")}
     )
-    # AQE merges the rows of small days into few files and splits a hot day.
-    spread = writes.hint("rebalance", "run_day")
-    tables.write_batch(spread, root, "hour_writes", seq, ("run_day",))
+    tables.write_batch(writes, root, "hour_writes", seq)
 
     state = tables.read(spark, root, "hour_writes").where(F.col("batch_seq") <= seq)
     mine = state.where(F.col("batch_seq") == seq)
-    days = [r[0] for r in mine.select("run_day").distinct().limit(PRUNED_DAYS + 1).collect()]
-    if len(days) <= PRUNED_DAYS:
-        state = state.where(F.col("run_day").isin(days))
+    state = tables.same_days(state, mine)
     state = state.join(hours.touched_keys(mine), list(hours.KEY), "left_semi")
     if key_life is None:
         fresh = hours.hourly(state)

@@ -16,9 +16,13 @@ from tallyroad.operators.upsert import latest_by_key
 
 _COUNTS = ", ".join(f"{m} BIGINT" for m in metrics.MEASURES)
 
+# Up to this many calendar days, a batch names its days to prune the state it
+# reads; a batch with more of them reads the state of all days.
+PRUNED_DAYS = 400
+
 # Columns in the files, and the folder columns.
 SCHEMAS = {
-    "ten_minute": f"run_ts TIMESTAMP, adc_id STRING, {_COUNTS}, batch_seq BIGINT",
+    "ten_minute": f"run_ts TIMESTAMP, adc_id STRING, {_COUNTS}, batch_seq BIGINT, run_day DATE",
     "hour_writes": (
         "run_hour TIMESTAMP, adc_id STRING, metric STRING, driver_id STRING, price BIGINT, "
         "written_at TIMESTAMP, batch_seq BIGINT, run_day DATE"
@@ -35,10 +39,12 @@ SCHEMAS = {
 }
 
 
-def write_batch(
-    df: DataFrame, root: str, table: str, seq: int, partition_by: tuple[str, ...] = ()
-) -> None:
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(
+def write_batch(df: DataFrame, root: str, table: str, seq: int) -> None:
+    """Write a batch's part. Rows with a day go into a folder per day: AQE
+    merges the rows of small days into few files and splits a hot day."""
+    folders = [c for c in ("run_day",) if c in df.columns]
+    spread = df.hint("rebalance", *folders) if folders else df
+    spread.write.mode("overwrite").partitionBy(*folders).parquet(
         f"{root}/{table}/batch_seq={seq}"
     )
 
@@ -63,6 +69,27 @@ def committed(spark: SparkSession, root: str, table: str) -> DataFrame:
     return read(spark, root, table).where(F.col("batch_seq") <= last_committed(spark, root))
 
 
+def same_days(state: DataFrame, touched: DataFrame) -> DataFrame:
+    """The state rows of the days in ``touched``, by pruning folders; all rows
+    when there are very many days."""
+    days = touched.select("run_day").distinct().limit(PRUNED_DAYS + 1).collect()
+    if len(days) > PRUNED_DAYS:
+        return state
+    return state.where(F.col("run_day").isin([d[0] for d in days]))
+
+
+def changed_by(spark: SparkSession, root: str, seq: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of the ten-minute and the hourly table whose keys a batch touched,
+    with the values they have after it. A relational copy replaces them by
+    ``run_time`` and ``adc_id``, which may be repeated."""
+    parts = read(spark, root, "ten_minute").where(F.col("batch_seq") <= seq)
+    mine = parts.where(F.col("batch_seq") == seq)
+    keys = mine.select("run_ts", "adc_id").distinct()
+    totals = same_days(parts, mine).join(keys, ["run_ts", "adc_id"], "left_semi")
+    hours = read(spark, root, "hourly").where(F.col("batch_seq") == seq).drop("batch_seq")
+    return metrics.labelled(metrics.merge_partials(totals)), hours
+
+
 def ten_minute(spark: SparkSession, root: str) -> DataFrame:
     """The additive ten-minute table: ``run_time`` label, ``run_ts``, site and
     measures."""
@@ -87,14 +114,12 @@ def compact(spark: SparkSession, root: str, target: str) -> None:
     seq = last_committed(spark, root)
     if seq < 0:
         return
-    parts = committed(spark, root, "ten_minute").groupBy("run_ts", "adc_id")
+    parts = committed(spark, root, "ten_minute").groupBy("run_ts", "adc_id", "run_day")
     write_batch(
         parts.agg(*[F.sum(m).alias(m) for m in metrics.MEASURES]), target, "ten_minute", seq
     )
     writes = committed(spark, root, "hour_writes").drop("batch_seq")
-    # Ranges, not hashes of the hour: an hour with very many rows is split.
-    spread = writes.repartitionByRange("run_day", "run_hour", "adc_id", "driver_id")
-    write_batch(spread, target, "hour_writes", seq, ("run_day",))
+    write_batch(writes, target, "hour_writes", seq)
     write_batch(hourly(spark, root), target, "hourly", seq)
     write_batch(committed(spark, root, "quarantine").drop("batch_seq"), target, "quarantine", seq)
     ledger = committed(spark, root, "ledger")

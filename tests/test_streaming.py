@@ -5,6 +5,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
+import tallyroad_job
 from tallyroad.operators import hourly, metrics, parse
 from tallyroad.session import scratch_dir
 from tallyroad.sources import messages as sources, text_archive
@@ -254,6 +255,49 @@ def test_interval_and_stop(spark):
     assert tables.last_committed(spark, feed.root) == 0
 
 
+def test_published_rows_are_the_stored_ones(spark):
+    feed = Feed(spark)
+    copies = {"ten_minute": {}, "hourly": {}}
+
+    def publish(session, seq):
+        for name, rows in zip(copies, tables.changed_by(session, feed.root, seq)):
+            for row in rows.collect():
+                copies[name][(row["run_time"], row["adc_id"])] = row
+
+    for texts in split(TEXTS, 2):
+        feed.land(texts)
+        feed.run(publish=publish)
+    stored = tables.ten_minute(spark, feed.root).collect()
+    assert sorted(copies["ten_minute"].values(), key=str) == sorted(stored, key=str)
+    columns = tables.hourly(spark, feed.root).columns
+    published = [tuple(r[c] for c in columns) for r in copies["hourly"].values()]
+    stored = [tuple(r) for r in tables.hourly(spark, feed.root).collect()]
+    assert sorted(published, key=str) == sorted(stored, key=str)
+
+
+def test_many_days_are_read_whole(spark, monkeypatch):
+    monkeypatch.setattr(tables, "PRUNED_DAYS", 1)
+    feed = Feed(spark)
+    days = [f"2024-01-{d:02} 00:00:00" for d in (1, 2, 3)]
+    for _ in range(2):
+        feed.land([message(data={"timestamp": d}) for d in days])
+        feed.run()
+    assert [r["sign_driver"] for r in tables.hourly(spark, feed.root).collect()] == [1, 1, 1]
+
+
+def test_command_line(spark):
+    feed = Feed(spark)
+    feed.land(TEXTS)
+    given = ["--topic", "t", "--files", feed.path, "--root", feed.root, "--checkpoint", feed.checkpoint]
+    args = tallyroad_job.arguments(["metrics", *given, "--key-life", "0"])
+    tallyroad_job.start(spark, args).awaitTermination()
+    assert feed.hourly() == batch_hourly(spark, TEXTS)
+    given[-3:] = [scratch_dir(spark, "archive"), "--checkpoint", scratch_dir(spark, "checkpoint")]
+    args = tallyroad_job.arguments(["archive", *given])
+    tallyroad_job.start(spark, args).awaitTermination()
+    assert text_archive.read_archive(spark, args.root, "t").count() == len(TEXTS)
+
+
 def test_empty_tables(spark):
     root = scratch_dir(spark, "none")
     assert tables.last_committed(spark, root) == -1
