@@ -14,7 +14,8 @@ the narrow table of probabilities; documents are neither shuffled nor joined.
 With shares a_d = tokens_d / all tokens and the matrix M = sum a_d p_d p_d', the
 objective is r' M^-1 r / 2 for the residual r = sum w_d a_d p_d - target, its
 gradient for w_d in the metric of the shares is p_d' M^-1 r, and a step of
-length 1 never overshoots.
+length 1 never overshoots. Once rates rest on a bound, M over the others is
+tried first, which takes fewer steps.
 
 Everything is DataFrame expressions. Words are separated by ASCII white space
 and lower-cased; a null text has no words and no tokens, and its rate follows
@@ -260,28 +261,44 @@ def fit(
         return Fit(upper, list(targets))
     share = F.col("_tokens") / float(total)
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    sums = rows.agg(
-        *[F.sum(share * F.col(n)) for n in names],
-        *[F.sum(share * F.col(names[i]) * F.col(names[j])) for i, j in pairs],
-    ).first()
-    start = np.array(sums[:k])
-    matrix = np.zeros((k, k))
-    for (i, j), value in zip(pairs, sums[k:]):
-        matrix[i, j] = matrix[j, i] = value
-    # A domain that hardly any document belongs to must not blow up the step.
-    inverse = np.linalg.pinv(matrix, rcond=1e-9, hermitian=True)
+
+    def measure(rate: Column, free: Column) -> tuple[np.ndarray, np.ndarray]:
+        """Expected shares, and the inverse of M over documents with ``free``."""
+        held = rows.withColumn("_rate", rate)
+        weight = share * F.when(free, 1.0).otherwise(0.0)
+        sums = held.agg(
+            *[F.sum(share * F.col(n) * F.col("_rate")) for n in names],
+            *[F.sum(weight * F.col(names[i]) * F.col(names[j])) for i, j in pairs],
+        ).first()
+        matrix = np.zeros((k, k))
+        for (i, j), value in zip(pairs, sums[k:]):
+            matrix[i, j] = matrix[j, i] = value
+        # A domain that hardly any document belongs to must not blow up steps.
+        return np.array(sums[:k]), np.linalg.pinv(matrix, rcond=1e-9, hermitian=True)
+
+    start, whole = measure(F.lit(1.0), F.lit(True))
     goal = np.array(targets, dtype=float) * (start if relative else 1.0)
     result = Fit(upper, goal.tolist(), [], start.tolist(), start.tolist())
-    reached, before = start, math.inf
+    reached, inverse = start, whole
     for _ in range(steps):
         residual = reached - goal
-        size = float(residual @ inverse @ residual)
-        if np.abs(residual).max() <= TOLERANCE or size >= before:
+        if np.abs(residual).max() <= TOLERANCE:
+            break
+        # M over the rates that are off their bounds makes longer steps. Where
+        # one leads astray, the step of the whole M, which never does, follows.
+        for metric in (inverse, whole):
+            result.steps.append((metric @ residual).tolist())
+            rate = result.rate(names)
+            free = F.col("_rate") > 0.0
+            if upper is not None:
+                free = free & (F.col("_rate") < upper)
+            new, near = measure(rate, free)
+            if (new - goal) @ whole @ (new - goal) < residual @ whole @ residual * (1 - 1e-3):
+                break
+            result.steps.pop()
+        else:
             break
-        before = size
-        result.steps.append((inverse @ residual).tolist())
-        rate = result.rate(names)
-        reached = np.array(rows.agg(*[F.sum(share * F.col(n) * rate) for n in names]).first())
+        reached, inverse = new, near
         result.reached = reached.tolist()
     return result
 
@@ -325,7 +342,7 @@ def resample(
     rows = docs.withColumn(all_words, words(F.col(text_col)))
     own = F.array_distinct(all_words)
     rows = rows.withColumn(features, F.concat(own, marks(F.col(text_col), F.col(all_words), own)))
-    rows = rows.withColumns(dict(zip(scores, model.probabilities(F.col(features)))))
+    rows = rows.withColumns(dict(zip(scores, model.scores(F.col(features)))))
     rows = softmax(rows, scores, chances)
     draw = F.pmod(F.xxhash64(id_col, text_col), F.lit(HASH_RANGE)) / float(HASH_RANGE)
     return rows.where(draw < result.rate(chances)).select([F.col(f"`{c}`") for c in docs.columns])
