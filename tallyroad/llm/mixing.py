@@ -45,7 +45,7 @@ FEATURES = 128
 LEAST_DOCS = 5
 ROUNDS = 300
 SHRINK = 1e-4
-STEPS = 30
+STEPS = 12
 TOLERANCE = 1e-4
 HASH_RANGE = 1 << 30
 
@@ -98,15 +98,19 @@ def marks(text: Column, all_words: Column, own_words: Column) -> Column:
     return F.filter(F.array(*found), lambda m: m.isNotNull())
 
 
-def featured(docs: DataFrame, text_col: str, keep: Sequence[str] = ()) -> DataFrame:
-    """``keep`` and ``_tokens, _features``: distinct words and marks."""
-    split = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).alias("_text"), words(F.col(text_col)).alias("_words"))
-    own = split.withColumn("_own", F.array_distinct("_words"))
-    return own.select(
-        *[F.col(f"`{c}`") for c in keep],
-        F.size("_words").cast("bigint").alias("_tokens"),
-        F.concat("_own", marks(F.col("_text"), F.col("_words"), F.col("_own"))).alias("_features"),
-    )
+def pinned(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is computed once per row. A plain column would
+    be written into every expression that uses it, and computed there again."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def featured(df: DataFrame, text_col: str, tokens: str, features: str) -> DataFrame:
+    """``df`` with its number of words, and its distinct words and marks."""
+    split, own = fresh(df, "_words"), fresh(df, "_own")
+    rows = pinned(pinned(df, split, words(F.col(text_col))), own, F.array_distinct(split))
+    marked = F.concat(own, marks(F.col(text_col), F.col(split), F.col(own)))
+    rows = rows.withColumns({tokens: F.size(split).cast("bigint"), features: marked})
+    return rows.drop(split, own)
 
 
 @dataclass(frozen=True)
@@ -130,14 +134,6 @@ class Classifier:
         return found
 
 
-def softmax(df: DataFrame, scores: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Scores replaced by probabilities."""
-    top = F.greatest(*scores) if len(scores) > 1 else F.col(scores[0])
-    raised = df.withColumns({s: F.exp(F.col(s) - top) for s in scores})
-    total = sum((F.col(s) for s in scores[1:]), F.col(scores[0]))
-    return raised.withColumns({n: F.col(s) / total for s, n in zip(scores, names)}).drop(*scores)
-
-
 def train(
     docs: DataFrame,
     labelled: DataFrame,
@@ -148,7 +144,7 @@ def train(
 ) -> Classifier:
     """``labelled`` (``id, domain``) is bounded, so it may be broadcast."""
     mine = docs.join(F.broadcast(labelled), F.col(id_col) == F.col("id"))
-    rows = stored(featured(mine.select(text_col, "domain"), text_col, ["domain"]), "mixing-sample")
+    rows = stored(featured(mine.select(F.col(text_col).alias("_text"), "domain"), "_text", "_tokens", "_features").drop("_text"), "mixing-sample")
     sizes = {r[0]: r[1] for r in rows.groupBy("domain").count().collect()}
     n = [sizes.get(d, 0) for d in domains]
     total = sum(n)
@@ -211,17 +207,14 @@ def regress(
     return tuple(w[-1].tolist()), [tuple(r) for r in w[:-1].tolist()]
 
 
-def posteriors(
-    docs: DataFrame, model: Classifier, keep: Sequence[str], text_col: str = "text"
-) -> tuple[DataFrame, list[str]]:
-    """``keep``, ``_tokens`` and one probability column per domain, and the
-    names of the latter. ``docs`` must not have columns of these names."""
-    rows = featured(docs, text_col, keep)
-    names = [f"p_{d}" for d in model.domains]
-    scores = [f"_score{k}" for k in range(len(names))]
-    values = model.scores(F.col("_features"))
-    rows = rows.withColumns(dict(zip(scores, values))).drop("_features")
-    return softmax(rows, scores, names), names
+def posteriors(df: DataFrame, model: Classifier, text_col: str, tokens: str, names: Sequence[str]) -> DataFrame:
+    """``df`` with its number of words and a probability per domain."""
+    features, scores = fresh(df, "_features"), fresh(df, "_scores")
+    rows = featured(df, text_col, tokens, features)
+    rows = pinned(rows, scores, F.array(*model.scores(F.col(features))))
+    score = [F.get(F.col(scores), F.lit(k)) for k in range(len(names))]
+    chances = [1.0 / sum((F.exp(other - s) for other in score), F.lit(0.0)) for s in score]
+    return rows.withColumns(dict(zip(names, chances))).drop(features, scores)
 
 
 @dataclass
@@ -293,7 +286,7 @@ def fit(
             if upper is not None:
                 free = free & (F.col("_rate") < upper)
             new, near = measure(rate, free)
-            if (new - goal) @ whole @ (new - goal) < residual @ whole @ residual * (1 - 1e-3):
+            if (new - goal) @ whole @ (new - goal) < residual @ whole @ residual * (1 - 1e-2):
                 break
             result.steps.pop()
         else:
@@ -315,10 +308,13 @@ def rates(
     """``id_col, n_tokens``, the probabilities ``p_<domain>`` and ``rate`` of
     every row."""
     model = train(docs, labelled, domains, id_col, text_col)
-    found, names = posteriors(docs, model, [id_col], text_col)
-    found = stored(found, "posteriors")
+    names = [f"p_{d}" for d in domains]
+    plain = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    found = stored(posteriors(plain, model, "_text", "_tokens", names).drop("_text"), "posteriors")
     result = fit(found, names, targets, upper)
-    return found.select(id_col, F.col("_tokens").alias("n_tokens"), *names, result.rate(names).alias("rate"))
+    return found.select(
+        F.col("_id").alias(id_col), F.col("_tokens").alias("n_tokens"), *names, result.rate(names).alias("rate")
+    )
 
 
 def resample(
@@ -333,16 +329,16 @@ def resample(
     of what they are, no row more than once. A row stays if a hash of its id
     and text, between 0 and 1, is below its rate."""
     model = train(docs, labelled, domains, id_col, text_col)
-    found, names = posteriors(docs, model, [], text_col)
-    result = fit(stored(found, "posteriors"), names, multiples, upper=1.0, relative=True)
-    # The same expressions again beside the whole rows: no join is needed.
-    scores = [fresh(docs, f"score{k}") for k in range(len(names))]
+    names = [f"p_{d}" for d in domains]
+    plain = docs.select(F.col(text_col).alias("_text"))
+    found = stored(posteriors(plain, model, "_text", "_tokens", names).drop("_text"), "posteriors")
+    result = fit(found, names, multiples, upper=1.0, relative=True)
+    # The same once more beside the whole rows, so that no text is shuffled.
+    tokens, rate = fresh(docs, "_tokens"), fresh(docs, "_rate")
     chances = [fresh(docs, n) for n in names]
-    all_words, features = fresh(docs, "words"), fresh(docs, "features")
-    rows = docs.withColumn(all_words, words(F.col(text_col)))
-    own = F.array_distinct(all_words)
-    rows = rows.withColumn(features, F.concat(own, marks(F.col(text_col), F.col(all_words), own)))
-    rows = rows.withColumns(dict(zip(scores, model.scores(F.col(features)))))
-    rows = softmax(rows, scores, chances)
+    rows = posteriors(docs, model, text_col, tokens, chances)
+    together = fresh(docs, "_chances")
+    rows = pinned(rows, together, F.struct(*chances)).drop(*chances)
+    rows = pinned(rows.select(*docs.columns, f"{together}.*"), rate, result.rate(chances))
     draw = F.pmod(F.xxhash64(id_col, text_col), F.lit(HASH_RANGE)) / float(HASH_RANGE)
-    return rows.where(draw < result.rate(chances)).select([F.col(f"`{c}`") for c in docs.columns])
+    return rows.where(draw < F.col(rate)).select([F.col(f"`{c}`") for c in docs.columns])
