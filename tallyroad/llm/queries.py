@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallyroad.llm import langid, mixing, packing, secrets, sharding, simhash
+from tallyroad.llm import hamming, langid, lmscore, mixing, packing, quality, secrets, sharding, simhash, toxicity
 from tallyroad.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,34 @@ def language_rows() -> Column:
     return remainder("doc_id", 3) != 1
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest sign codes of every 20th vector."""
+    coded = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), hamming.sign_code(F.col("embedding")).alias("code")
+    )
+    return hamming.nearest(coded, coded.where(F.col("id") % 20 == 0), k=10)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learn = table(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0)
+    model = toxicity.fit(docs, toxicity.labelled_ids(learn))
+    found = docs.select(
+        "doc_id",
+        F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        toxicity.score(model, F.col("text")).alias("score"),
+    )
+    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(table(spark, sf_dir, "documents"), words=3, radius=2)
     return found.select("doc_id", simhash.hex_text(F.col("fingerprint")).alias("fingerprint"), "component_id")
@@ -96,10 +124,39 @@ def all_queries() -> dict[str, Query]:
         op3_packing,
         op4_mixing,
         op5_language_id,
+        op6_lm_scoring,
+        op7_quality_rules,
+        op8_hamming_search,
+        op9_toxicity,
         op10_simhash,
     ]
     return {q.__name__: q for q in found}
 
 
+OP8_SQL = """
+WITH bits AS (
+    SELECT vec_id, CAST(i AS INTEGER) AS i, CASE WHEN embedding[i + 1] > 0 THEN 1 ELSE 0 END AS b
+    FROM embeddings, range(64) AS t(i)
+    WHERE embedding IS NOT NULL
+), codes AS (
+    SELECT vec_id,
+           CAST(sum(CASE WHEN i < 32 THEN b * power(2, i) ELSE 0 END) AS BIGINT) AS low,
+           CAST(sum(CASE WHEN i >= 32 THEN b * power(2, i - 32) ELSE 0 END) AS BIGINT) AS high
+    FROM bits GROUP BY vec_id
+), ranked AS (
+    SELECT q.vec_id AS query_id, r.vec_id AS id,
+           CAST(bit_count(xor(q.low, r.low)) + bit_count(xor(q.high, r.high)) AS INTEGER) AS distance
+    FROM codes q, codes r WHERE q.vec_id % 20 = 0
+)
+SELECT * FROM (
+    SELECT query_id, id, distance,
+           CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS INTEGER) AS rank
+    FROM ranked
+) WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    # The other operators give positions, hashes of shingles, tokens, schedules
+    # or scores of trained models, which SQL can't express: see tests/llm.
+    return {"op8_hamming_search": OP8_SQL}
