@@ -8,10 +8,12 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_point
+from tallyroad.plans import oracle
+from tallyroad.plans.queries import all_queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = entry_point.queries()
-ORACLE = entry_point.oracle_sql()
+QUERIES = all_queries()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -34,6 +36,11 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_all_are_registered():
+    assert QUERIES.keys() <= entry_point.queries().keys()
+    assert ORACLE.keys() <= entry_point.oracle_sql().keys()
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, duck, name):
     result = QUERIES[name](spark, SF_DIR).toPandas()
