@@ -1,6 +1,8 @@
 """Toxicity scores that do not depend on which group a text mentions.
 
-A logistic regression over the presence of words is trained on labelled texts.
+A logistic regression over the presence of words and word beginnings (a language
+that compounds or inflects shows an insult in many forms) is trained on labelled
+texts.
 For every labelled text that mentions an identity term, copies with the term
 swapped for others of its family, or for a plain word, are made, and the
 squared change of the score is part of what training minimises. So a group's
@@ -32,9 +34,11 @@ LEAST_DOCS = 3
 ROUNDS = 250
 SHRINK = 3e-4
 FAIRNESS = 4.0
+# How many standard deviations a word's toxic share has to be from the whole.
+SIGMAS = 3.0
 WORD = re.compile(r"\w+")
-# The same rule for Spark's (Java) patterns: letters, digits, underscores.
-NO_WORD = r"[^\p{L}\p{N}_]+"
+# Lengths of word beginnings; they are written with a star.
+BEGINNINGS = (4, 5, 6)
 
 # Identity terms by family; the first of each is the plain word.
 FAMILIES = (
@@ -48,12 +52,30 @@ FAMILIES = (
 )
 
 
-def present(text: str | None, known: Mapping[str, int]) -> set[str]:
-    """Known words of a text in lower case."""
+def features(text: str | None) -> set[str]:
+    """Words of a text in lower case, and their beginnings."""
     found: set[str] = set()
     for block in byte_blocks((text or "").encode()):
-        found |= known.keys() & set(WORD.findall(block.decode().lower()))
-    return found
+        found.update(WORD.findall(block.decode().lower()))
+    return found | {w[:k] + "*" for w in found for k in BEGINNINGS if len(w) >= k}
+
+
+class Known:
+    """The features a model knows, looked up without building all others."""
+
+    def __init__(self, names: Sequence[str]):
+        self.words = {n for n in names if not n.endswith("*")}
+        self.starts = {k: {n[:-1] for n in names if n.endswith("*") and len(n) == k + 1} for k in BEGINNINGS}
+
+    def present(self, text: str | None) -> set[str]:
+        found: set[str] = set()
+        for block in byte_blocks((text or "").encode()):
+            words = set(WORD.findall(block.decode().lower()))
+            found |= self.words & words
+            for k, starts in self.starts.items():
+                if starts:
+                    found |= {start + "*" for start in starts & {w[:k] for w in words}}
+        return found
 
 
 @dataclass
@@ -63,10 +85,11 @@ class Model:
     base: float
 
     def scorer(self):
-        known = dict(zip(self.words, self.weights.tolist()))
+        weights = dict(zip(self.words, self.weights.tolist()))
+        known = Known(self.words)
 
         def score(text: str | None) -> float:
-            margin = self.base + sum(known[w] for w in sorted(present(text, known)))
+            margin = self.base + sum(weights[w] for w in sorted(known.present(text)))
             return 1 / (1 + float(np.exp(-np.clip(margin, -500, 500))))
 
         return score
@@ -138,22 +161,25 @@ def labelled_ids(labels: DataFrame, id_col: str = "doc_id", label_col: str = "to
 def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> Model:
     """``labelled`` (``id, label``) is bounded, so it may be broadcast."""
     mine = docs.join(F.broadcast(labelled), F.col(id_col) == F.col("id")).where(F.col(text_col).isNotNull())
-    lower = F.array_distinct(F.split(F.lower(F.col(text_col)), NO_WORD))
-    rows = stored(mine.select("id", "label", lower.alias("words")), "toxicity-sample")
+
+    @F.pandas_udf("array<string>")
+    def named(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: sorted(features(t)))
+
+    rows = stored(mine.select("id", "label", named(F.col(text_col)).alias("words")), "toxicity-sample")
     sizes = {r[0]: r[1] for r in rows.groupBy("label").count().collect()}
     toxic, total = sizes.get(1, 0), sum(sizes.values())
     if not 0 < toxic < total:
         return train([], np.array([1.0] if toxic else []), [])
     counts = (
         rows.select("label", F.explode("words").alias("word"))
-        .where("word <> ''")
         .groupBy("word")
         .agg(F.count("*").alias("n"), F.count(F.when(F.col("label") == 1, 1)).alias("bad"))
     )
     # How far the word's toxic share is from the whole, in standard deviations.
     share = toxic / total
     far = F.abs(F.col("bad") - F.col("n") * share) / F.sqrt(F.col("n") * (share * (1 - share)) + 1)
-    best = counts.where(F.col("n") >= LEAST_DOCS).orderBy(far.desc(), "word").limit(words).collect()
+    best = counts.where((F.col("n") >= LEAST_DOCS) & (far >= SIGMAS)).orderBy(far.desc(), "word").limit(words).collect()
     terms = {t for family in FAMILIES for t in family}
     chosen = sorted({r["word"] for r in best} | terms)
     known = F.array_intersect("words", F.array(*[F.lit(w) for w in chosen]))
