@@ -38,7 +38,7 @@ HASH_RANGE = 1 << 30
 EPOCHS = 12
 BATCH = 48
 # Windows whose responses are held at once.
-BLOCK = 128
+BLOCK = 32
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -74,10 +74,28 @@ class Network:
                 pooled.append(sums.max(axis=1) + bias)
         return np.maximum(np.concatenate(pooled, axis=1), 0), places
 
+    def pooled(self, x: np.ndarray) -> np.ndarray:
+        """The same responses for scoring: one lookup per position, of all
+        filters that reach it. Widths ascend, so these are the last ones."""
+        size = x.shape[1]
+        sums = None
+        for k in range(max(map(len, self.tables))):
+            rows = np.concatenate([t[k] for t in self.tables if len(t) > k], axis=1)
+            found = rows.take(x[:, k:], axis=0)
+            if sums is None:
+                sums = found
+            else:
+                sums[:, : size - k, -rows.shape[1] :] += found
+        at = 0
+        for table in self.tables:  # where a filter would reach over the end
+            sums[:, size - len(table) + 1 :, at : at + table.shape[2]] = -np.inf
+            at += table.shape[2]
+        return np.maximum(sums.max(axis=1) + np.concatenate(self.bias), 0)
+
     def probabilities(self, x: np.ndarray) -> np.ndarray:
         out = np.empty((len(x), len(self.languages)), dtype=np.float32)
         for at in range(0, len(x), BLOCK):
-            hidden, _ = self.responses(x[at : at + BLOCK])
+            hidden = self.pooled(x[at : at + BLOCK])
             out[at : at + BLOCK] = softmax(hidden @ self.weights + self.offset)
         return out
 
@@ -195,7 +213,7 @@ def predict(net: Network, text: Column) -> Column:
 
 
 def accepted(
-    docs: DataFrame, net: Network, text_col: str = "text", least: float = 0.5, allowed: Sequence[str] | None = None
+    docs: DataFrame, net: Network, text_col: str = "text", least: float = 0.4, allowed: Sequence[str] | None = None
 ) -> DataFrame:
     """The rows whose text is in a known language (one of ``allowed``, where
     given) with at least that score; rows and columns as they were."""

@@ -98,6 +98,7 @@ def test_pooled_responses_equal_convolution():
     x = rng.integers(0, 256, (3, 20)).astype(np.uint8)
     net = langid.train(x, np.array([0, 1, 0]), ["a", "b"], epochs=1)
     got, _ = net.responses(x)
+    assert np.array_equal(net.pooled(x), got)
     for i, row in enumerate(x):
         plain = []
         for table, bias in zip(net.tables, net.bias):
