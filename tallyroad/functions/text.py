@@ -43,9 +43,9 @@ def strict_int(value: Column) -> Column:
     return F.when(value.rlike("^[+-]?[0-9]+$"), value.try_cast("int"))
 
 
-def clamp_int(value: Column) -> Column:
-    """Narrow a long to int; values out of range stop at the int limits."""
-    return F.greatest(F.least(value, F.lit(2**31 - 1)), F.lit(-(2**31))).cast("int")
+def strict_long(value: Column) -> Column:
+    """The same as a 64-bit number."""
+    return F.when(value.rlike("^[+-]?[0-9]+$"), value.try_cast("bigint"))
 
 
 def rarely(value: Column, expression: Callable[[Column], Column]) -> Column:

@@ -20,9 +20,14 @@ ONE_DAY = 86400
 # Numbers between fixed separators, each with optional leading blanks; what
 # follows the seconds is ignored.
 _LENIENT = (
-    r"^[ \t]*(\d{1,4})-[ \t]*(\d{1,4})-[ \t]*(\d{1,4}) "
-    r"[ \t]*(\d{1,4}):[ \t]*(\d{1,4}):[ \t]*(\d{1,6})"
+    r"^[ \t]*(\d+)-[ \t]*(\d+)-[ \t]*(\d+) "
+    r"[ \t]*(\d+):[ \t]*(\d+):[ \t]*(\d+)"
 )
+# Years a timestamp can hold, in seconds before and after the epoch, and a bound
+# for single numbers that keeps the sums below within 64 bits.
+_FIRST_SECOND = -62_135_596_800
+_LAST_SECOND = 253_402_300_799
+_LARGEST = 10**12
 
 
 def floor_millis(millis: Column, period_ms: int) -> Column:
@@ -37,16 +42,30 @@ def next_millis(millis: Column, period_ms: int) -> Column:
 
 
 def _lenient_timestamp(text: Column) -> Column:
+    """NULL for text that does not read, and for times out of range."""
+
     def part(i: int) -> Column:
-        return F.regexp_extract(text, _LENIENT, i).try_cast("int")
+        return F.regexp_extract(text, _LENIENT, i).try_cast("bigint")
 
+    numbers = [part(i) for i in range(1, 7)]
+    small = F.coalesce(F.greatest(*numbers) < _LARGEST, F.lit(False))
+    for number in numbers:
+        small = small & number.isNotNull()
     # Months, days, hours, ... out of range roll over into the next unit.
-    months = F.make_date(part(1), F.lit(1), F.lit(1))
-    date = F.date_add(F.add_months(months, part(2) - 1), part(3) - 1)
-    seconds = part(4) * 3600 + part(5) * 60 + part(6)
-    return F.when(
-        text.rlike(_LENIENT) & part(1).between(1, 9000),
-        F.timestamp_seconds(F.unix_date(date).cast("long") * ONE_DAY + seconds),
+    months = numbers[0] * 12 + numbers[1] - 1
+    year = F.floor(months / 12)
+    date = F.make_date(year.cast("int"), (months % 12 + 1).cast("int"), F.lit(1))
+    days = F.unix_date(date).cast("bigint") + numbers[2] - 1
+    seconds = days * ONE_DAY + numbers[3] * 3600 + numbers[4] * 60 + numbers[5]
+    held = F.when(small & year.between(1, 9999), seconds)
+    return F.when(held.between(_FIRST_SECOND, _LAST_SECOND), F.timestamp_seconds(held))
+
+
+def out_of_range(text: Column) -> Column:
+    """Whether a time reads, but lies outside the years 1 to 9999."""
+    strict = F.try_to_timestamp(text, F.lit(SECOND_FORMAT))
+    return strict.isNull() & rarely(
+        text, lambda t: t.rlike(_LENIENT) & _lenient_timestamp(t).isNull()
     )
 
 

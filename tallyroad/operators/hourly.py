@@ -22,8 +22,11 @@ KEY = ("run_hour", "adc_id")
 
 
 def batch_writes(rows: DataFrame, *more_keys: str) -> DataFrame:
-    """The hourly writes of measure rows (``more_keys``: batch columns)."""
-    hourly = rows.withColumn("run_hour", timebucket.hour_of(F.col("run_ts")))
+    """The hourly writes of measure rows (``more_keys``: batch columns). Sites
+    become numbers first, so the drivers of ``09`` and ``9`` are one set."""
+    hourly = rows.withColumns(
+        {"run_hour": timebucket.hour_of(F.col("run_ts")), "adc_id": strict_int(F.col("adc_id"))}
+    )
     return driver_rows(hourly, *KEY, *more_keys)
 
 
@@ -96,12 +99,5 @@ def hourly_with_expiry(writes: DataFrame, as_of: Column, life: int = KEY_LIFE) -
 
 
 def stored_rows(metrics: DataFrame) -> DataFrame:
-    """The stored form: ``run_time`` as a time and the site as a number. When
-    two spellings of a site meet (``09``, ``9``), the larger text stays."""
-    measures = [c for c in metrics.columns if c not in KEY]
-    site = strict_int(F.col("adc_id")).alias("adc_id")
-    return (
-        metrics.groupBy(F.col("run_hour").alias("run_time"), site)
-        .agg(F.max_by(F.struct(*measures), F.col("adc_id")).alias("m"))
-        .select("run_time", "adc_id", "m.*")
-    )
+    """The stored form: the hour is called ``run_time``."""
+    return metrics.withColumnRenamed("run_hour", "run_time")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyroad.functions import timebucket
 from tallyroad.functions.status import METRICS
-from tallyroad.functions.text import clamp_int, strict_int
+from tallyroad.functions.text import strict_int
 
 MEASURES = (*METRICS, "event_price")
 
@@ -32,13 +32,10 @@ def measure_columns(price_if_none: Column) -> list[Column]:
 
 
 def ten_minute(rows: DataFrame) -> DataFrame:
-    """``run_ts, adc_id`` and the five measures as int. Sites group by their
+    """``run_ts, adc_id`` and the five measures as long. Sites group by their
     text; statuses without a metric give rows of zeros."""
     per_driver = driver_rows(rows, "run_ts", "adc_id")
-    grouped = per_driver.groupBy("run_ts", "adc_id").agg(*measure_columns(F.lit(0)))
-    return grouped.select(
-        "run_ts", "adc_id", *[clamp_int(F.col(m)).alias(m) for m in MEASURES]
-    )
+    return per_driver.groupBy("run_ts", "adc_id").agg(*measure_columns(F.lit(0)))
 
 
 def labelled(metrics: DataFrame) -> DataFrame:
@@ -61,12 +58,11 @@ TEN_MINUTE_SQL = """
     )
     SELECT run_ts,
            adc_id,
-           CAST(count_if(metric = 'sign_driver') AS INT) AS sign_driver,
-           CAST(count_if(metric = 'run_driver') AS INT) AS run_driver,
-           CAST(count_if(metric = 'exception_driver') AS INT) AS exception_driver,
-           CAST(count_if(metric = 'complete_driver') AS INT) AS complete_driver,
-           CAST(greatest(least(coalesce(sum(price), 0), 2147483647), -2147483648) AS INT)
-               AS event_price
+           count_if(metric = 'sign_driver') AS sign_driver,
+           count_if(metric = 'run_driver') AS run_driver,
+           count_if(metric = 'exception_driver') AS exception_driver,
+           count_if(metric = 'complete_driver') AS complete_driver,
+           coalesce(sum(price), 0) AS event_price
     FROM per_driver
     GROUP BY run_ts, adc_id
 """

@@ -67,9 +67,10 @@ def node_positions(nodes: DataFrame, text_col: str = "offsets") -> DataFrame:
         .select(*others, F.explode(F.split(F.col(text_col), ",")).alias("_pair"))
         .select(
             *others,
-            pair[0].cast("int").alias("partition"),
-            pair[1].cast("bigint").alias("offset"),
+            pair[0].try_cast("int").alias("partition"),
+            pair[1].try_cast("bigint").alias("offset"),
         )
+        .where(F.col("partition").isNotNull() & F.col("offset").isNotNull())
     )
 
 
@@ -81,8 +82,34 @@ def positions_json(positions: DataFrame) -> DataFrame:
     return folded.select("topic", F.to_json(F.create_map("topic", "_map")).alias("offsets"))
 
 
-def starting_offsets(positions: DataFrame, topic: str, default: str = "latest") -> str:
+# What a Kafka source reads for the ends of a partition.
+ENDS = {"latest": -1, "earliest": -2}
+
+
+def all_partitions(
+    positions: DataFrame, topic: str, partitions: int, default: str = "latest"
+) -> DataFrame:
+    """``positions`` of a topic with a row for each of its ``partitions``; one
+    without a stored offset starts at the ``default`` end. A Kafka source wants
+    every partition named. Stored ones beyond the number stay."""
+    spark = positions.sparkSession
+    stored = positions.where(F.col("topic") == topic).select("topic", "partition", "offset")
+    every = spark.range(partitions).select(
+        F.lit(topic).alias("topic"),
+        F.col("id").cast("int").alias("partition"),
+        F.lit(ENDS[default]).cast("bigint").alias("offset"),
+    )
+    return stored.unionByName(every.join(stored, ["topic", "partition"], "left_anti"))
+
+
+def starting_offsets(
+    positions: DataFrame, topic: str, default: str = "latest", partitions: int | None = None
+) -> str:
     """The ``startingOffsets`` option for a topic; ``default`` when nothing is
-    stored."""
-    row = positions_json(positions.where(F.col("topic") == topic)).first()
+    stored. ``partitions`` is the topic's number of partitions: silent and new
+    ones then start at the default end, too."""
+    mine = positions.where(F.col("topic") == topic)
+    row = positions_json(mine).first()
+    if row is not None and partitions is not None:
+        row = positions_json(all_partitions(mine, topic, partitions, default)).first()
     return default if row is None else row["offsets"]

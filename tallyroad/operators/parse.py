@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyroad.functions.jsonio import read_json
-from tallyroad.functions.text import is_blank, strict_int, trim_controls
+from tallyroad.functions.text import is_blank, strict_int, strict_long, trim_controls
 from tallyroad.functions import status, timebucket
 
 # The table whose changes are counted, the change type kept, and
@@ -180,12 +180,18 @@ def live_updates(
 
 def number_fault(prefix: str = "") -> Column:
     """Why a record cannot be stored: its site or a counted price is no
-    integer. NULL for a good record."""
+    integer, or its time is one that no timestamp can hold. NULL for a good
+    record."""
     bad_site = strict_int(F.col(prefix + "adc_id")).isNull()
-    bad_price = (F.col(prefix + "status") == status.PRICED_STATUS) & strict_int(
+    bad_price = (F.col(prefix + "status") == status.PRICED_STATUS) & strict_long(
         F.col(prefix + "event_price")
     ).isNull()
-    return F.when(bad_site, "bad_adc_id").when(bad_price, "bad_price")
+    bad_time = timebucket.out_of_range(F.col(prefix + "timestamp"))
+    return (
+        F.when(bad_site, "bad_adc_id")
+        .when(bad_price, "bad_price")
+        .when(bad_time, "time_out_of_range")
+    )
 
 
 def counted(
@@ -238,5 +244,5 @@ def _measures(width: int) -> dict[str, Column]:
         # Without a metric the group still shows, with zeros, but its drivers
         # do not matter: dropping them lets such rows collapse early.
         "driver_id": F.when(metric.isNotNull(), F.col("rec.driver_id")),
-        "price": F.when(priced, strict_int(F.col("rec.event_price"))),
+        "price": F.when(priced, strict_long(F.col("rec.event_price"))),
     }

@@ -1,14 +1,14 @@
 """Keyed changes to a table, each as one join or aggregation over whole tables.
 
 The size of every side decides at run time between a broadcast (under
-``spark.sql.autoBroadcastJoinThreshold``) and a shuffled join, which AQE splits
-where a key is hot.
+``spark.sql.autoBroadcastJoinThreshold``) and a shuffled join. Keys are meant to
+be (nearly) unique on both sides: reduce a log to one row per key first, since
+Spark cannot split a hot key of a join whose result is grouped by that key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -69,40 +69,14 @@ def existing_counts(existing: DataFrame, wanted: DataFrame, keys: Sequence[str])
     )
 
 
-def split_by_nulls(df: DataFrame, nullable: Sequence[str]) -> list[DataFrame]:
-    """Split rows by which of the ``nullable`` columns they lack and leave
-    those columns out, so that an insert lets the table's defaults apply. The
-    number of parts depends on the columns only: two per nullable column."""
-    parts = [(df, ())]
-    for name in nullable:
-        parts = [
-            part
-            for rows, left_out in parts
-            for part in (
-                (rows.where(F.col(name).isNotNull()), left_out),
-                (rows.where(F.col(name).isNull()), (*left_out, name)),
-            )
-        ]
-    return [rows.drop(*left_out) for rows, left_out in parts]
-
-
 def insert_columns(columns: Sequence[str]) -> Column:
     """Comma list of the columns an insert of this row would name."""
     return F.concat_ws(",", *[F.when(F.col(c).isNotNull(), c) for c in columns])
 
 
-def with_defaults(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:
-    """What such an insert leaves in a table with these column defaults."""
-    return df.withColumns({c: F.coalesce(F.col(c), default) for c, default in defaults.items()})
-
-
 def latest_by_key(log: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """The row written last for every key of a log; the aggregation keeps one
     row per key and task before it shuffles."""
     rest = [c for c in log.columns if c not in keys]
     newest = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_row"))
     return newest.select(*keys, "_row.*")
-
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -98,8 +98,8 @@ def _distinct_counts(cast: str) -> str:
 def _metrics(source: str, bucket: str, label: str = _MINUTE) -> str:
     return f"""{_BASE}
     SELECT strftime({bucket}, '{label}') AS run_time, adc_id,
-           {_distinct_counts('INTEGER')},
-           CAST(coalesce(sum(price), 0) AS INTEGER) AS event_price
+           {_distinct_counts('BIGINT')},
+           CAST(coalesce(sum(price), 0) AS BIGINT) AS event_price
     FROM {source} GROUP BY 1, 2"""
 
 
@@ -154,14 +154,15 @@ _HALVES = f"""{_BASE},
     every AS ({_hourly("TRUE")}),
     new AS (SELECT every.* FROM every JOIN touched USING (run_time, adc_id))"""
 
-_EXPIRY = f"""{_BASE}, {_WRITES},
+def _expiry(batches: int, read_at: str) -> str:
+    return f"""{_BASE},
     timed AS (
         SELECT c.run_hour, c.adc_id, c.metric, c.driver_id, c.price,
                TIMESTAMP '{queries.FIRST_WRITE}'
                    + to_hours(CAST(c.batch_id * {queries.HOURS_BETWEEN_WRITES} AS INTEGER)) AS written_at
         FROM (
             SELECT {_HOUR_START} AS run_hour, CAST(adc_id AS INTEGER) AS adc_id, metric,
-                   driver_id, price, event_id % {queries.BATCHES} AS batch_id
+                   driver_id, price, event_id % {batches} AS batch_id
             FROM counted
         ) c
     ),
@@ -183,17 +184,18 @@ _EXPIRY = f"""{_BASE}, {_WRITES},
         SELECT run_hour, adc_id, metric, min(written_at) AS born, max(written_at) AS renewed
         FROM numbered GROUP BY run_hour, adc_id, metric, generation
     ),
+    keys AS (
+        SELECT run_hour, adc_id, max(written_at) AS last_touch FROM timed GROUP BY 1, 2
+    ),
     alive AS (
-        SELECT * FROM lives
-        WHERE TIMESTAMP '{queries.FIRST_WRITE}' + INTERVAL '{queries.READ_AFTER_HOURS} hours'
-              - renewed <= INTERVAL '24 hours'
+        SELECT l.* FROM lives l JOIN keys k ON l.run_hour = k.run_hour AND l.adc_id = k.adc_id
+        WHERE {read_at} - renewed <= INTERVAL '24 hours'
     ),
     kept AS (
         SELECT t.* FROM timed t JOIN alive a
         ON t.run_hour = a.run_hour AND t.adc_id = a.adc_id AND t.metric = a.metric
            AND t.written_at BETWEEN a.born AND a.renewed
     ),
-    keys AS (SELECT DISTINCT run_hour, adc_id FROM timed),
     counts AS (
         SELECT run_hour, adc_id, {_distinct_counts('BIGINT')}, CAST(sum(price) AS BIGINT) AS event_price
         FROM kept GROUP BY 1, 2
@@ -204,6 +206,7 @@ _EXPIRY = f"""{_BASE}, {_WRITES},
            coalesce(complete_driver, 0) AS complete_driver, event_price
     FROM keys k LEFT JOIN counts c ON k.run_hour = c.run_hour AND k.adc_id = c.adc_id"""
 
+
 # The text of every message, part by part; a missing part is NULL.
 _TEXTS = f"""
 parts AS (
@@ -323,7 +326,11 @@ def oracle_sql() -> dict[str, str]:
         "quarantined_lines": f"""{_BASE}, {_TEXTS.strip()}
             SELECT t.value, o.parse_reason AS reason
             FROM outcomes o JOIN texts t ON o.event_id = t.event_id
-            WHERE o.parse_reason IS NOT NULL""",
+            WHERE o.parse_reason IS NOT NULL
+            UNION ALL
+            SELECT t.value, CASE WHEN l.adc_id = '' THEN 'bad_adc_id' ELSE 'bad_price' END
+            FROM live l JOIN texts t ON l.event_id = t.event_id
+            WHERE l.is_faulty""",
         "filtered_updates": f"""{_BASE}
             SELECT {_REC_COLUMNS.replace("timestamp", f"strftime(run_ts, '{_MINUTE}') AS timestamp")}
             FROM live""",
@@ -371,18 +378,22 @@ def oracle_sql() -> dict[str, str]:
                        AS first_batch
             FROM partials GROUP BY run_ts, adc_id""",
         "hourly_metrics": f"{_BASE} {_hourly('TRUE')}",
+        "hourly_spellings": f"{_BASE} {_hourly('TRUE')}",
         "hourly_touched_keys": f"""{_BASE}
             SELECT DISTINCT {_BATCH} AS batch_id,
                    strftime(run_ts, '{_HOUR}') || '@' || adc_id AS key
             FROM counted""",
         "hourly_set_add": f"""{_BASE}, {_WRITES}
-            SELECT run_hour, CAST(adc_id AS VARCHAR) AS adc_id, metric, driver_id
+            SELECT run_hour, adc_id, metric, driver_id
             FROM writes WHERE metric IS NOT NULL
             GROUP BY 1, 2, 3, 4 HAVING min(batch_id) = {_LAST}""",
         "hourly_counters": f"""{_BASE}
-            SELECT {_HOUR_START} AS run_hour, adc_id, CAST(sum(price) AS BIGINT) AS event_price
+            SELECT {_HOUR_START} AS run_hour, CAST(adc_id AS INTEGER) AS adc_id, CAST(sum(price) AS BIGINT) AS event_price
             FROM counted WHERE price IS NOT NULL GROUP BY 1, 2""",
-        "hourly_with_expiry": _EXPIRY,
+        "hourly_with_expiry": _expiry(
+            queries.BATCHES,
+            f"TIMESTAMP '{queries.FIRST_WRITE}' + INTERVAL '{queries.READ_AFTER_HOURS} hours'",
+        ),
         "hourly_replace": f"""{_HALVES}
             SELECT * FROM new UNION ALL
             SELECT * FROM old WHERE (run_time, adc_id) NOT IN (SELECT (run_time, adc_id) FROM new)""",
@@ -402,8 +413,6 @@ def oracle_sql() -> dict[str, str]:
                        || CASE WHEN event_price IS NULL THEN '' ELSE ',event_price' END AS columns,
                    count(*) AS n_rows
             FROM hourly GROUP BY 1""",
-        "insert_defaults": f"""{_BASE}, hourly AS ({_hourly('TRUE')})
-            SELECT * REPLACE (coalesce(event_price, 0) AS event_price) FROM hourly""",
         "offset_ranges": f"""
             SELECT event_id % {queries.BATCHES} AS batch_id, '{feed.TOPIC}' AS topic,
                    CAST(event_id % {feed.TOPIC_PARTITIONS} AS INTEGER) AS partition,
@@ -420,7 +429,7 @@ def oracle_sql() -> dict[str, str]:
         "offset_json": f"""WITH {_LEDGER.strip()}
             SELECT topic, '{{"' || topic || '":{{'
                    || string_agg('"' || partition || '":' || "offset", ',' ORDER BY partition)
-                   || '}}}}' AS offsets
+                   || ',"{feed.TOPIC_PARTITIONS}":-1}}}}' AS offsets
             FROM positions GROUP BY 1""",
         "cells_settled": f"WITH {_PUTS.strip()} SELECT {_CELL_COLUMNS} FROM settled",
         "cells_latest": f"WITH {_PUTS.strip()} SELECT {_CELL_COLUMNS} FROM ranked WHERE place = 1",
@@ -430,6 +439,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT {_CELL_COLUMNS} FROM ranked WHERE family <> 'view' OR place > 1""",
         "stream_ten_minute": _additive(_TEN, stream_batches),
         "stream_hourly": f"{_BASE} {_hourly('TRUE')}",
+        # A row is as fresh as the last batch that touched its key.
+        "stream_hourly_with_expiry": _expiry(stream_batches, "last_touch"),
+        "archive_positions": f"""
+            SELECT '{feed.TOPIC}' AS topic,
+                   CAST(event_id % {feed.TOPIC_PARTITIONS} AS INTEGER) AS partition,
+                   max(event_id // {feed.TOPIC_PARTITIONS}) + 1 AS "offset"
+            FROM events GROUP BY 1, 2""",
         "stream_positions": f"""
             SELECT '{feed.TOPIC}' AS topic,
                    CAST(event_id % {feed.TOPIC_PARTITIONS} AS INTEGER) AS partition,

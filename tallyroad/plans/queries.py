@@ -5,9 +5,10 @@ All of them read the ``events`` table in full through ``plans.feed``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyroad.functions import status, text, timebucket as tb
 from tallyroad.operators import cells, hourly, metrics, offsets, parse, upsert
@@ -57,13 +58,6 @@ def _writes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hourly.batch_writes(_counted(spark, sf_dir), "batch_id")
 
 
-def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """The rows as a stored table: computed once, however often they are read."""
-    path = scratch_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 # --- messages, parsing, filters -------------------------------------------
 
 
@@ -88,7 +82,7 @@ def json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def split_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts of two messages each, split at ``@`` and parsed."""
-    pairs = feed.with_texts(feed.spread(feed.events(spark, sf_dir))).select(
+    pairs = feed.with_texts(feed.events(spark, sf_dir)).select(
         F.concat_ws("@", "clean", "value").alias("value")
     )
     recs = parse.records(parse.classify(sources.split_texts(pairs)))
@@ -122,8 +116,9 @@ def quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def quarantined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rejected texts themselves."""
-    return parse.quarantine(_classified(spark, sf_dir))
+    """The rejected texts themselves, also those with a bad number."""
+    rows = parse.measure_rows(_classified(spark, sf_dir), keep=("value",))
+    return rows.where(F.col("outcome") == "quarantined").select("value", "reason")
 
 
 @query
@@ -238,7 +233,7 @@ def next_bucket_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         status.metric_of(F.col("status")).alias("metric"),
         F.when(status.metric_of(F.col("status")).isNotNull(), F.col("driver_id")).alias("driver_id"),
         F.when(
-            F.col("status") == status.PRICED_STATUS, text.strict_int(F.col("event_price"))
+            F.col("status") == status.PRICED_STATUS, text.strict_long(F.col("event_price"))
         ).alias("price"),
     )
     return metrics.labelled(metrics.ten_minute(rows)).drop("run_ts")
@@ -269,7 +264,6 @@ def additive_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(*[F.sum(m).alias(m) for m in metrics.MEASURES], F.min("batch_id").alias("first_batch"))
         .withColumn("adc_id", text.strict_int(F.col("adc_id")))
     )
-    stored = _stored(spark, stored, "halves")
     old, new = (stored.where(F.col("half") == h).drop("half") for h in (0, 1))
     merged = upsert.additive_upsert(old, new, ("run_ts", "adc_id"), metrics.MEASURES)
     return metrics.labelled(merged).drop("run_ts")
@@ -283,6 +277,14 @@ def hourly_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hourly.stored_rows(hourly.hourly(_writes(spark, sf_dir)))
 
 
+@query
+def hourly_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same when every other message writes its site as ``09``, not ``9``."""
+    site = F.when(F.col("batch_id") % 2 == 1, F.concat(F.lit("0"), F.col("adc_id"))).otherwise(F.col("adc_id"))
+    rows = _counted(spark, sf_dir).withColumn("adc_id", site)
+    return hourly.stored_rows(hourly.hourly(hourly.batch_writes(rows, "batch_id")))
+
+
 @query
 def hourly_touched_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours and sites each batch touches."""
@@ -294,7 +296,7 @@ def hourly_touched_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def hourly_set_add(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members the last batch adds to the sets all earlier ones left."""
-    writes = _stored(spark, _writes(spark, sf_dir), "writes")
+    writes = _writes(spark, sf_dir)
     existing = hourly.members(writes.where(F.col("batch_id") < BATCHES - 1))
     return hourly.new_members(existing, writes.where(F.col("batch_id") == BATCHES - 1))
 
@@ -320,12 +322,28 @@ def hourly_with_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- keyed changes of stored tables ----------------------------------------
 
 
-def _stored_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Hourly rows as an early reading and as the last batch's fresh rows."""
-    writes = _stored(spark, _writes(spark, sf_dir), "writes")
-    old = hourly.hourly(writes.where(F.col("batch_id") < BATCHES - 1))
-    touched = hourly.touched_keys(writes.where(F.col("batch_id") == BATCHES - 1))
-    new = hourly.hourly(writes.join(touched, list(hourly.KEY), "left_semi"))
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Hourly rows as an early reading and as the last batch's fresh rows, from
+    one row per key that holds both."""
+    late = F.col("batch_id") == BATCHES - 1
+    per_driver = _writes(spark, sf_dir).groupBy(*hourly.KEY, "metric", "driver_id").agg(
+        F.sum("price").alias("price"),
+        F.sum(F.when(~late, F.col("price"))).alias("early_price"),
+        F.bool_or(~late).alias("early"),
+        F.bool_or(late).alias("late"),
+    )
+
+    def counts(seen: Column) -> list[Column]:
+        return [F.count_if(seen & (F.col("metric") == m)).alias(m) for m in status.METRICS]
+
+    keyed = per_driver.groupBy(*hourly.KEY).agg(
+        F.struct(*counts(F.col("early")), F.sum("early_price").alias("event_price")).alias("old"),
+        F.struct(*counts(F.lit(True)), F.sum("price").alias("event_price")).alias("new"),
+        F.bool_or("early").alias("has_old"),
+        F.bool_or("late").alias("touched"),
+    )
+    old = keyed.where("has_old").select(*hourly.KEY, "old.*")
+    new = keyed.where("touched").select(*hourly.KEY, "new.*")
     return hourly.stored_rows(old), hourly.stored_rows(new)
 
 
@@ -335,28 +353,28 @@ KEYS = ("run_time", "adc_id")
 @query
 def hourly_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fresh rows take the place of the stored ones of their keys."""
-    old, new = _stored_halves(spark, sf_dir)
+    old, new = _halves(spark, sf_dir)
     return upsert.replace_by_key(old, new, KEYS)
 
 
 @query
 def keyed_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored rows left after deleting the keys of the fresh ones."""
-    old, new = _stored_halves(spark, sf_dir)
+    old, new = _halves(spark, sf_dir)
     return upsert.delete_keys(old, new, KEYS)
 
 
 @query
 def keyed_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored rows with the price set from the fresh ones; no inserts."""
-    old, new = _stored_halves(spark, sf_dir)
+    old, new = _halves(spark, sf_dir)
     return upsert.update_keys(old, new, KEYS, ("event_price",))
 
 
 @query
 def keyed_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many stored rows each fresh key has."""
-    old, new = _stored_halves(spark, sf_dir)
+    old, new = _halves(spark, sf_dir)
     return upsert.existing_counts(old, new, KEYS)
 
 
@@ -368,15 +386,6 @@ def insert_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.groupBy("columns").agg(F.count("*").alias("n_rows"))
 
 
-@query
-def insert_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows inserted group by group, as read back from a table whose price
-    defaults to 0."""
-    rows = hourly.stored_rows(hourly.hourly(_writes(spark, sf_dir)))
-    inserted = upsert.union_all(upsert.split_by_nulls(rows, ["event_price"]))
-    return upsert.with_defaults(inserted, {"event_price": F.lit(0)})
-
-
 # --- offsets ---------------------------------------------------------------
 
 
@@ -416,9 +425,11 @@ def offset_node_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def offset_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The positions as the option a Kafka source starts from."""
+    """The positions as the option a Kafka source starts from, with one
+    partition more than ever had a message."""
     positions = offsets.resume(_ledger(spark, sf_dir), feed.TOPIC, CONSUMER)
-    return offsets.positions_json(positions)
+    every = offsets.all_partitions(positions, feed.TOPIC, feed.TOPIC_PARTITIONS + 1)
+    return offsets.positions_json(every)
 
 
 # --- versioned cells -------------------------------------------------------
@@ -475,14 +486,19 @@ def _landing(spark: SparkSession, sf_dir: str, batches: int) -> str:
     return path
 
 
-def _run_metrics_job(spark: SparkSession, sf_dir: str) -> str:
+def _run_metrics_job(spark: SparkSession, sf_dir: str, key_life: int | None = None) -> str:
     landing = _landing(spark, sf_dir, STREAM_BATCHES)
     root = scratch_dir(spark, "metrics")
+    first = dt.datetime.fromisoformat(FIRST_WRITE).replace(tzinfo=dt.timezone.utc)
     for batch in range(STREAM_BATCHES):
         arrived = sources.file_stream(spark, f"{landing}/batch_id={batch}")
         # Without a checkpoint of its own yet, each run goes on from the ledger.
         checkpoint = scratch_dir(spark, "checkpoint")
-        jobs.metrics_job(arrived, root, checkpoint, CONSUMER, key_life=None).awaitTermination()
+        now = first + dt.timedelta(hours=batch * HOURS_BETWEEN_WRITES)
+        job = jobs.metrics_job(
+            arrived, root, checkpoint, CONSUMER, key_life=key_life, clock=lambda _, now=now: now
+        )
+        job.awaitTermination()
     return root
 
 
@@ -498,6 +514,13 @@ def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.hourly(spark, _run_metrics_job(spark, sf_dir)).drop("created_at", "updated_at")
 
 
+@query
+def stream_hourly_with_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly table when keys live as long as they do by default."""
+    root = _run_metrics_job(spark, sf_dir, hourly.KEY_LIFE)
+    return tables.hourly(spark, root).drop("created_at", "updated_at")
+
+
 @query
 def stream_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions the streaming job has stored."""
@@ -516,6 +539,20 @@ def archive_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.groupBy("value").agg(F.count("*").alias("n_lines"))
 
 
+@query
+def archive_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions the archive job has stored."""
+    landing = _landing(spark, sf_dir, 1)
+    root, ledger = scratch_dir(spark, "archive"), scratch_dir(spark, "ledger")
+    arrived = sources.file_stream(spark, f"{landing}/batch_id=0")
+    checkpoint = scratch_dir(spark, "checkpoint")
+    job = jobs.archive_job(
+        arrived, root, feed.TOPIC, checkpoint, consumer=CONSUMER, ledger_root=ledger
+    )
+    job.awaitTermination()
+    return tables.positions(spark, ledger, feed.TOPIC, CONSUMER)
+
+
 @query
 def merged_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily rows written as merged text and read back."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -47,12 +48,12 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder path under the shared folder in ``spark.checkpoint.dir``.
 
-    A local session without that setting (tests) gets a temporary folder. On a
-    cluster the setting is required: executors share no local disk.
+    A session in one process (``local[n]``) without that setting gets a
+    temporary folder. Everything else has to set it: executors share no disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="tallyroad-")
         spark.conf.set("spark.checkpoint.dir", root)

@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from itertools import islice
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from tallyroad.operators.upsert import split_by_nulls
+from tallyroad.operators.upsert import insert_columns
 
 BATCH_ROWS = 1000
 
@@ -56,22 +57,65 @@ def read_offsets(spark: SparkSession, url: str, table: str, topic: str, **option
 def append(df: DataFrame, url: str, table: str, nullable: Sequence[str] = (), **options: str) -> None:
     """Insert rows. A row's null ``nullable`` columns are left out of its
     insert, so that the table's defaults apply."""
-    for part in split_by_nulls(df, nullable):
+
+    def write(part: DataFrame) -> None:
         part.write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()
 
+    write_by_nulls(df, nullable, write)
+
+
+def write_by_nulls(
+    df: DataFrame, nullable: Sequence[str], write: Callable[[DataFrame], None]
+) -> None:
+    """Hand the rows to ``write`` once per set of missing ``nullable`` columns
+    that occurs, without those columns. The rows are computed once."""
+    if not nullable:
+        write(df)
+        return
+    rows = df.withColumn("_named", insert_columns(nullable)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # At most as many as the columns have subsets.
+        patterns = sorted(r[0] for r in rows.select("_named").distinct().collect())
+        for pattern in patterns:
+            missing = [c for c in nullable if c not in pattern.split(",")]
+            write(rows.where(F.col("_named") == pattern).drop("_named", *missing))
+    finally:
+        rows.unpersist()
+
 
 def replace_rows(
     df: DataFrame,
     connect: Callable[[], object],
     url: str,
     table: str,
+    staging: str,
     keys: Sequence[str],
-    nullable: Sequence[str] = (),
     **options: str,
 ) -> None:
-    """Delete the rows with the keys of ``df``, then insert ``df``."""
-    run_statement(df, connect, delete_statement(table, keys), keys)
-    append(df, url, table, nullable, **options)
+    """Put ``df`` in the place of the rows with its keys. The rows are loaded
+    into the table ``staging`` first; the swap is one transaction, so readers
+    see the old rows or the new ones, and a failure before it changes nothing."""
+    loader = df.write.format("jdbc").options(url=url, dbtable=staging, **options)
+    loader.mode("overwrite").save()
+    connection = connect()
+    try:
+        cursor = connection.cursor()
+        for statement in swap_statements(table, staging, keys, df.columns):
+            cursor.execute(statement)
+        connection.commit()
+    finally:
+        connection.close()
+
+
+def swap_statements(
+    table: str, staging: str, keys: Sequence[str], columns: Sequence[str]
+) -> list[str]:
+    same = " AND ".join(f"{staging}.{k} = {table}.{k}" for k in keys)
+    names = ", ".join(columns)
+    return [
+        f"DELETE FROM {table} WHERE EXISTS (SELECT 1 FROM {staging} WHERE {same})",
+        f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging}",
+    ]
 
 
 def delete_statement(table: str, keys: Sequence[str]) -> str:

@@ -3,14 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-import math
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# A merged output up to this size is one file, written by one task.
-ONE_FILE_BYTES = 128 * 1024 * 1024
-
 
 def archive_path(root: str, topic: str, time: dt.datetime, batch: str) -> str:
     """``<root>/<topic>/<day>/<batch>``: named after the batch, not the clock,
@@ -31,22 +26,12 @@ def read_archive(spark: SparkSession, root: str, topic: str) -> DataFrame:
     )
 
 
-def write_merged_text(
-    lines: DataFrame,
-    path: str,
-    overwrite: bool = True,
-    one_file_bytes: int = ONE_FILE_BYTES,
-) -> int:
-    """Write a text column as one file when it is small enough for one task,
-    else as as few files of about that size as hold it. Returns the number of
-    files asked for. Without ``overwrite`` an existing path is an error."""
-    column = F.col(lines.columns[0])
-    lines = lines.persist(StorageLevel.DISK_ONLY)
-    try:
-        size = lines.agg(F.sum(F.octet_length(column) + 1)).first()[0] or 0
-        files = max(1, math.ceil(size / one_file_bytes))
-        parts = lines.coalesce(1) if files == 1 else lines.repartition(files)
-        parts.write.mode("overwrite" if overwrite else "error").text(path)
-    finally:
-        lines.unpersist()
-    return files
+def write_merged_text(lines: DataFrame, path: str, overwrite: bool = True, files: int = 1) -> None:
+    """Write a text column as ``files`` files, in the order of the input: read
+    one after another, by name, they are the input's partitions in their order.
+    One file is written by one task, so ask for more where that is too much.
+    Without ``overwrite`` an existing path is an error."""
+    column = F.col(lines.columns[0]).alias("value")
+    placed = lines.select(column, F.monotonically_increasing_id().alias("_place"))
+    parts = placed.repartitionByRange(files, "_place").sortWithinPartitions("_place")
+    parts.select("value").write.mode("overwrite" if overwrite else "error").text(path)

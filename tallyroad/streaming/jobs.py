@@ -38,6 +38,7 @@ def metrics_job(
     interval: str | None = None,
 ) -> StreamingQuery:
     """Start the metrics job on a stream of ``topic, partition, offset, value``.
+    The session has to be in UTC, which labels and day folders are read in.
 
     ``interval`` is the micro-batch interval (``60 seconds``); without it the
     job takes what is there and stops. ``key_life=None`` keeps hourly state
@@ -45,6 +46,7 @@ def metrics_job(
     as well. ``publish`` is called with the number of a batch when its tables
     are written and before it is committed, so again in a replay (see
     ``tables.changed_by``). ``clock`` replaces the batch times, by batch id."""
+    require_utc(messages.sparkSession)
     run = _Run(checkpoint, root, clock)
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -73,13 +75,25 @@ def archive_job(
     checkpoint: str,
     clock: Callable[[int], dt.datetime] | None = None,
     interval: str | None = None,
+    consumer: str | None = None,
+    ledger_root: str | None = None,
 ) -> StreamingQuery:
-    """Start the job that only keeps raw messages, one folder per batch."""
-    run = _Run(checkpoint, None, clock)
+    """Start the job that only keeps raw messages, one folder per batch. With
+    ``ledger_root`` and ``consumer`` it also keeps an offset ledger there, so
+    that a job without a checkpoint can go on from it."""
+    run = _Run(checkpoint, ledger_root, clock)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        now = run.time(batch, batch_id)
-        write_archive(batch, archive_path(archive_root, topic, now, run.folder(batch, batch_id)))
+        # Read once: for the time, the lines and the offsets.
+        rows = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            now = run.time(rows, batch_id)
+            write_archive(rows, archive_path(archive_root, topic, now, run.folder(rows, batch_id)))
+            if ledger_root is not None:
+                seq = run.sequence(rows, batch_id)
+                _write_ledger(rows, ledger_root, seq, run.query_id(rows), batch_id, consumer)
+        finally:
+            rows.unpersist()
 
     return _start(_timed(messages), process, checkpoint, interval)
 
@@ -98,6 +112,12 @@ def offset_ranges(query: StreamingQuery) -> list[dict]:
     ]
 
 
+def require_utc(spark: SparkSession) -> None:
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"set spark.sql.session.timeZone to UTC, not {zone}")
+
+
 def stop_after_batch(query: StreamingQuery, poll_seconds: float = 0.1) -> None:
     """Stop a running query between two batches."""
     while query.isActive and query.status["isTriggerActive"]:
@@ -146,13 +166,15 @@ def write_metrics(
     state = tables.read(spark, root, "hour_writes").where(F.col("batch_seq") <= seq)
     mine = state.where(F.col("batch_seq") == seq)
     state = tables.same_days(state, mine)
-    state = state.join(hours.touched_keys(mine), list(hours.KEY), "left_semi")
+    # Every grouping down to one row per key spreads over the drivers; only
+    # then the touched keys are picked, so a hot hour meets in no join.
     if key_life is None:
         fresh = hours.hourly(state)
     else:
         fresh = hours.hourly_with_expiry(state, written_at, key_life)
+    fresh = fresh.join(hours.touched_keys(mine), list(hours.KEY), "left_semi")
     stamped = hours.stored_rows(fresh).withColumns(
-        {"created_at": written_at, "updated_at": written_at}
+        {"created_at": written_at, "updated_at": written_at, "run_day": F.to_date("run_time")}
     )
     tables.write_batch(stamped, root, "hourly", seq)
 

@@ -1,7 +1,8 @@
 """The tables of the metrics job: Parquet folders with one part per batch.
 
-Every micro-batch overwrites its own ``batch_seq=N`` folder in each table and
-writes the offset ledger last. A replayed batch therefore replaces what it
+Every micro-batch overwrites its own ``batch_seq=N`` folders in each table,
+which lie below a folder per day where rows have a day, and writes the offset
+ledger last. A replayed batch therefore replaces what it
 wrote before, and a batch counts once it is in the ledger.
 """
 
@@ -16,20 +17,16 @@ from tallyroad.operators.upsert import latest_by_key
 
 _COUNTS = ", ".join(f"{m} BIGINT" for m in metrics.MEASURES)
 
-# Up to this many calendar days, a batch names its days to prune the state it
-# reads; a batch with more of them reads the state of all days.
-PRUNED_DAYS = 400
-
 # Columns in the files, and the folder columns.
 SCHEMAS = {
     "ten_minute": f"run_ts TIMESTAMP, adc_id STRING, {_COUNTS}, batch_seq BIGINT, run_day DATE",
     "hour_writes": (
-        "run_hour TIMESTAMP, adc_id STRING, metric STRING, driver_id STRING, price BIGINT, "
+        "run_hour TIMESTAMP, adc_id INT, metric STRING, driver_id STRING, price BIGINT, "
         "written_at TIMESTAMP, batch_seq BIGINT, run_day DATE"
     ),
     "hourly": (
         f"run_time TIMESTAMP, adc_id INT, {_COUNTS}, created_at TIMESTAMP, "
-        "updated_at TIMESTAMP, batch_seq BIGINT"
+        "updated_at TIMESTAMP, batch_seq BIGINT, run_day DATE"
     ),
     "quarantine": "value STRING, reason STRING, batch_seq BIGINT",
     "ledger": (
@@ -40,13 +37,16 @@ SCHEMAS = {
 
 
 def write_batch(df: DataFrame, root: str, table: str, seq: int) -> None:
-    """Write a batch's part. Rows with a day go into a folder per day: AQE
-    merges the rows of small days into few files and splits a hot day."""
-    folders = [c for c in ("run_day",) if c in df.columns]
-    spread = df.hint("rebalance", *folders) if folders else df
-    spread.write.mode("overwrite").partitionBy(*folders).parquet(
-        f"{root}/{table}/batch_seq={seq}"
-    )
+    """Write a batch's part. Rows with a day go into the folder of the day, and
+    there into the batch's: a reader of some days lists those alone. AQE merges
+    the rows of small days into few files and splits a hot day."""
+    if "run_day" in df.columns:
+        placed = df.hint("rebalance", "run_day").withColumn("batch_seq", F.lit(seq).cast("bigint"))
+        writer = placed.write.partitionBy("run_day", "batch_seq")
+        # A replay replaces the batch's own folders and no others.
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{root}/{table}")
+    else:
+        df.write.mode("overwrite").parquet(f"{root}/{table}/batch_seq={seq}")
 
 
 def read(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -70,12 +70,11 @@ def committed(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def same_days(state: DataFrame, touched: DataFrame) -> DataFrame:
-    """The state rows of the days in ``touched``, by pruning folders; all rows
-    when there are very many days."""
-    days = touched.select("run_day").distinct().limit(PRUNED_DAYS + 1).collect()
-    if len(days) > PRUNED_DAYS:
-        return state
-    return state.where(F.col("run_day").isin([d[0] for d in days]))
+    """The state rows of the days in ``touched``. The days of the calendar
+    bound the broadcast (four million at most); joined on the folder column it
+    prunes the folders that are read, when the query runs."""
+    days = touched.select("run_day").distinct()
+    return state.join(F.broadcast(days), "run_day", "left_semi")
 
 
 def changed_by(spark: SparkSession, root: str, seq: int) -> tuple[DataFrame, DataFrame]:
@@ -84,10 +83,11 @@ def changed_by(spark: SparkSession, root: str, seq: int) -> tuple[DataFrame, Dat
     ``run_time`` and ``adc_id``, which may be repeated."""
     parts = read(spark, root, "ten_minute").where(F.col("batch_seq") <= seq)
     mine = parts.where(F.col("batch_seq") == seq)
-    keys = mine.select("run_ts", "adc_id").distinct()
-    totals = same_days(parts, mine).join(keys, ["run_ts", "adc_id"], "left_semi")
-    hours = read(spark, root, "hourly").where(F.col("batch_seq") == seq).drop("batch_seq")
-    return metrics.labelled(metrics.merge_partials(totals)), hours
+    touched = metrics.merge_partials(mine).select("run_ts", "adc_id")
+    totals = metrics.merge_partials(same_days(parts, mine))
+    totals = totals.join(touched, ["run_ts", "adc_id"], "left_semi")
+    hours = read(spark, root, "hourly").where(F.col("batch_seq") == seq)
+    return metrics.labelled(totals), hours.drop("batch_seq", "run_day")
 
 
 def ten_minute(spark: SparkSession, root: str) -> DataFrame:
@@ -98,6 +98,10 @@ def ten_minute(spark: SparkSession, root: str) -> DataFrame:
 
 def hourly(spark: SparkSession, root: str) -> DataFrame:
     """The hourly table: the newest row of every hour and site."""
+    return _hourly(spark, root).drop("run_day")
+
+
+def _hourly(spark: SparkSession, root: str) -> DataFrame:
     rows = committed(spark, root, "hourly")
     return latest_by_key(rows, ("run_time", "adc_id"), "batch_seq").drop("batch_seq")
 
@@ -120,7 +124,7 @@ def compact(spark: SparkSession, root: str, target: str) -> None:
     )
     writes = committed(spark, root, "hour_writes").drop("batch_seq")
     write_batch(writes, target, "hour_writes", seq)
-    write_batch(hourly(spark, root), target, "hourly", seq)
+    write_batch(_hourly(spark, root), target, "hourly", seq)
     write_batch(committed(spark, root, "quarantine").drop("batch_seq"), target, "quarantine", seq)
     ledger = committed(spark, root, "ledger")
     is_marker = F.col("partition") == -1

@@ -11,6 +11,9 @@ HOUR = dt.datetime(2024, 1, 1, 5)
 START = dt.datetime(2024, 1, 2)
 
 
+START_TEXT = "2024-01-01 00:10:00"
+
+
 def writes(spark, data):
     """``(adc, metric, driver, price, hours after the start)``"""
     rows = [
@@ -130,6 +133,10 @@ def test_touched_keys_include_those_without_metric(spark):
 
 
 def test_two_spellings_of_a_site_leave_one_row(spark):
-    data = [("9", "sign_driver", d, None, 0) for d in "abc"] + [("09", "sign_driver", "a", None, 0)]
-    stored = hourly.stored_rows(hourly.hourly(writes(spark, data))).collect()
-    assert [(r["adc_id"], r["sign_driver"]) for r in stored] == [(9, 3)]
+    names = [("9", d) for d in "abc"] + [("09", "a"), ("09", "z")]
+    rows = spark.createDataFrame(
+        [(START_TEXT, site, "sign_driver", d, None) for site, d in names],
+        "run_ts string, adc_id string, metric string, driver_id string, price bigint",
+    ).withColumn("run_ts", F.col("run_ts").cast("timestamp"))
+    stored = hourly.stored_rows(hourly.hourly(hourly.batch_writes(rows))).collect()
+    assert [(r["adc_id"], r["sign_driver"]) for r in stored] == [(9, 4)]

@@ -3,7 +3,6 @@ import random
 from pyspark.sql import functions as F
 
 from tallyroad.functions import status, timebucket as tb
-from tallyroad.functions.text import clamp_int
 from tallyroad.operators import metrics, parse
 from tallyroad.sources import messages
 from test_parse import message
@@ -29,7 +28,7 @@ def test_four_messages(spark):
     row = result.pop(("2017-06-19_01-00", "9"))
     assert not result
     assert [row[m] for m in metrics.MEASURES] == [1, 1, 0, 1, 3]
-    assert {f.dataType.simpleString() for f in metrics.ten_minute(rows(spark, texts)).schema[2:]} == {"int"}
+    assert {f.dataType.simpleString() for f in metrics.ten_minute(rows(spark, texts)).schema[2:]} == {"bigint"}
 
 
 def test_status_without_metric_gives_zeros(spark):
@@ -107,15 +106,14 @@ def test_spellings_of_a_site_meet_in_the_stored_table(spark):
     assert [(r["adc_id"], r["sign_driver"]) for r in stored] == [(9, 2)]
 
 
-def test_totals_stop_at_the_int_limits(spark):
-    big = [message({"status": 900, "driver_id": d, "customer_price": 2**31 - 1}) for d in (1, 2)]
+def test_totals_are_64_bit(spark):
+    big = [message({"status": 900, "driver_id": d, "customer_price": 2**33 - 1}) for d in (1, 2, 3)]
     df = rows(spark, big)
-    assert metrics.ten_minute(df).first()["event_price"] == 2**31 - 1
-    assert metrics.merge_partials(metrics.partials(df.withColumn("b", F.lit(0)), "b")).first()[
-        "event_price"
-    ] == 2 * (2**31 - 1)
-    low = spark.range(1).select(clamp_int(F.lit(-(2**40)))).first()[0]
-    assert low == -(2**31)
+    for total in (metrics.ten_minute(df), metrics.ten_minute_sql(df)):
+        assert total.first()["event_price"] == 3 * (2**33 - 1)
+        assert dict(total.dtypes)["event_price"] == dict(total.dtypes)["sign_driver"] == "bigint"
+    merged = metrics.merge_partials(metrics.partials(df.withColumn("b", F.lit(0)), "b"))
+    assert merged.first()["event_price"] == 3 * (2**33 - 1)
 
 
 def test_load_times(spark):

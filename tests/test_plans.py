@@ -4,12 +4,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_point
 from tallyroad.operators import parse
 from tallyroad.plans import feed, queries
 
 SF_DIR = "/root/testdata/sf0.001"
-WRITING = {"archive_roundtrip", "merged_text"} | {n for n in queries.all_queries() if n.startswith("stream_")}
+WRITING = {"archive_roundtrip", "archive_positions", "merged_text"} | {n for n in queries.all_queries() if n.startswith("stream_")}
 
 
 def plan(df):
@@ -20,7 +19,7 @@ def plan(df):
 def plans(spark):
     return {
         name: plan(build(spark, SF_DIR))
-        for name, build in entry_point.queries().items()
+        for name, build in queries.all_queries().items()
         if name not in WRITING
     }
 

@@ -29,26 +29,21 @@ def part_files(path):
     return [f for f in os.listdir(path) if f.startswith("part-")]
 
 
-def test_merged_text_is_one_file(spark):
+def test_merged_text_keeps_the_order(spark):
     path = scratch_dir(spark, "merged")
     lines = spark.range(1000).repartition(7).selectExpr("cast(id as string) as value")
-    assert text_archive.write_merged_text(lines, path) == 1
-    assert len(part_files(path)) == 1
-    assert spark.read.text(path).count() == 1000
-    assert text_archive.write_merged_text(lines.limit(5), path) == 1
+    expected = [r[0] for r in lines.collect()]
+    for files in (1, 3):
+        text_archive.write_merged_text(lines, path, files=files)
+        names = sorted(part_files(path))
+        assert len(names) == files
+        assert [x for n in names for x in open(f"{path}/{n}").read().split()] == expected
+    text_archive.write_merged_text(lines.limit(5), path)
     assert spark.read.text(path).count() == 5
     with pytest.raises(AnalysisException):
         text_archive.write_merged_text(lines, path, overwrite=False)
 
 
-def test_merged_text_beyond_one_task(spark):
-    path = scratch_dir(spark, "merged")
-    lines = spark.range(1000).selectExpr("lpad(id, 9, '0') as value")
-    assert text_archive.write_merged_text(lines, path, one_file_bytes=4000) == 3
-    assert len(part_files(path)) == 3
-    assert sorted(r[0] for r in spark.read.text(path).collect()) == [f"{i:09}" for i in range(1000)]
-
-
 class Connection:
     """Records what a DB-API connection is asked to do."""
 
@@ -58,6 +53,9 @@ class Connection:
     def cursor(self):
         return self
 
+    def execute(self, statement):
+        self.calls.append(statement)
+
     def executemany(self, statement, rows):
         self.calls.append((statement, rows))
 
@@ -88,3 +86,31 @@ def test_rows_run_in_batches():
         "commit", "close"]
     jdbc.execute_rows([], connect, "S", ["x"], 2)
     assert len(made) == 1
+
+
+def test_rows_are_computed_once_for_all_null_patterns(spark):
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for row in rows:
+            runs.add(1)
+            yield row
+
+    mixed = spark.createDataFrame(
+        spark.sparkContext.parallelize(
+            [(1, "a", 1), (2, None, 2), (3, "c", None), (4, None, None), (5, "e", 5)], 2
+        ).mapPartitions(counted),
+        "id int, x string, y int",
+    )
+    seen = {}
+    jdbc.write_by_nulls(mixed, ["x", "y"], lambda part: seen.update({tuple(part.columns): part.count()}))
+    assert seen == {("id",): 1, ("id", "x"): 1, ("id", "y"): 1, ("id", "x", "y"): 2}
+    assert runs.value == 5
+
+
+def test_swap_is_one_transaction():
+    statements = jdbc.swap_statements("t", "s", ["a", "b"], ["a", "b", "n"])
+    assert statements == [
+        "DELETE FROM t WHERE EXISTS (SELECT 1 FROM s WHERE s.a = t.a AND s.b = t.b)",
+        "INSERT INTO t (a, b, n) SELECT a, b, n FROM s",
+    ]

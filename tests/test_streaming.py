@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 import shutil
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -275,21 +276,96 @@ def test_published_rows_are_the_stored_ones(spark):
     assert sorted(published, key=str) == sorted(stored, key=str)
 
 
-def test_many_days_are_read_whole(spark, monkeypatch):
-    monkeypatch.setattr(tables, "PRUNED_DAYS", 1)
+def test_days_of_a_batch_prune_the_state(spark):
     feed = Feed(spark)
-    days = [f"2024-01-{d:02} 00:00:00" for d in (1, 2, 3)]
-    for _ in range(2):
-        feed.land([message(data={"timestamp": d}) for d in days])
+    days = [f"2024-{m:02}-{d:02} 00:00:00" for m in (1, 2, 3) for d in range(1, 29)]
+    for some in (days, days[:3]):
+        feed.land([message(data={"timestamp": d}) for d in some])
         feed.run()
-    assert [r["sign_driver"] for r in tables.hourly(spark, feed.root).collect()] == [1, 1, 1]
+    counts = [r["sign_driver"] for r in tables.hourly(spark, feed.root).collect()]
+    assert counts == [1] * len(days)
+    state = tables.read(spark, feed.root, "hour_writes")
+    near = tables.same_days(state, state.where(F.col("batch_seq") == 1))
+    assert near.count() == 6
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "SortMergeJoin" not in plan
+
+
+def test_session_has_to_be_in_utc(spark):
+    feed = Feed(spark)
+    feed.land([message()])
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            feed.run()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_hot_hour_meets_in_no_join(spark):
+    """No join on hour and site stands below the grouping by driver."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        state = spark.createDataFrame(
+            [], tables.SCHEMAS["hour_writes"]
+        )
+        fresh = hourly.hourly(state).join(hourly.touched_keys(state), list(hourly.KEY), "left_semi")
+        plan = fresh._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    depth = {k: min(len(x) - len(x.lstrip(" :+-")) for x in plan.split("\n") if k in x) for k in ("Join", "driver_id")}
+    assert depth["Join"] < depth["driver_id"]
+
+
+def test_archive_goes_on_from_its_ledger(spark):
+    feed = Feed(spark)
+    archive, ledger = scratch_dir(spark, "archive"), scratch_dir(spark, "ledger")
+    for texts in split(TEXTS, 2):
+        feed.land(texts)
+        stream = sources.file_stream(spark, feed.path)
+        job = jobs.archive_job(
+            stream, archive, "t", feed.checkpoint, consumer="c", ledger_root=ledger
+        )
+        job.awaitTermination()
+    stored = dict(rows[1:] for rows in map(tuple, tables.positions(spark, ledger, "t", "c").collect()))
+    assert max(stored.values()) == len(TEXTS) and set(stored) == {0, 1}
+
+
+def test_stop_event_ends_the_query_between_batches(spark):
+    feed = Feed(spark)
+    feed.land(TEXTS[:5])
+    stream = sources.file_stream(spark, feed.path)
+    query = jobs.metrics_job(stream, feed.root, feed.checkpoint, interval="1 second")
+    query.processAllAvailable()
+    stop = threading.Event()
+    stop.set()
+    tallyroad_job.run_until_stopped(query, stop)
+    assert not query.isActive
+
+
+PUBLISHED = []
+
+
+def remember(session, seq):
+    PUBLISHED.append(seq)
+
+
+def test_command_line_rules(spark):
+    given = ["metrics", "--servers", "h:1", "--topic", "t", "--root", "r", "--checkpoint", "c"]
+    with pytest.raises(SystemExit):
+        tallyroad_job.arguments([*given, "--start", "earliest"])
+    assert tallyroad_job.arguments([*given, "--start", "earliest", "--max-offsets", "9"]).max_offsets == 9
+    assert tallyroad_job.publisher(None) is None
+    assert tallyroad_job.publisher(f"{__name__}:remember") is not None
 
 
 def test_command_line(spark):
     feed = Feed(spark)
     feed.land(TEXTS)
     given = ["--topic", "t", "--files", feed.path, "--root", feed.root, "--checkpoint", feed.checkpoint]
-    args = tallyroad_job.arguments(["metrics", *given, "--key-life", "0"])
+    args = tallyroad_job.arguments(
+        ["metrics", *given, "--key-life", "0", "--publish", f"{__name__}:remember"]
+    )
     tallyroad_job.start(spark, args).awaitTermination()
     assert feed.hourly() == batch_hourly(spark, TEXTS)
     given[-3:] = [scratch_dir(spark, "archive"), "--checkpoint", scratch_dir(spark, "checkpoint")]

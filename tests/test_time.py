@@ -32,6 +32,9 @@ def labels(spark, text):
         ("2017-02-30 00:00:00", "2017-03-02_00-00", "2017-03-02_00-10"),
         ("2017-06-19 25:61:61", "2017-06-20_02-00", "2017-06-20_02-10"),
         ("2017-00-00 00:00:00", "2016-11-30_00-00", "2016-11-30_00-10"),
+        ("9500-1-1 00:00:00", "9500-01-01_00-00", "9500-01-01_00-10"),
+        ("2017-06-19 00:00:0000086400", "2017-06-20_00-00", "2017-06-20_00-10"),
+        ("2017-06-19 00:00:99999999", "2020-08-19_09-40", "2020-08-19_09-50"),
     ],
 )
 def test_ten_minute_labels(spark, text, floor, after):
@@ -93,3 +96,20 @@ def test_pad_two(spark):
 def test_current_time(spark):
     row = one(spark, now=tb.current_millis(), day=tb.current_day())
     assert row["now"] > 1_600_000_000_000 and len(row["day"]) == 10
+
+
+@pytest.mark.parametrize(
+    "text, out",
+    [
+        ("12017-06-19 01:00:03", True),
+        ("0-1-1 00:00:00", True),
+        ("9999-12-31 23:59:60", True),
+        ("99999999999999999999-1-1 0:0:0", True),
+        ("9999-12-31 23:59:59", False),
+        ("2017-06-19 01:00:03", False),
+        ("yesterday", False),
+        ("", False),
+    ],
+)
+def test_times_out_of_range(spark, text, out):
+    assert one(spark, out=tb.out_of_range(F.lit(text)))["out"] is out

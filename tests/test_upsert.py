@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from tallyroad.operators import upsert
 
@@ -43,16 +42,10 @@ def test_existing_counts(spark):
     assert rows(upsert.existing_counts(old, wanted, ["k"])) == [("b", 2), ("c", 0)]
 
 
-def test_split_by_nulls(spark):
-    mixed = spark.createDataFrame(
-        [(1, "a", 1), (2, None, 2), (3, "c", None), (4, None, None)], "id int, x string, y int"
-    )
-    parts = upsert.split_by_nulls(mixed, ["x", "y"])
-    assert sorted((tuple(p.columns), p.count()) for p in parts) == [
-        (("id",), 1), (("id", "x"), 1), (("id", "x", "y"), 1), (("id", "y"), 1)]
-    stored = upsert.with_defaults(upsert.union_all(parts), {"x": F.lit("d")})
-    assert {(r["id"], r["x"], r["y"]) for r in stored.collect()} == {
-        (1, "a", 1), (2, "d", 2), (3, "c", None), (4, "d", None)}
+def test_insert_columns(spark):
+    mixed = spark.createDataFrame([(1, "a", 1), (2, None, 2), (4, None, None)], "id int, x string, y int")
+    named = mixed.select(upsert.insert_columns(mixed.columns))
+    assert [r[0] for r in named.collect()] == ["id,x,y", "id,y", "id"]
 
 
 def test_latest_by_key(spark):
