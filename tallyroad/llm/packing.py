@@ -98,6 +98,18 @@ class Encoder:
                 self.seen[word] = self.plain(" " + word).tobytes()
 
 
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of this Python worker. A worker runs many tasks one after
+    another; kept on a module that stays loaded, the encoder and the words it
+    has seen serve them all."""
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_worker_encoders", {})
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
+
+
 def cut_points(ids: np.ndarray, closes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where a document of these ids may be cut (tokens before the cut, its
     whole length last), and the penalties."""
@@ -211,7 +223,7 @@ def pack(
     id_col: str = "doc_id",
     text_col: str = "text",
     length: int = LENGTH,
-    encoder: Callable[[str], Encoder] = Encoder,
+    encoder: Callable[[str], Encoder] = worker_encoder,
 ) -> DataFrame:
     """One row per piece: ``id_col, start, length, ids`` (little-endian
     unsigned 32-bit numbers), ``doc_tokens, sequence_id, offset``.
