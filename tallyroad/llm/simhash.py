@@ -8,6 +8,11 @@ there are: copies collapse to one fingerprint before the shuffle. Groups are
 never expanded into all pairs: neighbours in a sorted group are linked, and a
 chain is enough for the components.
 
+``keep_one`` also has to find documents that share 0.8 of their shingles, which
+lie beyond any radius that can be emitted (a ball of radius 5 has 8 million
+points). There, bands of least hashes (MinHash) give further candidates, which
+are decided on their whole texts.
+
 Null and empty texts have fingerprint zero and link like any other. Ids may be
 null or repeated; a component's id is its smallest id that is not null.
 """
@@ -27,30 +32,58 @@ from tallyroad.llm.common import fresh, stored, word_blocks
 
 BITS = 64
 SEED = 42
+# Bands of least hashes, and hashes per band: 0.998 of the pairs that share 0.8
+# of their shingles have a band in common.
+BANDS = 12
+BAND_ROWS = 4
 
 
-def text_fingerprint(text: str | None, words: int) -> int:
-    """A bit is 1 if it is set in over half of the shingles' hashes. Shingles
-    are runs of ``words`` words of the text in ASCII lower case, repeats
-    included; a shorter text is one shingle."""
-    counts = np.zeros(BITS, dtype=np.int64)
-    total = 0
+def hash_blocks(text: str | None, words: int) -> Iterator[np.ndarray]:
+    """Hashes of all shingles, in blocks. Shingles are runs of ``words`` words
+    of the text in ASCII lower case, repeats included; a shorter text is one
+    shingle, a text without words has none."""
     digest = xxhash.xxh64_intdigest
     carry: list[bytes] = []
+    any_run = False
     for block in word_blocks((text or "").encode().lower()):
         block = carry + block
         runs = zip(*(itertools.islice(block, i, None) for i in range(words)))
-        hashes = np.array([digest(b" ".join(r), SEED) for r in runs], dtype=">u8")
+        hashes = np.array([digest(b" ".join(r), SEED) for r in runs], dtype=np.uint64)
         if len(hashes):
-            total += len(hashes)
-            for part in np.array_split(hashes, 1 + len(hashes) // 65536):
-                bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1)
-                counts += bits.sum(axis=0, dtype=np.int64)
-        carry = block[len(block) - words + 1 :] if words > 1 and len(block) >= words else (block if words > 1 else [])
-    if not total and carry:
-        total = 1
-        counts += np.unpackbits(np.array([digest(b" ".join(carry), SEED)], dtype=">u8").view(np.uint8))
-    return int.from_bytes(np.packbits(counts * 2 > total).tobytes(), "big")
+            any_run = True
+            yield hashes
+        carry = block[-(words - 1) :] if words > 1 else []
+    if not any_run and carry:
+        yield np.array([digest(b" ".join(carry), SEED)], dtype=np.uint64)
+
+
+class Sketch:
+    """Fingerprint and least hashes of one text."""
+
+    def __init__(self, text: str | None, words: int, slots: int = 0):
+        bits = np.zeros(BITS, dtype=np.int64)
+        self.total = 0
+        self.least = np.full(slots, np.iinfo(np.uint64).max, dtype=np.uint64)
+        odd, plus = coefficients(slots)
+        for hashes in hash_blocks(text, words):
+            self.total += len(hashes)
+            for part in np.array_split(hashes, 1 + len(hashes) // 4096):
+                raw = part.astype(">u8").view(np.uint8).reshape(-1, 8)
+                bits += np.unpackbits(raw, axis=1).sum(axis=0, dtype=np.int64)
+                if slots:
+                    np.minimum(self.least, (part[:, None] * odd + plus).min(axis=0), out=self.least)
+        # A bit is 1 if it is set in over half of the hashes.
+        self.fingerprint = int.from_bytes(np.packbits(bits * 2 > self.total).tobytes(), "big")
+
+
+def coefficients(slots: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(SEED)
+    numbers = rng.integers(0, 1 << 64, (2, slots), dtype=np.uint64)
+    return numbers[0] | np.uint64(1), numbers[1]
+
+
+def text_fingerprint(text: str | None, words: int) -> int:
+    return Sketch(text, words).fingerprint
 
 
 def fingerprint(text: Column, words: int = 3) -> Column:
@@ -125,16 +158,97 @@ def hex_text(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
+def sketches(text: Column, words: int) -> Column:
+    """``struct<fp, least>``: fingerprint, and least hashes (none for a text
+    without words)."""
+
+    @F.pandas_udf("fp bigint, least array<bigint>")
+    def of(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in parts:
+            made = [Sketch(t, words, BANDS * BAND_ROWS) for t in texts]
+            prints = np.array([m.fingerprint for m in made], dtype=np.uint64).view(np.int64)
+            least = [m.least.view(np.int64).tolist() if m.total else [] for m in made]
+            yield pd.DataFrame({"fp": prints, "least": least})
+
+    return of(text)
+
+
+def similar_links(marked: DataFrame, fp: str, least: str, text_col: str, words: int, similarity: float) -> DataFrame:
+    """``a, b``: fingerprints whose texts share at least ``similarity`` of
+    their shingles (Jaccard), found by bands of least hashes.
+
+    Fingerprints that meet in a band are paired with three members of it, not
+    with each other: the lowest, the highest and one that a hash picks for the
+    band. Pairs whose least hashes agree too rarely are dropped; the others are
+    decided on their whole texts."""
+    nodes = marked.where(F.size(least) > 0).groupBy(F.col(fp).alias("fp")).agg(F.min(least).alias("least"))
+    nodes = stored(nodes, "nodes")
+    keys = [
+        F.xxhash64(F.lit(band), F.slice("least", band * BAND_ROWS + 1, BAND_ROWS)) for band in range(BANDS)
+    ]
+    banded = nodes.select("fp", F.explode(F.array(*keys)).alias("band"))
+    anchors = banded.groupBy("band").agg(
+        F.min("fp").alias("low"), F.max("fp").alias("high"), F.min_by("fp", F.xxhash64("fp", "band")).alias("some")
+    )
+    met = banded.join(anchors.where("low < high"), "band").select(
+        "fp", F.explode(F.array("low", "high", "some")).alias("other")
+    )
+    pairs = met.where("fp <> other").select(F.greatest("fp", "other").alias("a"), F.least("fp", "other").alias("b"))
+    pairs = pairs.distinct()
+    for end in ("a", "b"):
+        pairs = pairs.join(nodes.select(F.col("fp").alias(end), F.col("least").alias(f"least_{end}")), end)
+    equal = [
+        F.when(F.get("least_a", F.lit(i)) == F.get("least_b", F.lit(i)), 1).otherwise(0) for i in range(BANDS * BAND_ROWS)
+    ]
+    # Four standard deviations of the estimate below the threshold.
+    slots = BANDS * BAND_ROWS
+    enough = slots * similarity - 4 * (slots * similarity * (1 - similarity)) ** 0.5
+    near = stored(pairs.where(sum(equal[1:], equal[0]) >= enough).select("a", "b"), "pairs")
+    wanted = near.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+    texts = marked.select(F.col(fp).alias("fp"), F.col(text_col).alias("text")).join(wanted, "fp")
+    texts = stored(texts.groupBy("fp").agg(F.min("text").alias("text")), "texts")
+    for end in ("a", "b"):
+        near = near.join(texts.select(F.col("fp").alias(end), F.col("text").alias(f"text_{end}")), end)
+
+    @F.pandas_udf("double")
+    def shared(first: pd.Series, second: pd.Series) -> pd.Series:
+        return pd.Series([jaccard(x, y, words) for x, y in zip(first, second)], dtype=float)
+
+    return near.where(shared("text_a", "text_b") >= similarity).select("a", "b")
+
+
+def jaccard(first: str, second: str, words: int) -> float:
+    one, two = (np.unique(np.concatenate([*hash_blocks(t, words)])) for t in (first, second))
+    both = len(np.intersect1d(one, two, assume_unique=True))
+    return both / (len(one) + len(two) - both)
+
+
 def keep_one(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, radius: int = 2
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = 5,
+    radius: int = 2,
+    similarity: float | None = 0.8,
 ) -> DataFrame:
     """The input's rows and columns, one row of each component: the one with
     the smallest id (nulls last, then the smaller text). Rows of one component
-    are cut to one per task before they are shuffled."""
-    fp, root, place = (fresh(docs, name) for name in ("fp", "root", "place"))
-    marked = stored(docs.withColumn(fp, fingerprint(F.col(text_col), words)), "marked")
-    linked = roots(marked.select(fp), radius).select(F.col("fp").alias(fp), F.col("root").alias(root))
+    are cut to one per task before they are shuffled.
+
+    Documents are linked by fingerprints within ``radius`` and, unless
+    ``similarity`` is None, by ``similar_links``: texts that share 0.8 of
+    their shingles differ in some 10 bits, out of reach of any ball that can
+    be emitted."""
+    fp, least, root, place = (fresh(docs, name) for name in ("fp", "least", "root", "place"))
+    sketch = fresh(docs, "sketch")
+    made = docs.withColumn(sketch, sketches(F.col(text_col), words))
+    made = made.select("*", F.col(sketch)["fp"].alias(fp), F.col(sketch)["least"].alias(least)).drop(sketch)
+    marked = stored(made, "marked")
+    edges = links(marked.select(fp), radius)
+    if similarity is not None:
+        edges = edges.unionByName(similar_links(marked, fp, least, text_col, words, similarity))
+    linked = graph.components(edges, "a", "b").select(F.col("node").alias(fp), F.col("component").alias(root))
     first = Window.partitionBy(root).orderBy(F.col(id_col).asc_nulls_last(), F.col(text_col).asc_nulls_last())
-    rooted = marked.join(linked, fp, "left").withColumn(root, F.coalesce(F.col(root), F.col(fp)))
+    rooted = marked.drop(least).join(linked, fp, "left").withColumn(root, F.coalesce(F.col(root), F.col(fp)))
     ranked = rooted.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1)
     return ranked.select([F.col(f"`{c}`") for c in docs.columns])

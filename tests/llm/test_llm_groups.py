@@ -135,6 +135,34 @@ def test_search_equals_brute_force(spark, n, k):
         assert sorted(got[i]) == [(rank + 1, d, j) for rank, (d, j) in enumerate(best)]
 
 
+def brute_shingles(text, k=5):
+    words = text.lower().split()
+    return {" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))}
+
+
+def test_similar_documents_leave_one(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    texts = []
+    for _ in range(12):
+        source = [word() for _ in range(200)]
+        texts.append(" ".join(source))
+        for edits in (1, 2, 4, 30):
+            copy = list(source)
+            for _ in range(edits):
+                copy[rng.randrange(200)] = word()
+            texts.append(" ".join(copy))
+    sets = [brute_shingles(t) for t in texts]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8]
+    expected = set(brute_components(range(len(texts)), pairs).values())
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {r["doc_id"] for r in simhash.keep_one(df).collect()} == expected
+    assert 12 < len(expected) < len(texts)
+    for i, j in pairs[:20]:
+        assert simhash.jaccard(texts[i], texts[j], 5) == len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+    assert len({r["doc_id"] for r in simhash.keep_one(df, similarity=None).collect()}) > len(expected)
+
+
 def test_search_of_nothing(spark):
     empty = codes_of(spark, [])
     assert hamming.nearest(empty, empty).count() == 0

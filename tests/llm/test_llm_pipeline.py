@@ -38,6 +38,8 @@ def test_stages_one_by_one(spark):
     assert single.schema == docs.schema
     rows = known.collect()
     prints = [simhash.text_fingerprint(r["text"], 5) for r in rows]
+    words = [r["text"].encode().lower().split() for r in rows]
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for w in words]
     parent = list(range(len(rows)))
 
     def find(i):
@@ -47,7 +49,8 @@ def test_stages_one_by_one(spark):
 
     for i in range(len(rows)):
         for j in range(i):
-            if bin(prints[i] ^ prints[j]).count("1") <= 2:
+            near = bool(sets[i]) and bool(sets[j]) and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])
+            if near or bin(prints[i] ^ prints[j]).count("1") <= 2:
                 parent[find(i)] = find(j)
     first = {}
     for i, r in enumerate(rows):
