@@ -15,7 +15,11 @@ With shares a_d = tokens_d / all tokens and the matrix M = sum a_d p_d p_d', the
 objective is r' M^-1 r / 2 for the residual r = sum w_d a_d p_d - target, its
 gradient for w_d in the metric of the shares is p_d' M^-1 r, and a step of
 length 1 never overshoots. Once rates rest on a bound, M over the others is
-tried first, which takes fewer steps.
+tried first, which takes fewer steps. Targets that rates can meet are met in a
+few steps. Targets at the edge of what is possible (0 for a domain that all
+documents belong to a little) would take thousands; the fit then ends after
+``STEPS`` steps, or when a step gains less than a hundredth, and ``Fit.reached``
+tells how far it came.
 
 Everything is DataFrame expressions. Words are separated by ASCII white space
 and lower-cased; a null text has no words and no tokens, and its rate follows
