@@ -21,8 +21,8 @@ EXTRA = [
 
 def test_stages_one_by_one(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    docs = docs.withColumn("fp", F.lit("clash")).union(spark.createDataFrame(EXTRA, docs.withColumn("fp", F.lit("clash")).schema))
-    path = queries.table  # noqa: F841
+    extra = spark.createDataFrame(EXTRA, "doc_id bigint, text string, lang string, source string, n_chars bigint, fp string")
+    docs = docs.withColumn("fp", F.lit("clash")).union(extra)
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["language_id", "near_dedup", "secret_scans", "mix_sources", "pack"]
     stage = dict(corpus_pipeline.STAGES)
