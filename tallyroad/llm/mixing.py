@@ -60,13 +60,16 @@ WHITE_SPACE = "[ \\t\\n\\x0B\\f\\r]+"
 
 
 def label_domain() -> Column:
-    return F.when(F.col("quality") == 0, "low").when(F.col("toxic") == 1, "toxic").otherwise("clean")
+    """NULL, which is no label, where neither is bad and not both are known."""
+    known = F.col("quality").isNotNull() & F.col("toxic").isNotNull()
+    return F.when(F.col("quality") == 0, "low").when(F.col("toxic") == 1, "toxic").when(known, "clean")
 
 
 def labelled_ids(labels: DataFrame, domain: Column, id_col: str = "doc_id", sample: int = SAMPLE) -> DataFrame:
     """``id, domain`` of about ``sample`` labelled ids at most, chosen by a
     hash of the id. An id with several labels takes the last by name."""
     one = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(domain).alias("domain"))
+    one = one.where(F.col("domain").isNotNull())
     n = one.count()
     below = HASH_RANGE if n <= sample else int(HASH_RANGE * sample / n)
     return one.where(F.pmod(F.xxhash64("id"), F.lit(HASH_RANGE)) < below)

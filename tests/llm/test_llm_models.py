@@ -86,6 +86,13 @@ def mixed(spark, rows, labels):
     return docs, mixing.labelled_ids(marked, mixing.label_domain())
 
 
+def test_labels_without_a_value_do_not_count(spark):
+    rows = [(1, None, None), (2, 1, None), (3, None, 1), (4, 0, None), (5, 1, 0), (6, None, None), (6, 1, 0)]
+    marked = spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int")
+    got = dict(map(tuple, mixing.labelled_ids(marked, mixing.label_domain()).collect()))
+    assert got == {3: "toxic", 4: "low", 5: "clean", 6: "clean"}
+
+
 def test_mixing_edges(spark):
     rows = [(i, "good words here " * 20 if i % 2 else "bad bad words " * 20, "x", "y") for i in range(40)]
     rows += [(None, None, None, None), (1, "good words here", "x", "y"), (1, "good words here", "x", "y"), (99, "", "x", "y")]
