@@ -204,7 +204,7 @@ def similar_links(marked: DataFrame, fp: str, least: str, text_col: str, words:
     slots = BANDS * BAND_ROWS
     enough = slots * similarity - 4 * (slots * similarity * (1 - similarity)) ** 0.5
     near = stored(pairs.where(sum(equal[1:], equal[0]) >= enough).select("a", "b"), "pairs")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+    wanted = stored(near.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "wanted")
     texts = marked.select(F.col(fp).alias("fp"), F.col(text_col).alias("text")).join(wanted, "fp")
     texts = stored(texts.groupBy("fp").agg(F.min("text").alias("text")), "texts")
     for end in ("a", "b"):
@@ -232,23 +232,32 @@ def keep_one(
     similarity: float | None = 0.8,
 ) -> DataFrame:
     """The input's rows and columns, one row of each component: the one with
-    the smallest id (nulls last, then the smaller text). Rows of one component
-    are cut to one per task before they are shuffled.
+    the smallest id (nulls last; of rows with equal ids, the one whose text has
+    the smallest hash). Which rows go is decided on ids and fingerprints alone,
+    so that whole rows are shuffled once at most.
 
     Documents are linked by fingerprints within ``radius`` and, unless
     ``similarity`` is None, by ``similar_links``: texts that share 0.8 of
     their shingles differ in some 10 bits, out of reach of any ball that can
     be emitted."""
-    fp, least, root, place = (fresh(docs, name) for name in ("fp", "least", "root", "place"))
-    sketch = fresh(docs, "sketch")
+    fp, least, row, sketch = (fresh(docs, name) for name in ("fp", "least", "row", "sketch"))
     made = docs.withColumn(sketch, sketches(F.col(text_col), words))
-    made = made.select("*", F.col(sketch)["fp"].alias(fp), F.col(sketch)["least"].alias(least)).drop(sketch)
+    made = made.select(
+        "*", F.col(sketch)["fp"].alias(fp), F.col(sketch)["least"].alias(least), F.monotonically_increasing_id().alias(row)
+    ).drop(sketch)
     marked = stored(made, "marked")
     edges = links(marked.select(fp), radius)
     if similarity is not None:
         edges = edges.unionByName(similar_links(marked, fp, least, text_col, words, similarity))
-    linked = graph.components(edges, "a", "b").select(F.col("node").alias(fp), F.col("component").alias(root))
-    first = Window.partitionBy(root).orderBy(F.col(id_col).asc_nulls_last(), F.col(text_col).asc_nulls_last())
-    rooted = marked.drop(least).join(linked, fp, "left").withColumn(root, F.coalesce(F.col(root), F.col(fp)))
-    ranked = rooted.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1)
-    return ranked.select([F.col(f"`{c}`") for c in docs.columns])
+    linked = graph.components(edges, "a", "b").select(F.col("node").alias("fp"), F.col("component").alias("root"))
+    narrow = marked.select(
+        F.col(fp).alias("fp"),
+        F.struct(
+            F.col(id_col).isNull(), F.col(id_col), F.xxhash64(text_col), F.col(row).alias("row")
+        ).alias("order"),
+    )
+    rooted = narrow.join(linked, "fp", "left").select("order", F.coalesce("root", "fp").alias("root"))
+    kept = rooted.groupBy("root").agg(F.min("order").alias("order")).select(F.col("order.row").alias(row))
+    # As a table, its size is known before the rows are joined with it.
+    gone = stored(marked.select(row).join(kept, row, "left_anti"), "gone")
+    return marked.join(gone, row, "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
