@@ -74,7 +74,8 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         probes = open_.select("query", F.posexplode("query").alias("segment", "own")).select(
             "query", "segment", F.explode(masks).alias("mask"), "own"
         ).select("query", "segment", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
-        met = probes.join(index, ["segment", "value"])
+        # Their number is not seen in the size of the queries they come from.
+        met = probes.hint("merge").join(index, ["segment", "value"])
         apart = gaps(F.col("query"), F.col("code"))
         least = F.least(*apart)
         first = F.array_position(F.array(*apart), least) - 1
