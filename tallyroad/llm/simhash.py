@@ -36,6 +36,10 @@ SEED = 42
 # of their shingles have a band in common.
 BANDS = 12
 BAND_ROWS = 4
+# Anchors a row of a band is compared with at once, and how many times more of
+# them each round has.
+BLOCK = 64
+GROWTH = 8
 
 
 def hash_blocks(text: str | None, words: int) -> Iterator[np.ndarray]:
@@ -173,48 +177,107 @@ def sketches(text: Column, words: int) -> Column:
     return of(text)
 
 
-def similar_links(marked: DataFrame, fp: str, least: str, text_col: str, words: int, similarity: float) -> DataFrame:
-    """``a, b``: fingerprints whose texts share at least ``similarity`` of
-    their shingles (Jaccard), found by bands of least hashes.
-
-    Fingerprints that meet in a band are paired with three members of it, not
-    with each other: the lowest, the highest and one that a hash picks for the
-    band. Pairs whose least hashes agree too rarely are dropped; the others are
+def similar_components(
+    marked: DataFrame, edges: DataFrame, fp: str, least: str, text_col: str, words: int, similarity: float
+) -> DataFrame:
+    """``node, component`` of the graph that has ``edges`` and links all
+    fingerprints whose texts share at least ``similarity`` of their shingles
+    (Jaccard) and whose least hashes have a band in common.
+
+    Members of a band are compared with anchors of it, round by round. The first
+    is the member that shares most bands with others: the source, where copies
+    hang on one. Linked members are not compared again, and a member that was an
+    anchor has met the whole band and leaves it. Of a band's largest component
+    no anchor is needed. Rounds go on, with more anchors each, until no band has
+    two members that are neither compared nor connected.
+
+    Pairs whose least hashes agree too rarely are dropped; the others are
     decided on their whole texts."""
+    slots = BANDS * BAND_ROWS
     nodes = marked.where(F.size(least) > 0).groupBy(F.col(fp).alias("fp")).agg(F.min(least).alias("least"))
     nodes = stored(nodes, "nodes")
     keys = [
         F.xxhash64(F.lit(band), F.slice("least", band * BAND_ROWS + 1, BAND_ROWS)) for band in range(BANDS)
     ]
     banded = nodes.select("fp", F.explode(F.array(*keys)).alias("band"))
-    anchors = banded.groupBy("band").agg(
-        F.min("fp").alias("low"), F.max("fp").alias("high"), F.min_by("fp", F.xxhash64("fp", "band")).alias("some")
-    )
-    met = banded.join(anchors.where("low < high"), "band").select(
-        "fp", F.explode(F.array("low", "high", "some")).alias("other")
-    )
-    pairs = met.where("fp <> other").select(F.greatest("fp", "other").alias("a"), F.least("fp", "other").alias("b"))
-    pairs = pairs.distinct()
-    for end in ("a", "b"):
-        pairs = pairs.join(nodes.select(F.col("fp").alias(end), F.col("least").alias(f"least_{end}")), end)
-    equal = [
-        F.when(F.get("least_a", F.lit(i)) == F.get("least_b", F.lit(i)), 1).otherwise(0) for i in range(BANDS * BAND_ROWS)
-    ]
+    common = banded.groupBy("band").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low < high")
+    open_members = stored(banded.join(common.select("band"), "band"), "banded")
     # Four standard deviations of the estimate below the threshold.
-    slots = BANDS * BAND_ROWS
     enough = slots * similarity - 4 * (slots * similarity * (1 - similarity)) ** 0.5
-    near = stored(pairs.where(sum(equal[1:], equal[0]) >= enough).select("a", "b"), "pairs")
-    wanted = stored(near.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "wanted")
+
+    def agreeing(one: Column, two: Column) -> Column:
+        same = F.zip_with(one, two, lambda x, y: F.when(x == y, 1).otherwise(0))
+        return F.aggregate(same, F.lit(0), lambda total, n: total + n)
+
+    linked = graph.components(edges, "a", "b")
+    anchors_wanted = 1
+    while True:
+        known = linked.select(F.col("node").alias("fp"), F.col("component").alias("root"))
+        rooted = open_members.join(known, "fp", "left").select("band", "fp", F.coalesce("root", "fp").alias("root"))
+        rooted = stored(rooted, "rooted")
+        sizes = rooted.groupBy("band", "root").agg(F.count("*").alias("n"))
+        bands = sizes.groupBy("band").agg(
+            F.sum("n").alias("size"), F.max("n").alias("most"), F.max_by("root", F.struct("n", "root")).alias("main")
+        )
+        # In the first round, and where nothing is linked, any member may be the anchor.
+        whole = F.lit(anchors_wanted == 1) | (F.col("most") == 1)
+        bands = bands.where("most < size").select(
+            "band",
+            "size",
+            F.when(~whole, F.col("main")).alias("main"),
+            F.when(whole, F.col("size")).otherwise(F.col("size") - F.col("most")).alias("others"),
+        )
+        live = stored(rooted.join(bands, "band"), "live")
+        if live.isEmpty():
+            return linked
+        degrees = live.groupBy("fp").agg(F.sum("size").alias("degree"))
+        live = stored(live.join(degrees, "fp").join(nodes, "fp"), "live")
+        # Few candidates are all anchors, of many one for each of some numbers.
+        every = (F.col("others") <= BLOCK) & F.lit(anchors_wanted > 1)
+        drawn = F.xxhash64("fp", "band")
+        parts = F.when(every, F.lit(1)).otherwise(
+            F.ceil(F.least(F.col("others"), F.lit(anchors_wanted)) / BLOCK).cast("int")
+        )
+        live = live.withColumn("parts", parts)
+        picked = (
+            live.where(F.col("main").isNull() | (F.col("root") != F.col("main")))
+            .withColumn("number", F.when(every, F.col("fp")).otherwise(F.pmod(drawn, F.lit(anchors_wanted))))
+            .groupBy("band", "number")
+            .agg(F.max_by(F.struct("fp", "root", "least", "parts"), F.struct("degree", "fp")).alias("anchor"))
+        )
+        picked = stored(picked, "anchors")
+        part = F.pmod("number", F.col("anchor.parts")).cast("int")
+        blocks = picked.groupBy("band", part.alias("part")).agg(F.collect_list("anchor").alias("anchors"))
+        met = live.select("band", "fp", "root", "least", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        near = F.filter(
+            "anchors", lambda x: (x["root"] != F.col("root")) & (agreeing(x["least"], F.col("least")) >= enough)
+        )
+        pairs = met.join(blocks, ["band", "part"]).select("fp", F.explode(F.transform(near, lambda x: x["fp"])).alias("other"))
+        pairs = pairs.select(F.greatest("fp", "other").alias("a"), F.least("fp", "other").alias("b")).distinct()
+        found = stored(shared_enough(marked, stored(pairs, "pairs"), fp, text_col, words, similarity), "found")
+        if not found.isEmpty():
+            linked = graph.components(found.unionByName(linked.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b")
+        met_all = picked.select("band", F.col("anchor.fp").alias("fp"))
+        # Only bands that were live can have pairs left.
+        open_members = live.select("band", "fp").join(met_all, ["band", "fp"], "left_anti")
+        anchors_wanted *= GROWTH
+
+
+def shared_enough(
+    marked: DataFrame, pairs: DataFrame, fp: str, text_col: str, words: int, similarity: float
+) -> DataFrame:
+    """The pairs ``a, b`` whose whole texts share enough."""
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "wanted")
     texts = marked.select(F.col(fp).alias("fp"), F.col(text_col).alias("text")).join(wanted, "fp")
     texts = stored(texts.groupBy("fp").agg(F.min("text").alias("text")), "texts")
     for end in ("a", "b"):
-        near = near.join(texts.select(F.col("fp").alias(end), F.col("text").alias(f"text_{end}")), end)
+        pairs = pairs.join(texts.select(F.col("fp").alias(end), F.col("text").alias(f"text_{end}")), end)
 
     @F.pandas_udf("double")
     def shared(first: pd.Series, second: pd.Series) -> pd.Series:
         return pd.Series([jaccard(x, y, words) for x, y in zip(first, second)], dtype=float)
 
-    return near.where(shared("text_a", "text_b") >= similarity).select("a", "b")
+    return pairs.where(shared("text_a", "text_b") >= similarity).select("a", "b")
 
 
 def jaccard(first: str, second: str, words: int) -> float:
@@ -237,7 +300,7 @@ def keep_one(
     so that whole rows are shuffled once at most.
 
     Documents are linked by fingerprints within ``radius`` and, unless
-    ``similarity`` is None, by ``similar_links``: texts that share 0.8 of
+    ``similarity`` is None, by ``similar_components``: texts that share 0.8 of
     their shingles differ in some 10 bits, out of reach of any ball that can
     be emitted."""
     fp, least, row, sketch = (fresh(docs, name) for name in ("fp", "least", "row", "sketch"))
@@ -247,9 +310,11 @@ def keep_one(
     ).drop(sketch)
     marked = stored(made, "marked")
     edges = links(marked.select(fp), radius)
-    if similarity is not None:
-        edges = edges.unionByName(similar_links(marked, fp, least, text_col, words, similarity))
-    linked = graph.components(edges, "a", "b").select(F.col("node").alias("fp"), F.col("component").alias("root"))
+    if similarity is None:
+        linked = graph.components(edges, "a", "b")
+    else:
+        linked = similar_components(marked, edges, fp, least, text_col, words, similarity)
+    linked = linked.select(F.col("node").alias("fp"), F.col("component").alias("root"))
     narrow = marked.select(
         F.col(fp).alias("fp"),
         F.struct(

@@ -163,6 +163,30 @@ def test_similar_documents_leave_one(spark):
     assert len({r["doc_id"] for r in simhash.keep_one(df, similarity=None).collect()}) > len(expected)
 
 
+@pytest.mark.parametrize("with_source", [True, False])
+def test_copies_that_hang_on_one_source_leave_one(spark, with_source):
+    """Each copy is similar to the source, hardly any to another copy."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    source = [word() for _ in range(200)]
+    texts = [" ".join(source)] if with_source else []
+    for _ in range(500 if with_source else 80):
+        copy = list(source)
+        for at in rng.sample(range(200), 3):
+            copy[at] = word()
+        texts.append(" ".join(copy))
+    sets = [brute_shingles(t) for t in texts]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8]
+    prints = [simhash.text_fingerprint(t, 5) for t in texts]
+    pairs += [(i, j) for i in range(len(texts)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 2]
+    expected = set(brute_components(range(len(texts)), pairs).values())
+    order = list(range(len(texts)))
+    rng.shuffle(order)
+    df = spark.createDataFrame([(i, texts[i]) for i in order], "doc_id bigint, text string")
+    assert {r["doc_id"] for r in simhash.keep_one(df).collect()} == expected
+    assert len(expected) == 1 if with_source else len(expected) > 1
+
+
 def test_search_of_nothing(spark):
     empty = codes_of(spark, [])
     assert hamming.nearest(empty, empty).count() == 0
