@@ -2,8 +2,7 @@
 
 The target model is counted on the documents that labels call good, the
 background model on all documents. Both are bigram models over one vocabulary,
-the corpus's most frequent words and a sign for all others, with the same
-smoothing; background counts are scaled to the target's number of tokens, so
+all words of the corpus, with the same smoothing; background counts are scaled to the target's number of tokens, so
 that smoothing weighs the same in both. A document's score is the mean over its
 tokens of the target's loss minus the background's, in nats: the lower, the
 more it reads like the target.
@@ -11,10 +10,14 @@ more it reads like the target.
     p(w | v) = (c(v, w) + MU * p(w)) / (c(v) + MU)
     p(w) = (c(w) + 1) / (N + size of the vocabulary)
 
-Texts are encoded once, into word numbers. Bigrams are counted in a table of
-``1 << BUCKETS`` cells by hash, words exactly; partial sums are added up on the
-executors, and only these tables, whose size does not depend on the corpus, are
-sent to the tasks that score.
+Nothing the corpus gives has a fixed size. Documents are put together in chunks
+of about ``CHUNK`` tokens. A chunk hands in its own counts of words, of words as
+the first of a bigram and of bigrams (so a frequent one is one row per chunk,
+not one per document), which are added up over all chunks by a shuffle; it gets
+back the sums of its own ones that other chunks have too, and scores with them.
+Words and bigrams are known by 64-bit hashes. For a fixed ``size`` the
+vocabulary is the most frequent words and a sign for all others, for fixed
+``buckets`` bigrams are counted by ``1 << buckets`` hash cells.
 
 Words are split at ASCII white space and lower-cased in ASCII. A null or empty
 text has no tokens and the score 0. Where no document is labelled good, the
@@ -26,25 +29,25 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import xxhash
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyroad.llm.common import stored, word_blocks
 
-VOCABULARY = 50_000
-BUCKETS = 21
 MU = 20.0
+# Tokens of a chunk; a longer document is one of its own.
+CHUNK = 1 << 20
 # Words whose counts a task holds before it hands them on.
 HELD_WORDS = 500_000
-# Cells in a row of the table of partial sums.
-SLICE = 4096
+# What is counted.
+WORD, BEFORE, PAIR = range(3)
 
 
-def vocabulary(docs: DataFrame, text_col: str = "text", size: int = VOCABULARY) -> list[str]:
+def vocabulary(docs: DataFrame, text_col: str, size: int) -> list[str]:
     """The most frequent words over all texts; ties go to the smaller word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,101 +78,113 @@ def good_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return worst.where("quality = 1 AND coalesce(toxic, 0) = 0").select("id")
 
 
-def encode(docs: DataFrame, words: list[str], id_col: str, text_col: str) -> DataFrame:
-    """``id, ids``: word numbers from 1 as little-endian 16-bit numbers; 0 is
-    any word outside the vocabulary."""
-    if len(words) >= 1 << 16:
-        raise ValueError("the vocabulary has to fit into 16 bits")
-    known = docs.sparkSession.sparkContext.broadcast({w.encode(): i + 1 for i, w in enumerate(words)})
+def encode(
+    docs: DataFrame, words: list[str] | None, id_col: str, text_col: str, good_col: str, chunk_tokens: int
+) -> DataFrame:
+    """One row per chunk: its ``ids``, lengths and which are good, its distinct
+    word codes and the tokens as places in those (32 bits). A code is a hash,
+    or, for given words, a number from 1 and 0 for any other word."""
+    given = None
+    if words is not None:
+        if len(words) >= 1 << 16:
+            raise ValueError("a fixed vocabulary has to fit into 16 bits")
+        given = docs.sparkSession.sparkContext.broadcast({w.encode(): i + 1 for i, w in enumerate(words)})
+    key = docs.schema[id_col].dataType
+    schema = f"chunk bigint, ids array<{key.simpleString()}>, good array<boolean>, lengths array<bigint>, words array<bigint>, at binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = known.value.get
-        for batch in batches:
-            rows = []
-            for text in batch.column(1):
-                data = (text.as_py() or "").encode().lower()
-                parts = [np.array([number(w, 0) for w in block], dtype="<u2").tobytes() for block in word_blocks(data)]
-                rows.append(b"".join(parts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["id", "ids"])
-
-    key = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {key}, ids binary")
-
-
-def cells(ids: np.ndarray, buckets: int) -> np.ndarray:
-    """Hash cells of the bigrams of a text, its first word following 0."""
-    before = np.concatenate([[0], ids[:-1]]).astype(np.uint64)
-    mixed = (before << np.uint64(16) | ids.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(64 - buckets)).astype(np.int64)
+        digest = xxhash.xxh64_intdigest
+        known: dict[bytes, int] = {}
+        number = TaskContext.get().partitionId() << 32
+        ids, good, lengths, parts, held = [], [], [], [], 0
+
+        def codes(block: list[bytes]) -> np.ndarray:
+            if given is not None:
+                return np.array([given.value.get(w, 0) for w in block], dtype=np.uint64)
+            if len(known) >= HELD_WORDS:
+                known.clear()
+            known.update((w, digest(w)) for w in set(block) if w not in known)
+            return np.array([known[w] for w in block], dtype=np.uint64)
+
+        def chunk() -> pa.RecordBatch:
+            distinct, at = np.unique(np.concatenate([*parts, np.zeros(0, np.uint64)]), return_inverse=True)
+            row = [number, pa.concat_arrays(ids), good, lengths, distinct.view(np.int64), at.astype("<u4").tobytes()]
+            kinds = [pa.int64(), pa.list_(ids[0].type), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+            columns = [pa.array([v.tolist() if isinstance(v, np.ndarray) else v.to_pylist() if isinstance(v, pa.Array) else v], k) for v, k in zip(row, kinds)]
+            return pa.RecordBatch.from_arrays(columns, names=["chunk", "ids", "good", "lengths", "words", "at"])
 
-
-def counts(encoded: DataFrame, size: int, buckets: int) -> dict[str, np.ndarray]:
-    """Tables ``words``, ``before`` (a word as the first of a bigram; 0 also
-    stands for the start) and ``pairs``; each for all documents and, with
-    ``_good``, for the target."""
-    tables = {"words": size + 1, "before": size + 1, "pairs": 1 << buckets}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                data = (batch.column(1)[i].as_py() or "").encode().lower()
+                blocks = [codes(block) for block in word_blocks(data)]
+                n = sum(map(len, blocks))
+                if ids and held + n > chunk_tokens:
+                    yield chunk()
+                    number += 1
+                    ids, good, lengths, parts, held = [], [], [], [], 0
+                ids.append(batch.column(0).slice(i, 1))
+                good.append(batch.column(2)[i].as_py())
+                lengths.append(n)
+                parts += blocks
+                held += n
+        if ids:
+            yield chunk()
+
+    return docs.select(id_col, text_col, good_col).mapInArrow(run, schema)
+
+
+def cells(before: np.ndarray, codes: np.ndarray, buckets: int) -> np.ndarray:
+    """Hash cells of bigrams."""
+    mixed = (before << np.uint64(16) | codes) * np.uint64(0x9E3779B97F4A7C15)
+    return mixed >> np.uint64(64 - buckets)
+
+
+def pair_hashes(before: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    mixed = before * np.uint64(0x9E3779B97F4A7C15) + codes
+    mixed = (mixed ^ mixed >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+    return (mixed ^ mixed >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+
+
+class Counts:
+    """A chunk's tokens, and by kind its distinct keys, every token's place
+    among those, and how often each key comes, in all and in good documents."""
+
+    def __init__(self, words: np.ndarray, at: bytes, lengths: np.ndarray, good: np.ndarray, buckets: int | None):
+        codes = words.view(np.uint64)[np.frombuffer(at, dtype="<u4")]
+        before = np.concatenate([np.zeros(1, np.uint64), codes[:-1]])[: len(codes)]
+        # A document's first word follows 0.
+        starts = (np.cumsum(lengths) - lengths)[lengths > 0]
+        before[starts] = 0
+        pairs = pair_hashes(before, codes) if buckets is None else cells(before, codes, buckets)
+        weights = np.repeat(good, lengths).astype(float)
+        self.keys, self.places, self.n, self.n_good = [], [], [], []
+        for values in (codes, before, pairs):
+            keys, places = np.unique(values.view(np.int64), return_inverse=True)
+            self.keys.append(keys)
+            self.places.append(places)
+            self.n.append(np.bincount(places, minlength=len(keys)))
+            self.n_good.append(np.bincount(places, weights, minlength=len(keys)).astype(np.int64))
+
+
+def flat(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return whole.flatten().to_numpy(zero_copy_only=False)
+
+
+def chunk_counts(encoded: DataFrame, buckets: int | None) -> DataFrame:
+    """``kind, key, chunk, n, n_good`` of every chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = {(t, g): np.zeros(n, dtype=np.int64) for t, n in tables.items() for g in (False, True)}
         for batch in batches:
-            for data, good in zip(batch.column(0), batch.column(1)):
-                ids = np.frombuffer(data.as_py(), dtype="<u2")
-                if not len(ids):
-                    continue
-                before = np.concatenate([[0], ids[:-1]])
-                for name, where in (("words", ids), ("before", before), ("pairs", cells(ids, buckets))):
-                    np.add.at(sums[name, bool(good.as_py())], where, 1)
-        for (name, good), values in sums.items():
-            for at in range(0, len(values), SLICE):
-                part = values[at : at + SLICE]
-                used = np.flatnonzero(part)
-                if len(used):
-                    yield pa.RecordBatch.from_pydict(
-                        {"name": [name] * len(used), "good": [good] * len(used), "cell": used + at, "n": part[used]}
-                    )
-
-    partial = encoded.select("ids", "good").mapInArrow(run, "name string, good boolean, cell bigint, n bigint")
-    summed = partial.groupBy("name", "good", "cell").agg(F.sum("n").alias("n"))
-    # A row per slice of a table, so few and short rows come to the driver.
-    sliced = summed.groupBy("name", "good", F.expr(f"cell div {SLICE}").alias("slice")).agg(
-        F.collect_list(F.struct("cell", "n")).alias("cells")
-    )
-    found = {(t, g): np.zeros(n) for t, n in tables.items() for g in (False, True)}
-    for name, good, _, items in sliced.toLocalIterator():
-        table = np.array(items, dtype=np.int64)
-        found[name, good][table[:, 0]] = table[:, 1]
-    out = {f"{t}_good": found[t, True] for t in tables}
-    return out | {t: found[t, False] + found[t, True] for t in tables}
-
+            for i in range(batch.num_rows):
+                number, good, lengths, words, at = (c.slice(i, 1) for c in batch.columns)
+                found = Counts(flat(words), at[0].as_py(), flat(lengths), flat(good), buckets)
+                for kind, (keys, n, n_good) in enumerate(zip(found.keys, found.n, found.n_good)):
+                    rows = [np.full(len(keys), kind, np.int8), keys, np.full(len(keys), number[0].as_py()), n, n_good]
+                    yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], names=["kind", "key", "chunk", "n", "n_good"])
 
-@dataclass
-class Model:
-    """Counts as probabilities need them."""
-
-    single: np.ndarray  # p(w)
-    before: np.ndarray
-    pairs: np.ndarray
-    mu: float
-
-    def losses(self, ids: np.ndarray, where: np.ndarray) -> np.ndarray:
-        before = np.concatenate([[0], ids[:-1]])
-        p = (self.pairs[where] + self.mu * self.single[ids]) / (self.before[before] + self.mu)
-        return -np.log(p)
-
-
-def models(found: dict[str, np.ndarray], mu: float = MU) -> tuple[Model, Model]:
-    """Target and background, of equal weight."""
-    good, whole = found["words_good"].sum(), found["words"].sum()
-    kind = "_good" if good else ""
-    scale = good / whole if good else 1.0
-
-    def model(end: str, factor: float) -> Model:
-        words = found["words" + end] * factor
-        single = (words + 1) / (words.sum() + len(words))
-        as32 = (single, found["before" + end] * factor, found["pairs" + end] * factor)
-        return Model(*(a.astype(np.float32) for a in as32), mu)
-
-    return model(kind, 1.0), model("", scale)
+    rows = encoded.select("chunk", "good", "lengths", "words", "at")
+    return rows.mapInArrow(run, "kind tinyint, key bigint, chunk bigint, n bigint, n_good bigint")
 
 
 def score(
@@ -177,37 +192,70 @@ def score(
     labels: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    size: int = VOCABULARY,
-    buckets: int = BUCKETS,
+    size: int | None = None,
+    buckets: int | None = None,
     mu: float = MU,
+    chunk_tokens: int = CHUNK,
 ) -> DataFrame:
     """``id_col, n_tokens, target_loss, background_loss, score``: mean losses
     per token, and their difference."""
-    words = vocabulary(docs, text_col, size)
-    good = good_ids(labels).withColumn("good", F.lit(True))
-    encoded = encode(docs, words, id_col, text_col).join(good, "id", "left")
-    encoded = stored(encoded.select("id", "ids", F.coalesce("good", F.lit(False)).alias("good")), "encoded")
-    pair = docs.sparkSession.sparkContext.broadcast(models(counts(encoded, len(words), buckets), mu))
-
-    @F.pandas_udf("target double, background double")
-    def of(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        target, background = pair.value
-        for rows in parts:
-            means = []
-            for data in rows:
-                ids = np.frombuffer(data, dtype="<u2")
-                if len(ids):
-                    where = cells(ids, buckets)
-                    means.append([float(m.losses(ids, where).mean(dtype=np.float64)) for m in (target, background)])
-                else:
-                    means.append([0.0, 0.0])
-            yield pd.DataFrame(means, columns=["target", "background"])
-
-    found = encoded.withColumn("loss", of(F.col("ids")))
-    return found.select(
+    if buckets is not None and size is None:
+        raise ValueError("hash cells are for a fixed vocabulary")
+    words = None if size is None else vocabulary(docs, text_col, size)
+    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    marked = plain.join(good_ids(labels).withColumn("good", F.lit(True)), "id", "left")
+    marked = marked.select("id", "text", F.coalesce("good", F.lit(False)).alias("good"))
+    encoded = stored(encode(marked, words, "id", "text", "good", chunk_tokens), "encoded")
+    lengths = F.arrays_zip("lengths", "good")
+    sums = encoded.select(F.explode(lengths).alias("x")).agg(
+        F.sum("x.lengths"), F.sum(F.when(F.col("x.good"), F.col("x.lengths")))
+    )
+    whole, target = (n or 0 for n in sums.first())
+    # One more for words that are not in the vocabulary.
+    types = 1 + (encoded.select(F.explode("words")).distinct().count() if words is None else len(words))
+
+    # A key is one row of each chunk, so no group is large.
+    same = Window.partitionBy("kind", "key")
+    summed = chunk_counts(encoded, buckets).select(
+        "chunk", "kind", "key", "n", F.sum("n").over(same).alias("total"), F.sum("n_good").over(same).alias("total_good")
+    )
+    # What no other chunk has needs no answer.
+    answers = summed.where("total > n").drop("n")
+    key = encoded.schema["ids"].dataType.elementType.simpleString()
+    schema = f"id {key}, n_tokens bigint, target double, background double"
+
+    def run(chunk: pa.Table, others: pa.Table) -> pa.Table:
+        lengths, good = flat(chunk["lengths"]), flat(chunk["good"])
+        found = Counts(flat(chunk["words"]), chunk["at"][0].as_py(), lengths, good, buckets)
+        kinds, keys, totals, totals_good = (
+            others[c].to_numpy() for c in ("kind", "key", "total", "total_good")
+        )
+        for kind in (WORD, BEFORE, PAIR):
+            mine = kinds == kind
+            at = np.searchsorted(found.keys[kind], keys[mine])
+            found.n[kind][at] = totals[mine]
+            found.n_good[kind][at] = totals_good[mine]
+
+        def means(n: list[np.ndarray], all_tokens: int, factor: float) -> np.ndarray:
+            single = (n[WORD] * factor + 1) / (all_tokens * factor + types)
+            top = n[PAIR][found.places[PAIR]] * factor + mu * single[found.places[WORD]]
+            losses = np.log((n[BEFORE] * factor + mu)[found.places[BEFORE]] / top)
+            sums = np.zeros(len(lengths))
+            used = lengths > 0
+            if used.any():
+                sums[used] = np.add.reduceat(losses, (np.cumsum(lengths) - lengths)[used])
+            return sums / np.maximum(lengths, 1)
+
+        background = means(found.n, whole, target / whole if target else 1.0)
+        aimed = means(found.n_good, target, 1.0) if target else background
+        ids = chunk["ids"].combine_chunks().flatten()
+        return pa.table({"id": ids, "n_tokens": lengths, "target": aimed, "background": background})
+
+    scored = encoded.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, schema)
+    return scored.select(
         F.col("id").alias(id_col),
-        (F.octet_length("ids") / 2).cast("bigint").alias("n_tokens"),
-        F.col("loss.target").alias("target_loss"),
-        F.col("loss.background").alias("background_loss"),
-        (F.col("loss.target") - F.col("loss.background")).alias("score"),
+        "n_tokens",
+        F.col("target").alias("target_loss"),
+        F.col("background").alias("background_loss"),
+        (F.col("target") - F.col("background")).alias("score"),
     )

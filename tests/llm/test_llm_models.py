@@ -225,6 +225,36 @@ def test_scores_equal_brute_force(spark, size, buckets):
         assert r["n_tokens"] == len((texts[r["doc_id"]] or "").split())
 
 
+def test_scores_are_of_exact_counts(spark):
+    """More distinct words than fit into 16 bits, over many chunks."""
+    rng = random.Random(8)
+    texts = {i: " ".join(f"w{min(int(rng.paretovariate(0.1)), 10**15)}" for _ in range(800)) for i in range(180)}
+    good = {i for i in texts if i % 3 == 0}
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    marked = spark.createDataFrame([(i, 1, 0) for i in good], "doc_id bigint, quality int, toxic int")
+    docs = {i: t.split() for i, t in texts.items()}
+    assert len({w for d in docs.values() for w in d}) > 50_000
+
+    def model(chosen, factor):
+        one, before, pair = Counter(), Counter(), Counter()
+        for i in chosen:
+            one.update(docs[i])
+            before.update(["", *docs[i][:-1]])
+            pair.update(zip(["", *docs[i]], docs[i]))
+        total = sum(one.values()) * factor + len({w for d in docs.values() for w in d}) + 1
+        p = lambda w: (one[w] * factor + 1) / total
+        return lambda v, w: -math.log((pair[v, w] * factor + 20 * p(w)) / (before[v] * factor + 20))
+
+    models = model(good, 1), model(docs, len(good) / len(docs))
+    rows = lmscore.score(df, marked, chunk_tokens=9_000).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(docs)
+    for r in rows:
+        d = docs[r["doc_id"]]
+        expected = [sum(m(v, w) for v, w in zip(["", *d], d)) / len(d) for m in models]
+        assert (r["target_loss"], r["background_loss"]) == pytest.approx(expected, abs=1e-9)
+        assert r["n_tokens"] == len(d) and min(r["target_loss"], r["background_loss"]) >= 0
+
+
 def test_scores_without_a_target(spark):
     df = spark.createDataFrame([(1, "a b a"), (1, "a b a"), (None, "c")], "doc_id bigint, text string")
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
