@@ -35,9 +35,13 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Thins out low-quality and toxic documents to their target weights."""
-    labelled = mixing.labelled_ids(table(spark, sf_dir, "labels"), mixing.label_domain())
-    return mixing.resample(docs, labelled, mixing.DOMAINS, [KEEP[d] for d in mixing.DOMAINS])
+    """Thins out low-quality and toxic documents to their target weights;
+    every document that is labelled clean or most likely clean stays."""
+    labels = table(spark, sf_dir, "labels")
+    labelled = mixing.labelled_ids(labels, mixing.label_domain())
+    clean = mixing.domain_ids(labels, mixing.label_domain()).where("domain = 'clean'")
+    keep = [KEEP[d] for d in mixing.DOMAINS]
+    return mixing.resample(docs, labelled, mixing.DOMAINS, keep, spared="clean", spared_ids=clean)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

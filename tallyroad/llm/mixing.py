@@ -32,6 +32,7 @@ document is not missed.
 from __future__ import annotations
 
 import functools
+import logging
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -41,6 +42,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyroad.llm.common import fresh, stored
 
+log = logging.getLogger(__name__)
+
 # Labelled documents the classifier is learnt from, about: all of a smaller
 # table, and of a larger one those whose ids hash lowest.
 SAMPLE = 20_000
@@ -65,11 +68,17 @@ def label_domain() -> Column:
     return F.when(F.col("quality") == 0, "low").when(F.col("toxic") == 1, "toxic").when(known, "clean")
 
 
-def labelled_ids(labels: DataFrame, domain: Column, id_col: str = "doc_id", sample: int = SAMPLE) -> DataFrame:
-    """``id, domain`` of about ``sample`` labelled ids at most, chosen by a
-    hash of the id. An id with several labels takes the last by name."""
+def domain_ids(labels: DataFrame, domain: Column, id_col: str = "doc_id") -> DataFrame:
+    """``id, domain`` of all labelled ids. An id with several labels takes the
+    last by name."""
     one = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(domain).alias("domain"))
-    one = one.where(F.col("domain").isNotNull())
+    return one.where(F.col("domain").isNotNull())
+
+
+def labelled_ids(labels: DataFrame, domain: Column, id_col: str = "doc_id", sample: int = SAMPLE) -> DataFrame:
+    """About ``sample`` rows of ``domain_ids`` at most, chosen by a hash of the
+    id."""
+    one = domain_ids(labels, domain, id_col)
     n = one.count()
     below = HASH_RANGE if n <= sample else int(HASH_RANGE * sample / n)
     return one.where(F.pmod(F.xxhash64("id"), F.lit(HASH_RANGE)) < below)
@@ -252,9 +261,12 @@ def fit(
     upper: float | None = None,
     steps: int = STEPS,
     relative: bool = False,
+    held: Column | None = None,
 ) -> Fit:
     """Rates for ``rows`` (``_tokens`` and ``names``). Targets are shares of
-    all tokens, or, if ``relative``, multiples of what the domains have now."""
+    all tokens, or, if ``relative``, multiples of what the domains have now.
+    Rows that are ``held`` count with a rate of 1 whatever the others' are."""
+    free_rows = F.lit(True) if held is None else ~held
     k = len(names)
     total = rows.agg(F.sum("_tokens")).first()[0] or 0
     if not total:
@@ -264,9 +276,9 @@ def fit(
 
     def measure(rate: Column, free: Column) -> tuple[np.ndarray, np.ndarray]:
         """Expected shares, and the inverse of M over documents with ``free``."""
-        held = rows.withColumn("_rate", rate)
-        weight = share * F.when(free, 1.0).otherwise(0.0)
-        sums = held.agg(
+        rated = rows.withColumn("_rate", F.when(free_rows, rate).otherwise(1.0))
+        weight = share * F.when(free & free_rows, 1.0).otherwise(0.0)
+        sums = rated.agg(
             *[F.sum(share * F.col(n) * F.col("_rate")) for n in names],
             *[F.sum(weight * F.col(names[i]) * F.col(names[j])) for i, j in pairs],
         ).first()
@@ -331,21 +343,47 @@ def resample(
     multiples: Sequence[float],
     id_col: str = "doc_id",
     text_col: str = "text",
+    spared: str | None = None,
+    spared_ids: DataFrame | None = None,
 ) -> DataFrame:
     """The rows that stay when the domains' expected tokens go to ``multiples``
     of what they are, no row more than once. A row stays if a hash of its id
-    and text, between 0 and 1, is below its rate."""
+    and text, between 0 and 1, is below its rate.
+
+    All rows whose most likely domain is ``spared`` stay, and those whose id is
+    in ``spared_ids`` (``id``, each once). The rates of the others are then fitted to the other domains' multiples; as spared rows
+    belong to those a little too, they may be out of reach, which is logged."""
     model = train(docs, labelled, domains, id_col, text_col)
     names = [f"p_{d}" for d in domains]
-    plain = docs.select(F.col(text_col).alias("_text"))
+    sure = fresh(docs, "_sure")
+
+    def flagged(rows: DataFrame) -> DataFrame:
+        if spared_ids is None:
+            return rows.withColumn(sure, F.lit(False))
+        ids = spared_ids.select(F.col("id").alias(f"{sure}_id"), F.lit(True).alias(f"{sure}_on"))
+        known = rows.join(ids, F.col(id_col) == F.col(f"{sure}_id"), "left")
+        return known.withColumn(sure, F.coalesce(f"{sure}_on", F.lit(False))).drop(f"{sure}_id", f"{sure}_on")
+
+    plain = flagged(docs).select(F.col(text_col).alias("_text"), F.col(sure).alias("_sure"))
     found = stored(posteriors(plain, model, "_text", "_tokens", names).drop("_text"), "posteriors")
-    result = fit(found, names, multiples, upper=1.0, relative=True)
+    aimed = [k for k, d in enumerate(domains) if d != spared]
+
+    def staying(columns: Sequence[str], flag: str) -> Column:
+        if spared is None:
+            return F.col(flag)
+        return F.col(flag) | (F.col(columns[list(domains).index(spared)]) >= F.greatest(*[F.col(c) for c in columns]))
+
+    goals = [multiples[k] for k in aimed]
+    result = fit(found, [names[k] for k in aimed], goals, upper=1.0, relative=True, held=staying(names, "_sure"))
+    for k, start, target, reached in zip(aimed, result.start, result.targets, result.reached):
+        log.info("%s: share of tokens %.4f, target %.4f, reached %.4f", domains[k], start, target, reached)
     # The same once more beside the whole rows, so that no text is shuffled.
     tokens, rate = fresh(docs, "_tokens"), fresh(docs, "_rate")
     chances = [fresh(docs, n) for n in names]
-    rows = posteriors(docs, model, text_col, tokens, chances)
+    rows = posteriors(flagged(docs), model, text_col, tokens, chances)
     together = fresh(docs, "_chances")
     rows = pinned(rows, together, F.struct(*chances)).drop(*chances)
-    rows = pinned(rows.select(*docs.columns, f"{together}.*"), rate, result.rate(chances))
+    wanted = F.when(staying(chances, sure), 1.0).otherwise(result.rate([chances[k] for k in aimed]))
+    rows = pinned(rows.select(*docs.columns, sure, f"{together}.*"), rate, wanted)
     draw = F.pmod(F.xxhash64(id_col, text_col), F.lit(HASH_RANGE)) / float(HASH_RANGE)
     return rows.where(draw < F.col(rate)).select([F.col(f"`{c}`") for c in docs.columns])

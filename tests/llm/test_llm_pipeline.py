@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 import corpus_pipeline
-from tallyroad.llm import langid, packing, queries, secrets, simhash
+from tallyroad.llm import langid, mixing, packing, queries, secrets, simhash
 
 SF = "/root/testdata/sf0.001"
 EXTRA = [
@@ -78,6 +78,23 @@ def test_stages_one_by_one(spark):
         df.unpersist()
 
 
+def test_mix_sources_keeps_clean_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    kept = corpus_pipeline.mix_sources(spark, docs, sf).select("doc_id").cache()
+    clean = docs.join(labels.where("quality = 1 AND toxic = 0"), "doc_id", "left_semi").select("doc_id")
+    found = mixing.labelled_ids(labels, mixing.label_domain())
+    rows = mixing.rates(docs, found, mixing.DOMAINS, [queries.MIX[d] for d in mixing.DOMAINS])
+    likely = rows.where("p_clean >= greatest(p_low, p_toxic)").select("doc_id")
+    assert likely.exceptAll(kept).count() == 0
+    assert clean.exceptAll(kept).count() == 0
+    for bad, most in (("quality = 0", 0.6), ("quality = 1 AND toxic = 1", 0.5)):
+        these = docs.join(labels.where(bad), "doc_id", "left_semi").select("doc_id")
+        assert these.join(kept, "doc_id", "left_semi").count() <= most * these.count()
+    kept.unpersist()
+
+
 def test_stages_of_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
