@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallyroad.llm import hamming, langid, lmscore, mixing, packing, quality, secrets, sharding, simhash, toxicity
+from tallyroad.llm import (
+    hamming,
+    langid,
+    lmscore,
+    merkle,
+    mixing,
+    packing,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    sql,
+    toxicity,
+)
 from tallyroad.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,6 +130,22 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_text(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents; where 2 divides the id's checksum, one checked
+    against a text without its line ends."""
+    cut = F.when((remainder("doc_id", 2) == 0) & F.contains("text", F.lit("\n")), F.replace("text", F.lit("\n"), F.lit("")))
+    found = merkle.manifest(table(spark, sf_dir, "documents"), other_text=cut)
+    folded = merkle.fold(F.coalesce("other_leaf", "leaf"), F.col("proof"))
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def all_queries() -> dict[str, Query]:
     found = [
         op1_secret_scans,
@@ -129,6 +158,7 @@ def all_queries() -> dict[str, Query]:
         op8_hamming_search,
         op9_toxicity,
         op10_simhash,
+        op11_merkle_manifest,
     ]
     return {q.__name__: q for q in found}
 
@@ -159,4 +189,4 @@ SELECT * FROM (
 def oracle_sql() -> dict[str, str]:
     # The other operators give positions, hashes of shingles, tokens, schedules
     # or scores of trained models, which SQL can't express: see tests/llm.
-    return {"op8_hamming_search": OP8_SQL}
+    return {"op8_hamming_search": OP8_SQL, "op11_merkle_manifest": sql.OP11_MERKLE}
