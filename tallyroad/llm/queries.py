@@ -13,6 +13,7 @@ from tallyroad.llm import (
     merkle,
     mixing,
     packing,
+    prefixtrie,
     quality,
     secrets,
     sharding,
@@ -146,6 +147,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.branched_trie(table(spark, sf_dir, "conversations"))
+
+
 def all_queries() -> dict[str, Query]:
     found = [
         op1_secret_scans,
@@ -159,6 +164,7 @@ def all_queries() -> dict[str, Query]:
         op9_toxicity,
         op10_simhash,
         op11_merkle_manifest,
+        op13_prefix_trie,
     ]
     return {q.__name__: q for q in found}
 
@@ -189,4 +195,8 @@ SELECT * FROM (
 def oracle_sql() -> dict[str, str]:
     # The other operators give positions, hashes of shingles, tokens, schedules
     # or scores of trained models, which SQL can't express: see tests/llm.
-    return {"op8_hamming_search": OP8_SQL, "op11_merkle_manifest": sql.OP11_MERKLE}
+    return {
+        "op8_hamming_search": OP8_SQL,
+        "op11_merkle_manifest": sql.OP11_MERKLE,
+        "op13_prefix_trie": sql.OP13_TRIE,
+    }
