@@ -13,6 +13,7 @@ from tallyroad.llm import (
     merkle,
     mixing,
     packing,
+    pii,
     prefixtrie,
     quality,
     secrets,
@@ -147,6 +148,19 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs))
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *[pii.number_of(kind) for kind in pii.BASE_KINDS],
+        F.sha2(secrets.span_text(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"),
+        *[pii.number_of(kind) for kind in pii.ADDED_KINDS],
+    )
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixtrie.branched_trie(table(spark, sf_dir, "conversations"))
 
@@ -164,6 +178,7 @@ def all_queries() -> dict[str, Query]:
         op9_toxicity,
         op10_simhash,
         op11_merkle_manifest,
+        op12_pii,
         op13_prefix_trie,
     ]
     return {q.__name__: q for q in found}
