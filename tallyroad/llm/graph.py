@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyroad.llm.common import stored
+from tallyroad.llm.places import Scratch
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -12,11 +12,13 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     is its smallest node.
 
     Alternating large and small stars: a round hangs every node under the
-    smallest node it knows of, until every component is one star. Each round
-    is one table in the shared folder, so neither lineage nor memory grows.
-    The number of rounds is about the logarithm of the longest path.
+    smallest node it knows of, until every component is one star. Each half
+    round is a table in the shared folder, which the next one deletes, so
+    neither lineage nor memory nor disk grows. The number of rounds is about the
+    logarithm of the longest path.
     """
-    step = stored(
+    scratch = Scratch(edges.sparkSession)
+    step = scratch.keep(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges"
     )
     before = None
@@ -25,7 +27,13 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         if state == before:
             return stars(step)
         before = state
-        step = stored(small_star(large_star(step)), "edges")
+        for star in (large_star, small_star):
+            # A table of its own: a hot node is then a skewed side of a plain
+            # join, which Spark splits, and not rows that are grouped already.
+            down = scratch.keep(step.groupBy("u").agg(F.min("v").alias("least")), "down")
+            after = scratch.keep(star(step, down), "edges")
+            scratch.drop(step, down)
+            step = after
 
 
 def stars(step: DataFrame) -> DataFrame:
@@ -33,20 +41,18 @@ def stars(step: DataFrame) -> DataFrame:
     return leaves.unionByName(step.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def large_star(step: DataFrame) -> DataFrame:
+def large_star(step: DataFrame, down: DataFrame) -> DataFrame:
     """Larger neighbours of a node move to its smallest neighbour or itself.
 
     An edge u > v shows u from v's side only, so both ends' smallest
     neighbours are needed for v's list: from u's side v is smaller."""
-    down = step.groupBy("u").agg(F.min("v").alias("least")).withColumnRenamed("u", "v")
     # v's smallest known node is the least of its smaller neighbours, or v.
-    moved = step.join(down, "v", "left").select("u", F.coalesce("least", "v").alias("v"))
+    moved = step.join(down.withColumnRenamed("u", "v"), "v", "left").select("u", F.coalesce("least", "v").alias("v"))
     return moved.distinct()
 
 
-def small_star(step: DataFrame) -> DataFrame:
+def small_star(step: DataFrame, down: DataFrame) -> DataFrame:
     """Smaller neighbours of a node, and itself, move to the smallest."""
-    down = step.groupBy("u").agg(F.min("v").alias("least"))
     near = step.join(down, "u").select(F.col("v").alias("u"), F.col("least").alias("v"))
     own = down.select("u", F.col("least").alias("v"))
     return near.unionByName(own).where("u <> v").distinct()

@@ -8,11 +8,6 @@ there are: copies collapse to one fingerprint before the shuffle. Groups are
 never expanded into all pairs: neighbours in a sorted group are linked, and a
 chain is enough for the components.
 
-``keep_one`` also has to find documents that share 0.8 of their shingles, which
-lie beyond any radius that can be emitted (a ball of radius 5 has 8 million
-points). There, bands of least hashes (MinHash) give further candidates, which
-are decided on their whole texts.
-
 Null and empty texts have fingerprint zero and link like any other. Ids may be
 null or repeated; a component's id is its smallest id that is not null.
 """
@@ -29,17 +24,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyroad.llm import graph
 from tallyroad.llm.common import fresh, stored, word_blocks
+from tallyroad.llm.places import Scratch
 
 BITS = 64
 SEED = 42
-# Bands of least hashes, and hashes per band: 0.998 of the pairs that share 0.8
-# of their shingles have a band in common.
-BANDS = 12
-BAND_ROWS = 4
-# Anchors a row of a band is compared with at once, and how many times more of
-# them each round has.
-BLOCK = 64
-GROWTH = 8
 
 
 def hash_blocks(text: str | None, words: int) -> Iterator[np.ndarray]:
@@ -61,33 +49,16 @@ def hash_blocks(text: str | None, words: int) -> Iterator[np.ndarray]:
         yield np.array([digest(b" ".join(carry), SEED)], dtype=np.uint64)
 
 
-class Sketch:
-    """Fingerprint and least hashes of one text."""
-
-    def __init__(self, text: str | None, words: int, slots: int = 0):
-        bits = np.zeros(BITS, dtype=np.int64)
-        self.total = 0
-        self.least = np.full(slots, np.iinfo(np.uint64).max, dtype=np.uint64)
-        odd, plus = coefficients(slots)
-        for hashes in hash_blocks(text, words):
-            self.total += len(hashes)
-            for part in np.array_split(hashes, 1 + len(hashes) // 4096):
-                raw = part.astype(">u8").view(np.uint8).reshape(-1, 8)
-                bits += np.unpackbits(raw, axis=1).sum(axis=0, dtype=np.int64)
-                if slots:
-                    np.minimum(self.least, (part[:, None] * odd + plus).min(axis=0), out=self.least)
-        # A bit is 1 if it is set in over half of the hashes.
-        self.fingerprint = int.from_bytes(np.packbits(bits * 2 > self.total).tobytes(), "big")
-
-
-def coefficients(slots: int) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(SEED)
-    numbers = rng.integers(0, 1 << 64, (2, slots), dtype=np.uint64)
-    return numbers[0] | np.uint64(1), numbers[1]
-
-
 def text_fingerprint(text: str | None, words: int) -> int:
-    return Sketch(text, words).fingerprint
+    bits = np.zeros(BITS, dtype=np.int64)
+    total = 0
+    for hashes in hash_blocks(text, words):
+        total += len(hashes)
+        for part in np.array_split(hashes, 1 + len(hashes) // 4096):
+            raw = part.astype(">u8").view(np.uint8).reshape(-1, 8)
+            bits += np.unpackbits(raw, axis=1).sum(axis=0, dtype=np.int64)
+    # A bit is 1 if it is set in over half of the hashes.
+    return int.from_bytes(np.packbits(bits * 2 > total).tobytes(), "big")
 
 
 def fingerprint(text: Column, words: int = 3) -> Column:
@@ -162,167 +133,25 @@ def hex_text(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def sketches(text: Column, words: int) -> Column:
-    """``struct<fp, least>``: fingerprint, and least hashes (none for a text
-    without words)."""
-
-    @F.pandas_udf("fp bigint, least array<bigint>")
-    def of(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in parts:
-            made = [Sketch(t, words, BANDS * BAND_ROWS) for t in texts]
-            prints = np.array([m.fingerprint for m in made], dtype=np.uint64).view(np.int64)
-            least = [m.least.view(np.int64).tolist() if m.total else [] for m in made]
-            yield pd.DataFrame({"fp": prints, "least": least})
-
-    return of(text)
-
-
-def similar_components(
-    marked: DataFrame, edges: DataFrame, fp: str, least: str, text_col: str, words: int, similarity: float
-) -> DataFrame:
-    """``node, component`` of the graph that has ``edges`` and links all
-    fingerprints whose texts share at least ``similarity`` of their shingles
-    (Jaccard) and whose least hashes have a band in common.
-
-    Members of a band are compared with anchors of it, round by round. The first
-    is the member that shares most bands with others: the source, where copies
-    hang on one. Linked members are not compared again, and a member that was an
-    anchor has met the whole band and leaves it. Of a band's largest component
-    no anchor is needed. Rounds go on, with more anchors each, until no band has
-    two members that are neither compared nor connected.
-
-    Pairs whose least hashes agree too rarely are dropped; the others are
-    decided on their whole texts."""
-    slots = BANDS * BAND_ROWS
-    nodes = marked.where(F.size(least) > 0).groupBy(F.col(fp).alias("fp")).agg(F.min(least).alias("least"))
-    nodes = stored(nodes, "nodes")
-    keys = [
-        F.xxhash64(F.lit(band), F.slice("least", band * BAND_ROWS + 1, BAND_ROWS)) for band in range(BANDS)
-    ]
-    banded = nodes.select("fp", F.explode(F.array(*keys)).alias("band"))
-    common = banded.groupBy("band").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low < high")
-    open_members = stored(banded.join(common.select("band"), "band"), "banded")
-    # Four standard deviations of the estimate below the threshold.
-    enough = slots * similarity - 4 * (slots * similarity * (1 - similarity)) ** 0.5
-
-    def agreeing(one: Column, two: Column) -> Column:
-        same = F.zip_with(one, two, lambda x, y: F.when(x == y, 1).otherwise(0))
-        return F.aggregate(same, F.lit(0), lambda total, n: total + n)
-
-    linked = graph.components(edges, "a", "b")
-    anchors_wanted = 1
-    while True:
-        known = linked.select(F.col("node").alias("fp"), F.col("component").alias("root"))
-        rooted = open_members.join(known, "fp", "left").select("band", "fp", F.coalesce("root", "fp").alias("root"))
-        rooted = stored(rooted, "rooted")
-        sizes = rooted.groupBy("band", "root").agg(F.count("*").alias("n"))
-        bands = sizes.groupBy("band").agg(
-            F.sum("n").alias("size"), F.max("n").alias("most"), F.max_by("root", F.struct("n", "root")).alias("main")
-        )
-        # In the first round, and where nothing is linked, any member may be the anchor.
-        whole = F.lit(anchors_wanted == 1) | (F.col("most") == 1)
-        bands = bands.where("most < size").select(
-            "band",
-            "size",
-            F.when(~whole, F.col("main")).alias("main"),
-            F.when(whole, F.col("size")).otherwise(F.col("size") - F.col("most")).alias("others"),
-        )
-        live = stored(rooted.join(bands, "band"), "live")
-        if live.isEmpty():
-            return linked
-        degrees = live.groupBy("fp").agg(F.sum("size").alias("degree"))
-        live = stored(live.join(degrees, "fp").join(nodes, "fp"), "live")
-        # Few candidates are all anchors, of many one for each of some numbers.
-        every = (F.col("others") <= BLOCK) & F.lit(anchors_wanted > 1)
-        drawn = F.xxhash64("fp", "band")
-        parts = F.when(every, F.lit(1)).otherwise(
-            F.ceil(F.least(F.col("others"), F.lit(anchors_wanted)) / BLOCK).cast("int")
-        )
-        live = live.withColumn("parts", parts)
-        picked = (
-            live.where(F.col("main").isNull() | (F.col("root") != F.col("main")))
-            .withColumn("number", F.when(every, F.col("fp")).otherwise(F.pmod(drawn, F.lit(anchors_wanted))))
-            .groupBy("band", "number")
-            .agg(F.max_by(F.struct("fp", "root", "least", "parts"), F.struct("degree", "fp")).alias("anchor"))
-        )
-        picked = stored(picked, "anchors")
-        part = F.pmod("number", F.col("anchor.parts")).cast("int")
-        blocks = picked.groupBy("band", part.alias("part")).agg(F.collect_list("anchor").alias("anchors"))
-        met = live.select("band", "fp", "root", "least", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-        near = F.filter(
-            "anchors", lambda x: (x["root"] != F.col("root")) & (agreeing(x["least"], F.col("least")) >= enough)
-        )
-        pairs = met.join(blocks, ["band", "part"]).select("fp", F.explode(F.transform(near, lambda x: x["fp"])).alias("other"))
-        pairs = pairs.select(F.greatest("fp", "other").alias("a"), F.least("fp", "other").alias("b")).distinct()
-        found = stored(shared_enough(marked, stored(pairs, "pairs"), fp, text_col, words, similarity), "found")
-        if not found.isEmpty():
-            linked = graph.components(found.unionByName(linked.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b")
-        met_all = picked.select("band", F.col("anchor.fp").alias("fp"))
-        # Only bands that were live can have pairs left.
-        open_members = live.select("band", "fp").join(met_all, ["band", "fp"], "left_anti")
-        anchors_wanted *= GROWTH
-
-
-def shared_enough(
-    marked: DataFrame, pairs: DataFrame, fp: str, text_col: str, words: int, similarity: float
-) -> DataFrame:
-    """The pairs ``a, b`` whose whole texts share enough."""
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "wanted")
-    texts = marked.select(F.col(fp).alias("fp"), F.col(text_col).alias("text")).join(wanted, "fp")
-    texts = stored(texts.groupBy("fp").agg(F.min("text").alias("text")), "texts")
-    for end in ("a", "b"):
-        pairs = pairs.join(texts.select(F.col("fp").alias(end), F.col("text").alias(f"text_{end}")), end)
-
-    @F.pandas_udf("double")
-    def shared(first: pd.Series, second: pd.Series) -> pd.Series:
-        return pd.Series([jaccard(x, y, words) for x, y in zip(first, second)], dtype=float)
-
-    return pairs.where(shared("text_a", "text_b") >= similarity).select("a", "b")
-
-
-def jaccard(first: str, second: str, words: int) -> float:
-    one, two = (np.unique(np.concatenate([*hash_blocks(t, words)])) for t in (first, second))
-    both = len(np.intersect1d(one, two, assume_unique=True))
-    return both / (len(one) + len(two) - both)
-
-
 def keep_one(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    words: int = 5,
-    radius: int = 2,
-    similarity: float | None = 0.8,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 2
 ) -> DataFrame:
     """The input's rows and columns, one row of each component: the one with
     the smallest id (nulls last; of rows with equal ids, the one whose text has
     the smallest hash). Which rows go is decided on ids and fingerprints alone,
-    so that whole rows are shuffled once at most.
-
-    Documents are linked by fingerprints within ``radius`` and, unless
-    ``similarity`` is None, by ``similar_components``: texts that share 0.8 of
-    their shingles differ in some 10 bits, out of reach of any ball that can
-    be emitted."""
-    fp, least, row, sketch = (fresh(docs, name) for name in ("fp", "least", "row", "sketch"))
-    made = docs.withColumn(sketch, sketches(F.col(text_col), words))
-    made = made.select(
-        "*", F.col(sketch)["fp"].alias(fp), F.col(sketch)["least"].alias(least), F.monotonically_increasing_id().alias(row)
-    ).drop(sketch)
-    marked = stored(made, "marked")
-    edges = links(marked.select(fp), radius)
-    if similarity is None:
-        linked = graph.components(edges, "a", "b")
-    else:
-        linked = similar_components(marked, edges, fp, least, text_col, words, similarity)
-    linked = linked.select(F.col("node").alias("fp"), F.col("component").alias("root"))
-    narrow = marked.select(
-        F.col(fp).alias("fp"),
-        F.struct(
-            F.col(id_col).isNull(), F.col(id_col), F.xxhash64(text_col), F.col(row).alias("row")
-        ).alias("order"),
+    so that whole rows are shuffled once at most."""
+    scratch = Scratch(docs.sparkSession)
+    fp, row = (fresh(docs, name) for name in ("fp", "row"))
+    # A copy of the rows: only in a table do they have numbers that stay.
+    marked = scratch.keep(
+        docs.select("*", fingerprint(F.col(text_col), words).alias(fp), F.monotonically_increasing_id().alias(row)), "marked"
     )
-    rooted = narrow.join(linked, "fp", "left").select("order", F.coalesce("root", "fp").alias("root"))
+    linked = roots(marked.select(fp), radius)
+    order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.xxhash64(text_col), F.col(row).alias("row"))
+    # Copies meet in one row per fingerprint before anything is joined.
+    first = marked.groupBy(F.col(fp).alias("fp")).agg(F.min(order).alias("order"))
+    rooted = first.join(linked, "fp", "left").select("order", F.coalesce("root", "fp").alias("root"))
     kept = rooted.groupBy("root").agg(F.min("order").alias("order")).select(F.col("order.row").alias(row))
     # As a table, its size is known before the rows are joined with it.
-    gone = stored(marked.select(row).join(kept, row, "left_anti"), "gone")
+    gone = scratch.keep(marked.select(row).join(kept, row, "left_anti"), "gone")
     return marked.join(gone, row, "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
