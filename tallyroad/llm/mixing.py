@@ -41,6 +41,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyroad.llm.common import fresh, stored
+from tallyroad.llm.places import Scratch
 
 log = logging.getLogger(__name__)
 
@@ -94,10 +95,7 @@ def marks(text: Column, all_words: Column, own_words: Column) -> Column:
     whole = F.coalesce(text, F.lit(""))
     length = F.greatest(F.length(whole), F.lit(1))
     count = F.greatest(F.size(all_words), F.lit(1))
-    plain = whole
-    for symbol in SYMBOLS:
-        plain = F.replace(plain, F.lit(symbol), F.lit(""))
-    symbols = (F.length(whole) - F.length(plain)) / length
+    symbols = F.regexp_count(whole, F.lit(f"[{SYMBOLS}]")) / length
     shouts = (F.length(whole) - F.length(F.replace(whole, F.lit("!!"), F.lit("")))) / length
     pipes = (F.length(whole) - F.length(F.replace(whole, F.lit("|"), F.lit("")))) / count
     variety = F.size(own_words) / count
@@ -142,12 +140,13 @@ class Classifier:
         if not self.weights:
             return [F.lit(float(b)) for b in self.base]
         known = F.array_intersect(features, F.array(*[F.lit(f) for f in self.weights]))
-        found = []
-        for k, base in enumerate(self.base):
-            table = F.create_map(*[F.lit(x) for f, w in self.weights.items() for x in (f, float(w[k]))])
-            parts = F.transform(known, functools.partial(F.element_at, table))
-            found.append(F.aggregate(parts, F.lit(float(base)), lambda total, part: total + part))
-        return found
+        vectors = {f: F.array(*[F.lit(float(x)) for x in w]) for f, w in self.weights.items()}
+        table = F.create_map(*[x for f, w in vectors.items() for x in (F.lit(f), w)])
+        # One look-up per feature, for all domains.
+        start = F.array(*[F.lit(float(b)) for b in self.base])
+        add = functools.partial(F.zip_with, f=lambda x, y: x + y)
+        total = F.aggregate(F.transform(known, functools.partial(F.element_at, table)), start, lambda t, w: add(t, w))
+        return [F.get(total, F.lit(k)) for k in range(len(self.base))]
 
 
 def train(
@@ -159,8 +158,9 @@ def train(
     features: int = FEATURES,
 ) -> Classifier:
     """``labelled`` (``id, domain``) is bounded, so it may be broadcast."""
-    mine = docs.join(F.broadcast(labelled), F.col(id_col) == F.col("id"))
-    rows = stored(featured(mine.select(F.col(text_col).alias("_text"), "domain"), "_text", "_tokens", "_features").drop("_text"), "mixing-sample")
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    mine = texts.join(F.broadcast(labelled), F.col("_id") == F.col("id")).select("_text", "domain")
+    rows = stored(featured(mine, "_text", "_tokens", "_features").drop("_text"), "mixing-sample")
     sizes = {r[0]: r[1] for r in rows.groupBy("domain").count().collect()}
     n = [sizes.get(d, 0) for d in domains]
     total = sum(n)
@@ -348,42 +348,43 @@ def resample(
 ) -> DataFrame:
     """The rows that stay when the domains' expected tokens go to ``multiples``
     of what they are, no row more than once. A row stays if a hash of its id
-    and text, between 0 and 1, is below its rate.
+    and text, between 0 and 1, is below its rate. Whole rows are shuffled once
+    at most, to leave out those that go.
 
     All rows whose most likely domain is ``spared`` stay, and those whose id is
     in ``spared_ids`` (``id``, each once). The rates of the others are then fitted to the other domains' multiples; as spared rows
     belong to those a little too, they may be out of reach, which is logged."""
+    scratch = Scratch(docs.sparkSession)
     model = train(docs, labelled, domains, id_col, text_col)
     names = [f"p_{d}" for d in domains]
-    sure = fresh(docs, "_sure")
-
-    def flagged(rows: DataFrame) -> DataFrame:
-        if spared_ids is None:
-            return rows.withColumn(sure, F.lit(False))
-        ids = spared_ids.select(F.col("id").alias(f"{sure}_id"), F.lit(True).alias(f"{sure}_on"))
-        known = rows.join(ids, F.col(id_col) == F.col(f"{sure}_id"), "left")
-        return known.withColumn(sure, F.coalesce(f"{sure}_on", F.lit(False))).drop(f"{sure}_id", f"{sure}_on")
-
-    plain = flagged(docs).select(F.col(text_col).alias("_text"), F.col(sure).alias("_sure"))
-    found = stored(posteriors(plain, model, "_text", "_tokens", names).drop("_text"), "posteriors")
+    # Equal ids with equal texts share a rate and a draw, so this names rows well
+    # enough, nulls included.
+    keys = [F.xxhash64(id_col, text_col).alias("_key"), F.xxhash64(F.lit("second"), text_col, id_col).alias("_key2")]
+    plain = docs.select(F.col(id_col).alias("_id"), *keys, F.col(text_col).alias("_text"))
+    # Texts are classified once, into a narrow table; all else is decided there.
+    found = scratch.keep(posteriors(plain, model, "_text", "_tokens", names).drop("_text"), "posteriors")
+    if spared_ids is None:
+        flagged = found.withColumn("_sure", F.lit(False))
+    else:
+        ids = spared_ids.select(F.col("id").alias("_id"), F.lit(True).alias("_on"))
+        flagged = found.join(ids, "_id", "left").withColumn("_sure", F.coalesce("_on", F.lit(False))).drop("_on")
+    if spared is not None:
+        likely = F.col(names[list(domains).index(spared)]) >= F.greatest(*[F.col(c) for c in names])
+        flagged = flagged.withColumn("_sure", F.col("_sure") | likely)
+    rows = scratch.keep(flagged, "flagged")
+    scratch.drop(found)
     aimed = [k for k, d in enumerate(domains) if d != spared]
-
-    def staying(columns: Sequence[str], flag: str) -> Column:
-        if spared is None:
-            return F.col(flag)
-        return F.col(flag) | (F.col(columns[list(domains).index(spared)]) >= F.greatest(*[F.col(c) for c in columns]))
-
     goals = [multiples[k] for k in aimed]
-    result = fit(found, [names[k] for k in aimed], goals, upper=1.0, relative=True, held=staying(names, "_sure"))
+    chances = [names[k] for k in aimed]
+    result = fit(rows, chances, goals, upper=1.0, relative=True, held=F.col("_sure"))
     for k, start, target, reached in zip(aimed, result.start, result.targets, result.reached):
         log.info("%s: share of tokens %.4f, target %.4f, reached %.4f", domains[k], start, target, reached)
-    # The same once more beside the whole rows, so that no text is shuffled.
-    tokens, rate = fresh(docs, "_tokens"), fresh(docs, "_rate")
-    chances = [fresh(docs, n) for n in names]
-    rows = posteriors(flagged(docs), model, text_col, tokens, chances)
-    together = fresh(docs, "_chances")
-    rows = pinned(rows, together, F.struct(*chances)).drop(*chances)
-    wanted = F.when(staying(chances, sure), 1.0).otherwise(result.rate([chances[k] for k in aimed]))
-    rows = pinned(rows.select(*docs.columns, sure, f"{together}.*"), rate, wanted)
-    draw = F.pmod(F.xxhash64(id_col, text_col), F.lit(HASH_RANGE)) / float(HASH_RANGE)
-    return rows.where(draw < F.col(rate)).select([F.col(f"`{c}`") for c in docs.columns])
+    draw = F.pmod("_key", F.lit(HASH_RANGE)) / float(HASH_RANGE)
+    staying = F.col("_sure") | (draw < result.rate(chances))
+    # As a table, its size is known before the rows are joined with it.
+    gone = scratch.keep(rows.where(~staying).select("_key", "_key2").distinct(), "gone")
+    scratch.drop(rows)
+    key, key2 = fresh(docs, "_key"), fresh(docs, "_key2")
+    gone = gone.select(F.col("_key").alias(key), F.col("_key2").alias(key2))
+    marked = docs.withColumns({key: keys[0], key2: keys[1]})
+    return marked.join(gone, [key, key2], "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
