@@ -21,6 +21,8 @@ A null or empty text is the end token alone.
 from __future__ import annotations
 
 import re
+import sys
+import types
 from collections import ChainMap, deque
 from collections.abc import Callable, Iterator
 
@@ -35,8 +37,9 @@ SENTENCE_PENALTY = 1
 INNER_PENALTY = 6
 BLOCK = 1 << 18
 END_ID = 0
-# Words whose ids are remembered, and words encoded in one call.
-CACHE_WORDS = 400_000
+# Words whose ids are remembered in each of two generations, and words encoded
+# in one call.
+CACHE_WORDS = 600_000
 CALL_WORDS = 2_000
 
 COLUMNS = "start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -61,7 +64,9 @@ class Encoder:
         for token, i in vocabulary.items():
             self.opens[i] = token.startswith("Ġ")
             self.closes[i] = token.endswith((".", "!", "?")) or "Ċ" in token
+        # Words of the full generation before move back when they are seen again.
         self.seen: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def plain(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
@@ -69,14 +74,14 @@ class Encoder:
     def ids(self, text: str) -> np.ndarray:
         words = text.split(" ")
         if len(self.seen) > CACHE_WORDS:
-            self.seen.clear()
-        new = set(words[1:]).difference(self.seen)
+            self.seen, self.older = {}, self.seen
+        new = self.unseen(words[1:])
         own: dict[str, bytes] = {}
         # A space next to other white space is no safe place. It leaves a word
         # that is empty or can be stripped; such words are never remembered.
         if words[0] != words[0].rstrip() or any(not w or w != w.strip() for w in new):
             words = re.split(r"(?<=\S) (?=\S)", text)
-            new = set(words[1:]).difference(self.seen)
+            new = self.unseen(words[1:])
             own = {w: self.plain(" " + w).tobytes() for w in new if w.split() != [w]}
             new = new.difference(own)
         new = list(new)
@@ -86,6 +91,13 @@ class Encoder:
         rest = b"".join(map(known.__getitem__, words[1:]))
         return np.concatenate([self.plain(words[0]), np.frombuffer(rest, dtype="<u4")])
 
+    def unseen(self, words: list[str]) -> set[str]:
+        new = set(words).difference(self.seen)
+        back = [w for w in new if w in self.older] if self.older else []
+        for word in back:
+            self.seen[word] = self.older[word]
+        return new.difference(back)
+
     def learn(self, words: list[str]) -> None:
         ids = self.plain(" " + " ".join(words))
         starts = np.flatnonzero(self.opens[ids])
@@ -102,12 +114,11 @@ def worker_encoder(path: str) -> Encoder:
     """The encoder of this Python worker. A worker runs many tasks one after
     another; kept on a module that stays loaded, the encoder and the words it
     has seen serve them all."""
-    import tokenizers
-
-    kept = tokenizers.__dict__.setdefault("_worker_encoders", {})
-    if path not in kept:
-        kept[path] = Encoder(path)
-    return kept[path]
+    kept = sys.modules.setdefault("_tallyroad_worker", types.ModuleType("_tallyroad_worker"))
+    encoders = kept.__dict__.setdefault("encoders", {})
+    if path not in encoders:
+        encoders[path] = Encoder(path)
+    return encoders[path]
 
 
 def cut_points(ids: np.ndarray, closes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -249,3 +249,12 @@ def test_packing_query(spark):
     padded = sum(1024 - sum(v) for v in by.values())
     assert padded < 0.03 * sum(map(sum, by.values()))
     assert {r["doc_id"] for r in rows} == {r[0] for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()}
+
+
+def test_words_that_leave_the_memory_are_encoded_again(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 5)
+    encoder = packing.Encoder(queries.vocabulary())
+    for i in range(60):
+        text = " ".join(f"wörd{(i * 7 + j * j) % 23} x" for j in range(9))
+        assert encoder.ids(text).tolist() == encoder.plain(text).tolist()
+    assert encoder.older and len(encoder.seen) < 40
