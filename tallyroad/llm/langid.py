@@ -40,9 +40,14 @@ BATCH = 48
 # Windows whose responses are held at once.
 BLOCK = 32
 UNKNOWN = "und"
+# Some number signs are among these too, so what is found is looked at again.
 LETTER = re.compile(r"[^\W\d_]")
 
 
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in LETTER.finditer(text))
+
+
 def windows(data: bytes, size: int = WINDOW) -> np.ndarray:
     """Rows of ``size`` bytes."""
     data += b"\0" * (-len(data) % size)
@@ -100,7 +105,7 @@ class Network:
         return out
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not self.languages or not text or not LETTER.search(text):
+        if not self.languages or not text or not has_letter(text):
             return UNKNOWN, 0.0
         data = text.encode()
         total = np.zeros(len(self.languages))
@@ -171,8 +176,10 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     sample_docs: int = SAMPLE_DOCS,
+    sample_chars: int = SAMPLE_CHARS,
 ) -> Network:
-    """A network that has learnt from rows with ``learn`` and a language."""
+    """A network that has learnt from rows with ``learn`` and a language: about
+    ``sample_docs`` of each, ``sample_chars`` characters of a text."""
     known = learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
     sizes = {r[0]: r[1] for r in docs.where(known).groupBy(lang_col).count().collect()}
     languages = sorted(sizes)
@@ -182,17 +189,17 @@ def fit(
     below = F.create_map(
         *[F.lit(x) for lang, n in sizes.items() for x in (lang, int(HASH_RANGE * min(1.0, sample_docs / n)))]
     )
-    room = F.greatest(F.length(text_col) - SAMPLE_CHARS, F.lit(0)) + 1
+    room = F.greatest(F.length(text_col) - sample_chars, F.lit(0)) + 1
     start = (F.pmod(F.xxhash64(F.lit(7), id_col), room) + 1).cast("int")
     sample = (
         docs.where(known & (hashed < F.element_at(below, F.col(lang_col))))
-        .select(lang_col, F.substring(F.col(text_col), start, F.lit(SAMPLE_CHARS)).alias("part"))
+        .select(lang_col, F.substring(F.col(text_col), start, F.lit(sample_chars)).alias("part"))
         .collect()
     )
     number = {lang: i for i, lang in enumerate(languages)}
     x, y = [], []
     for lang, part in sorted(sample, key=lambda r: (r[0], r[1])):
-        if LETTER.search(part):
+        if has_letter(part):
             rows = windows(part.encode())
             x.append(rows)
             y += [number[lang]] * len(rows)
