@@ -67,20 +67,23 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     asked = queries.where(F.col("code").isNotNull()).select(F.col("id").alias("query_id"), F.col("code").alias("query"))
     # Equal queries share their search.
     asked = stored(asked, "asked")
-    open_ = stored(asked.select("query").distinct(), "open")
+    farthest = SEGMENTS * SEGMENT_BITS
+    open_ = stored(asked.select("query", F.lit(farthest).alias("bound")).distinct(), "open")
     found = None
     for distance in range(SEGMENT_BITS + 1):
         masks = F.array(*[F.lit(m) for m in shell(distance)])
-        probes = open_.select("query", F.posexplode("query").alias("segment", "own")).select(
-            "query", "segment", F.explode(masks).alias("mask"), "own"
-        ).select("query", "segment", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
+        probes = open_.select("query", "bound", F.posexplode("query").alias("segment", "own")).select(
+            "query", "bound", "segment", F.explode(masks).alias("mask"), "own"
+        ).select("query", "bound", "segment", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
         # Their number is not seen in the size of the queries they come from.
         met = probes.hint("merge").join(index, ["segment", "value"])
         apart = gaps(F.col("query"), F.col("code"))
         least = F.least(*apart)
         first = F.array_position(F.array(*apart), least) - 1
-        own = (least == distance) & (first == F.col("segment"))
-        hits = met.where(own).select("query", "code", sum(apart[1:], apart[0]).alias("distance"))
+        whole = sum(apart[1:], apart[0])
+        # Ties at the bound may have smaller ids.
+        own = (least == distance) & (first == F.col("segment")) & (whole <= F.col("bound"))
+        hits = met.where(own).select("query", "code", whole.alias("distance"))
         new = hits.join(members, "code").select("query", "id", "distance")
         best = Window.partitionBy("query").orderBy("distance", "id")
         both = new if found is None else found.unionByName(new)
@@ -90,7 +93,9 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         covered = SEGMENTS * (distance + 1) - 1
         state = found.groupBy("query").agg(F.count("*").alias("n"), F.max("distance").alias("far"))
         done = state.where(((F.col("n") == k) & (F.col("far") <= covered)) | (F.col("n") >= min(k, total)) & (F.lit(total) <= k))
-        open_ = stored(open_.join(done, "query", "left_anti"), "open")
+        bounds = state.where(F.col("n") == k).select("query", F.col("far").alias("near"))
+        left = open_.join(done, "query", "left_anti").join(bounds, "query", "left")
+        open_ = stored(left.select("query", F.coalesce("near", "bound").cast("int").alias("bound")), "open")
         if open_.isEmpty():
             break
     rank = F.row_number().over(Window.partitionBy("query").orderBy("distance", "id"))
