@@ -160,13 +160,14 @@ def labelled_ids(labels: DataFrame, id_col: str = "doc_id", label_col: str = "to
 
 def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> Model:
     """``labelled`` (``id, label``) is bounded, so it may be broadcast."""
-    mine = docs.join(F.broadcast(labelled), F.col(id_col) == F.col("id")).where(F.col(text_col).isNotNull())
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.col("_text").isNotNull())
+    mine = texts.join(F.broadcast(labelled), F.col("_id") == F.col("id"))
 
     @F.pandas_udf("array<string>")
     def named(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: sorted(features(t)))
 
-    rows = stored(mine.select("id", "label", named(F.col(text_col)).alias("words")), "toxicity-sample")
+    rows = stored(mine.select("id", "label", named(F.col("_text")).alias("words")), "toxicity-sample")
     sizes = {r[0]: r[1] for r in rows.groupBy("label").count().collect()}
     toxic, total = sizes.get(1, 0), sum(sizes.values())
     if not 0 < toxic < total:

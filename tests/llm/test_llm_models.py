@@ -408,3 +408,26 @@ def test_known_features_are_those_of_the_text():
     every = sorted(set().union(*map(toxicity.features, texts)))
     for text in texts:
         assert toxicity.Known(every).present(text) == toxicity.features(text)
+
+
+def test_number_signs_are_no_letters(spark):
+    docs = spark.createDataFrame([(i, "the and of to in that", "en") for i in range(6)] + [(10 + i, "der die und das ist", "de") for i in range(6)], "doc_id bigint, text string, lang string")
+    net = langid.fit(docs, F.lit(True))
+    for text in ("½ ² ①", "12 _ ٣", "Ⅷ½"):
+        assert net.predict(text)[0] == langid.UNKNOWN, text
+    assert net.predict("½ der")[0] == "de" or net.predict("½ der")[0] == "en"
+
+
+def test_columns_named_like_the_operators_own(spark):
+    """``id``, ``domain``, ``label`` and others may be columns of the input."""
+    rows = [(i, f"word{i % 3} some text here {'bad' if i % 4 == 0 else 'good'}") for i in range(40)]
+    names = ["id", "domain", "label", "words", "features", "row", "fp", "_id", "_text", "tokens"]
+    docs = spark.createDataFrame([(*r, *[None] * len(names)) for r in rows], "doc_id bigint, text string, " + ", ".join(f"{n} string" for n in names))
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(30)], "doc_id bigint, quality int, toxic int")
+    labelled = mixing.labelled_ids(labels, mixing.label_domain())
+    assert mixing.rates(docs, labelled, mixing.DOMAINS, [0.8, 0.2, 0.0]).count() == 40
+    kept = mixing.resample(docs, labelled, mixing.DOMAINS, [1.0, 0.5, 0.5])
+    assert kept.columns == docs.columns and 0 < kept.count() <= 40
+    toxic = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(30)], "doc_id bigint, quality int, toxic int")
+    model = toxicity.fit(docs, toxicity.labelled_ids(toxic))
+    assert docs.select(toxicity.score(model, F.col("text"))).count() == 40
