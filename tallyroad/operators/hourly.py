@@ -98,6 +98,76 @@ def hourly_with_expiry(writes: DataFrame, as_of: Column, life: int = KEY_LIFE) -
     return alive.groupBy(*KEY).agg(*counts, F.sum(F.when(live, F.col("price"))).alias("event_price"))
 
 
+# State of a set and its price total, one row per hour, site and metric. ``gen``
+# is the batch that started it, ``since`` that batch's time.
+STATE_KEY = (*KEY, "metric")
+STATE_SCHEMA = (
+    "run_hour TIMESTAMP, adc_id INT, metric STRING, gen BIGINT, since TIMESTAMP, "
+    "last_write TIMESTAMP, drivers BIGINT, price BIGINT"
+)
+MEMBER_SCHEMA = "run_hour TIMESTAMP, adc_id INT, metric STRING, driver_id STRING, gen BIGINT, bucket INT"
+BUCKETS = 256
+
+
+def driver_bucket(driver: str = "driver_id") -> Column:
+    return F.pmod(F.xxhash64(driver), F.lit(BUCKETS)).cast("int")
+
+
+def alive(state: DataFrame, now: Column, life: int | None) -> DataFrame:
+    """State whose key has not expired at ``now``."""
+    if life is None:
+        return state
+    return state.where(F.unix_seconds(now) - F.unix_seconds("last_write") <= life)
+
+
+def marked_writes(
+    writes: DataFrame, state: DataFrame, members: DataFrame, now: Column, life: int | None, seq: int
+) -> DataFrame:
+    """The writes that belong to a set, with the generation they fall into and
+    whether the driver is ``new`` there. An expired set starts over: its
+    members have an older generation and are not met."""
+    current = alive(state, now, life).select(*STATE_KEY, "gen")
+    placed = writes.where(F.col("metric").isNotNull()).join(current, list(STATE_KEY), "left")
+    placed = placed.withColumn("gen", F.coalesce("gen", F.lit(seq).cast("bigint")))
+    member = [*STATE_KEY, "driver_id", "gen"]
+    known = members.select(*member, F.lit(True).alias("_known"))
+    return placed.join(known, member, "left").select(
+        *member, "price", F.col("_known").isNull().alias("new")
+    )
+
+
+def next_members(marked: DataFrame) -> DataFrame:
+    return marked.where("new").select(*STATE_KEY, "driver_id", "gen", driver_bucket().alias("bucket"))
+
+
+def next_state(marked: DataFrame, state: DataFrame, now: Column, life: int | None) -> DataFrame:
+    """The state after a batch: counts and totals grow by what the batch adds,
+    every key it wrote lives on from ``now``, expired ones are left out."""
+    added = marked.groupBy(*STATE_KEY).agg(
+        F.max("gen").alias("_gen"), F.count_if("new").alias("_drivers"), F.sum("price").alias("_price")
+    )
+    both = alive(state, now, life).join(added, list(STATE_KEY), "full")
+    hit = F.col("_gen").isNotNull()
+    price = F.when(F.col("price").isNull() | F.col("_price").isNull(), F.coalesce("price", "_price"))
+    return both.select(
+        *STATE_KEY,
+        F.coalesce("gen", "_gen").alias("gen"),
+        F.coalesce("since", now).alias("since"),
+        F.when(hit, F.greatest("last_write", now)).otherwise(F.col("last_write")).alias("last_write"),
+        (F.coalesce("drivers", F.lit(0)) + F.coalesce("_drivers", F.lit(0))).cast("bigint").alias("drivers"),
+        price.otherwise(F.col("price") + F.col("_price")).alias("price"),
+    )
+
+
+def hourly_of_state(state: DataFrame, keys: DataFrame) -> DataFrame:
+    """Hourly rows of the given hours and sites, as :func:`hourly` has them."""
+    counts = [
+        F.coalesce(F.sum(F.when(F.col("metric") == m, F.col("drivers"))), F.lit(0)).cast("bigint").alias(m)
+        for m in METRICS
+    ]
+    return keys.join(state, list(KEY), "left").groupBy(*KEY).agg(*counts, F.sum("price").alias("event_price"))
+
+
 def stored_rows(metrics: DataFrame) -> DataFrame:
     """The stored form: the hour is called ``run_time``."""
     return metrics.withColumnRenamed("run_hour", "run_time")

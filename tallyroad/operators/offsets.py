@@ -6,6 +6,8 @@ the first one not read yet.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 LEDGER_SCHEMA = (
@@ -48,6 +50,17 @@ def resume(ledger: DataFrame, topic: str | None = None, consumer: str | None = N
     return rows.groupBy(*keys).agg(F.max_by("offset", "batch_id").alias("offset"))
 
 
+def planned_ends(line: str) -> dict[tuple[str, int], int]:
+    """``(topic, partition)`` to offset of a Kafka source's end offsets as a
+    checkpoint has them for a batch, silent partitions included; empty for the
+    offsets of other sources."""
+    try:
+        read = json.loads(line)
+        return {(t, int(p)): int(o) for t, ends in read.items() for p, o in ends.items() if int(o) >= 0}
+    except (AttributeError, TypeError, ValueError):
+        return {}
+
+
 def node_text(positions: DataFrame, *keys: str) -> DataFrame:
     """Positions as ``partition:offset`` text joined by commas, one row per
     topic (and consumer). A group has one entry per topic partition."""
