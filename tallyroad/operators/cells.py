@@ -75,3 +75,19 @@ def delete_latest(puts: DataFrame, named: DataFrame) -> DataFrame:
     newest = puts.groupBy(*CELL).agg(F.max("version").alias("version"))
     gone = newest.join(asked, list(CELL), "left_semi")
     return settle(puts).join(gone, [*CELL, "version"], "left_anti")
+
+
+def delete_marks(puts: DataFrame, named: DataFrame, written: int) -> DataFrame:
+    """The same as marks: one row per named cell that exists, with the version
+    that goes (see :func:`unmarked`)."""
+    asked = named.select(*CELL).distinct()
+    newest = puts.groupBy(*CELL).agg(F.max("version").alias("version"))
+    return newest.join(asked, list(CELL), "left_semi").withColumn("marked", F.lit(written).cast("bigint"))
+
+
+def unmarked(puts: DataFrame, marks: DataFrame) -> DataFrame:
+    """Puts without those that a later mark names; a version that is put again
+    after its mark is back."""
+    newest = marks.groupBy(*CELL, "version").agg(F.max("marked").alias("_marked"))
+    met = puts.join(newest, [*CELL, "version"], "left")
+    return met.where(F.col("_marked").isNull() | (F.col("_marked") < F.col("written"))).select(puts.columns)

@@ -286,7 +286,7 @@ _CELL_COLUMNS = "row_key, family, qualifier, version, value"
 def oracle_sql() -> dict[str, str]:
     stream_batches = queries.STREAM_BATCHES
     ten_minute = _metrics("counted", _TEN)
-    return {
+    found = {
         "json_write": f"WITH {_FEED.strip()}, {_TEXTS.strip()} SELECT event_id, value FROM texts",
         "json_rows": """
             SELECT event_id,
@@ -437,6 +437,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT {_CELL_COLUMNS} FROM ranked WHERE family = 'view' AND place <= 10""",
         "cells_delete_latest": f"""WITH {_PUTS.strip()}
             SELECT {_CELL_COLUMNS} FROM ranked WHERE family <> 'view' OR place > 1""",
+        "cells_point_get": f"""WITH {_PUTS.strip()}
+            SELECT {_CELL_COLUMNS} FROM ranked
+            WHERE place = 1 AND row_key = (SELECT CAST(arg_max(user_id, event_id) AS VARCHAR) FROM events)""",
         "stream_ten_minute": _additive(_TEN, stream_batches),
         "stream_hourly": f"{_BASE} {_hourly('TRUE')}",
         # A row is as fresh as the last batch that touched its key.
@@ -460,3 +463,11 @@ def oracle_sql() -> dict[str, str]:
                              complete_driver, event_price) AS value
             FROM daily""",
     }
+    # Other ways to the same rows.
+    same = {
+        "keyed_delete_marks": "keyed_delete",
+        "keyed_update_marks": "keyed_update",
+        "cells_delete_marks": "cells_delete_latest",
+        "archive_replay": "stream_hourly",
+    }
+    return found | {name: found[other] for name, other in same.items()}

@@ -11,10 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyroad.functions import status, text, timebucket as tb
-from tallyroad.operators import cells, hourly, metrics, offsets, parse, upsert
+from tallyroad.operators import cells, hourly, marks, metrics, offsets, parse, upsert
 from tallyroad.plans import feed
 from tallyroad.session import scratch_dir, use_utc
-from tallyroad.sources import messages as sources, text_archive
+from tallyroad.sources import cell_files, messages as sources, text_archive
 from tallyroad.streaming import jobs, tables
 from tallyroad.functions.jsonio import row_as_json, write_json
 
@@ -364,6 +364,31 @@ def keyed_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert.delete_keys(old, new, KEYS)
 
 
+def _log(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """Rows of a log, written and read again."""
+    path = scratch_dir(spark, name)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+@query
+def keyed_delete_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same delete as marks that are resolved on read."""
+    old, new = _halves(spark, sf_dir)
+    stored = _log(spark, marks.rows_of(old, 0), "rows")
+    deleted = _log(spark, marks.delete_marks(new, KEYS, 1), "marks")
+    return marks.resolve(stored, deleted, KEYS).drop("row_seq")
+
+
+@query
+def keyed_update_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same update as marks, folded into the rows."""
+    old, new = _halves(spark, sf_dir)
+    stored = _log(spark, marks.rows_of(old, 0), "rows")
+    changed = _log(spark, marks.update_marks(new, KEYS, ["event_price"], 1), "marks")
+    return marks.fold(stored, changed, KEYS, ["event_price"], scratch_dir(spark, "folded")).drop("row_seq")
+
+
 @query
 def keyed_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored rows with the price set from the fresh ones; no inserts."""
@@ -474,6 +499,24 @@ def cells_delete_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.delete_latest(puts, puts.where(F.col("family") == "view"))
 
 
+@query
+def cells_delete_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same delete as marks that are resolved on read."""
+    puts = _log(spark, _puts(spark, sf_dir), "puts")
+    gone = _log(spark, cells.delete_marks(puts, puts.where(F.col("family") == "view"), 1 << 62), "marks")
+    return cells.settle(cells.unmarked(puts, gone))
+
+
+@query
+def cells_point_get(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest cells of one row, the newest event's, out of files that hold
+    all cells."""
+    path = scratch_dir(spark, "cells")
+    cell_files.write_cells(_puts(spark, sf_dir), path)
+    row_key = feed.events(spark, sf_dir).agg(F.max_by("user_id", "event_id")).first()[0]
+    return cells.get(cell_files.read_cells(spark, path), str(row_key))
+
+
 # --- text output and streams -----------------------------------------------
 
 
@@ -553,6 +596,24 @@ def archive_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.positions(spark, ledger, feed.TOPIC, CONSUMER)
 
 
+@query
+def archive_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly table of a job that replays an archive by position, and goes
+    on from its ledger where nothing is left."""
+    landing = _landing(spark, sf_dir, 1)
+    archive, root = scratch_dir(spark, "archive"), scratch_dir(spark, "metrics")
+    arrived = sources.file_stream(spark, f"{landing}/batch_id=0")
+    jobs.archive_job(
+        arrived, archive, feed.TOPIC, scratch_dir(spark, "checkpoint"), keep_positions=True
+    ).awaitTermination()
+    for _ in range(2):
+        start = tables.positions(spark, root, feed.TOPIC, CONSUMER)
+        stream = sources.archive_stream(spark, archive, feed.TOPIC, start)
+        job = jobs.metrics_job(stream, root, scratch_dir(spark, "checkpoint"), CONSUMER, key_life=None)
+        job.awaitTermination()
+    return tables.hourly(spark, root).drop("created_at", "updated_at")
+
+
 @query
 def merged_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily rows written as merged text and read back."""

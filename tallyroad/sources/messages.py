@@ -60,6 +60,31 @@ def file_stream(
     return reader.load(path)
 
 
+def archive_stream(
+    spark: SparkSession,
+    root: str,
+    topic: str,
+    positions: DataFrame | None = None,
+    max_files_per_trigger: int | None = None,
+) -> DataFrame:
+    """Messages of an archive that was kept with positions, as they arrive
+    there. ``positions`` (``topic, partition, offset``, one row per topic
+    partition) is where to start: partitions without one start at their first
+    message. What lies before is skipped by the files' statistics."""
+    stream = file_stream(spark, f"{root.rstrip('/')}/{topic}/*/*", max_files_per_trigger=max_files_per_trigger)
+    stream = stream.where(F.col("topic") == topic)
+    if positions is None:
+        return stream
+    # As many rows as the topic has partitions.
+    known = positions.where(F.col("topic") == topic).select("partition", "offset").collect()
+    if not known:
+        return stream
+    wanted = ~F.col("partition").isin([r["partition"] for r in known])
+    for r in known:
+        wanted = wanted | ((F.col("partition") == r["partition"]) & (F.col("offset") >= r["offset"]))
+    return stream.where(wanted)
+
+
 def split_texts(texts: DataFrame, text_col: str = "value", separator: str = "@") -> DataFrame:
     """Texts holding several messages: one row per message."""
     others = [c for c in texts.columns if c != text_col]

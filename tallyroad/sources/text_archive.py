@@ -20,6 +20,14 @@ def write_archive(messages: DataFrame, path: str, value_col: str = "value") -> N
     lines.write.mode("overwrite").text(path)
 
 
+def write_positions(messages: DataFrame, path: str) -> None:
+    """Every message with its topic, partition and offset, in their order, so
+    that a replay can start at a position and skip what lies before."""
+    place = ["topic", "partition", "offset"]
+    rows = messages.select(F.col("topic"), F.col("partition").cast("int"), F.col("offset").cast("bigint"), "value")
+    rows.sortWithinPartitions(*place).write.mode("overwrite").parquet(path)
+
+
 def read_archive(spark: SparkSession, root: str, topic: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", "true").text(
         f"{root.rstrip('/')}/{topic}", lineSep="\n"
