@@ -186,7 +186,7 @@ def write_metrics(
     """Write the parts of one batch: ten-minute partials, hourly writes, what
     they change in the hourly sets and rows, rejected lines. ``at`` is the
     state before the batch, so a second attempt writes the same. Of the
-    state, only touched days are read, and members of touched hours."""
+    state, only touched days are read, and members of their hours."""
     spark = rows.sparkSession
     time = F.lit(now).cast("timestamp")
     add: list[Part] = []
@@ -201,12 +201,12 @@ def write_metrics(
     # At most one row per driver and key of the batch.
     writes = hours.batch_writes(counted).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        hour = F.date_format("run_hour", tables.HOUR_FORMAT)
-        # Days, hours and buckets of one batch: bounded by the calendar.
-        days, hour_slots, buckets = writes.agg(
+        # Days and buckets of one batch: bounded by the calendar and a number.
+        days, buckets, first_hour, last_hour = writes.agg(
             F.sort_array(F.collect_set(F.to_date("run_hour").cast("string"))),
-            F.sort_array(F.collect_set(hour)),
             F.sort_array(F.collect_set(hours.driver_bucket())),
+            F.unix_seconds(F.min("run_hour")),
+            F.unix_seconds(F.max("run_hour")),
         ).first()
         rejected = rows.where(F.col("outcome") == "quarantined").select("value", "reason")
         write(rejected, "quarantine")
@@ -219,13 +219,15 @@ def write_metrics(
         write(writes.withColumns({"written_at": time, "run_day": day}), "hour_writes", days)
 
         before = stored("hour_state", days).drop("batch_seq", "run_day")
-        members = stored("members", hour_slots)
+        members = stored("members", days).where(
+            F.col("run_hour").between(*[F.timestamp_seconds(F.lit(h)) for h in (first_hour, last_hour)])
+        )
         if len(buckets) <= hours.BUCKETS // 4:
             members = members.where(F.col("bucket").isin(buckets))
         marked = hours.marked_writes(writes, before, members, time, key_life, seq)
         marked = marked.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write(hours.next_members(marked).withColumn("hour", hour), "members", hour_slots)
+            write(hours.next_members(marked).withColumn("run_day", day), "members", days)
             after = hours.next_state(marked, before, time, key_life)
             write(after.withColumn("run_day", day), "hour_state", days)
         finally:

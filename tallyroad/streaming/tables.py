@@ -1,6 +1,6 @@
 """The tables of the metrics job: Parquet parts that a log of commits names.
 
-A batch writes a part per table and slot (a day, or an hour for members), and
+A batch writes a part per table and slot (a day, where rows have one), and
 commits all of them at once (see ``manifest``). Readers build their paths from
 the log, so they list the folders of the slots they want and see whole batches.
 
@@ -9,7 +9,7 @@ ten_minute     day   partial sums, added on read and when parts are merged
 hourly         day   the current rows, one per hour and site: a batch rewrites
                      the days it touches
 hour_state     day   sets and totals that are alive, rewritten likewise
-members        hour  drivers of the sets; a batch adds new ones only
+members        day   drivers of the sets; a batch adds new ones only
 hour_writes    day   the writes themselves, to check and rebuild the state by
 ranges         day   offsets each batch went through, by day of the batch
 quarantine     -     rejected lines
@@ -41,7 +41,7 @@ SCHEMAS = {
         "updated_at TIMESTAMP, changed_seq BIGINT, batch_seq BIGINT, run_day DATE"
     ),
     "hour_state": f"{hours.STATE_SCHEMA}, batch_seq BIGINT, run_day DATE",
-    "members": f"{hours.MEMBER_SCHEMA}, batch_seq BIGINT, hour STRING",
+    "members": f"{hours.MEMBER_SCHEMA}, batch_seq BIGINT, run_day DATE",
     "ranges": (
         "topic STRING, consumer STRING, `partition` INT, from_offset BIGINT, until_offset BIGINT, "
         "batch_id BIGINT, query_id STRING, batch_seq BIGINT, run_day DATE"
@@ -49,13 +49,12 @@ SCHEMAS = {
     "quarantine": "value STRING, reason STRING, batch_seq BIGINT",
 }
 # The folder column of a table's slots.
-SLOTS = {t: "hour" if "hour STRING" in s else "run_day" if "run_day" in s else None for t, s in SCHEMAS.items()}
+SLOTS = {t: "run_day" if "run_day" in s else None for t, s in SCHEMAS.items()}
 # Parts of a slot and tier that are merged into one of the next tier.
 FAN = 8
 MERGED = ("ten_minute", "hour_writes", "members", "ranges", "quarantine")
 # Expired as one, when the last write to a day's hours is older than the life.
 EXPIRING = ("hour_state", "hour_writes", "members")
-HOUR_FORMAT = "yyyy-MM-dd-HH"
 
 
 def _base(root: str, table: str, tier: int) -> str:
@@ -93,8 +92,8 @@ def write_parts(
         return parts
     placed = df.hint("rebalance", slot_column).withColumn("batch_seq", F.lit(seq).cast("bigint"))
     if table == "members":
-        # Row groups then hold ranges of buckets, which a batch asks for.
-        placed = placed.sortWithinPartitions(slot_column, "bucket")
+        # Row groups then hold ranges of hours and buckets, which a batch asks for.
+        placed = placed.sortWithinPartitions(slot_column, "run_hour", "bucket")
     writer = placed.write.partitionBy(slot_column, "batch_seq").mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").parquet(base)
     return [part for part in parts if files.exists(_folder(part))]
@@ -259,7 +258,7 @@ def upkeep(
     gone: set[Part] = set()
     if life is not None:
         ended = {p.slot for p in at.of("hour_state") if now.timestamp() - p.time > life}
-        gone = {p for p in at.parts if p.table in EXPIRING and p.slot[:10] in ended}
+        gone = {p for p in at.parts if p.table in EXPIRING and p.slot in ended}
     live = set(at.parts) - gone
     added: list[Part] = []
     for table, slot in sorted(set(touched)):
@@ -270,7 +269,7 @@ def upkeep(
                 break
             rows = read_parts(spark, root, table, same)
             if life is not None and table in EXPIRING:
-                rows = _living(spark, root, rows, table, slot[:10], at, now, life)
+                rows = _living(spark, root, rows, table, slot, at, now, life)
             seq = max(p.seq for p in same)
             new = write_parts(_merged(rows, table), root, table, seq, now, [slot], tier + 1, again=True)
             live = live - set(same) | set(new)
