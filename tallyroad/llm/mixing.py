@@ -348,8 +348,8 @@ def resample(
 ) -> DataFrame:
     """The rows that stay when the domains' expected tokens go to ``multiples``
     of what they are, no row more than once. A row stays if a hash of its id
-    and text, between 0 and 1, is below its rate. Whole rows are shuffled once
-    at most, to leave out those that go.
+    and text, between 0 and 1, is below its rate. Of whole rows, only those
+    that would go are shuffled, to look for their ids among the spared ones.
 
     All rows whose most likely domain is ``spared`` stay, and those whose id is
     in ``spared_ids`` (``id``, each once). The rates of the others are then fitted to the other domains' multiples; as spared rows
@@ -357,34 +357,35 @@ def resample(
     scratch = Scratch(docs.sparkSession)
     model = train(docs, labelled, domains, id_col, text_col)
     names = [f"p_{d}" for d in domains]
-    # Equal ids with equal texts share a rate and a draw, so this names rows well
-    # enough, nulls included.
-    keys = [F.xxhash64(id_col, text_col).alias("_key"), F.xxhash64(F.lit("second"), text_col, id_col).alias("_key2")]
-    plain = docs.select(F.col(id_col).alias("_id"), *keys, F.col(text_col).alias("_text"))
-    # Texts are classified once, into a narrow table; all else is decided there.
-    found = scratch.keep(posteriors(plain, model, "_text", "_tokens", names).drop("_text"), "posteriors")
+    chances, tokens = [fresh(docs, n) for n in names], fresh(docs, "_tokens")
+    # Texts are classified once; their rows get the probabilities beside them.
+    marked = scratch.keep(posteriors(docs, model, text_col, tokens, chances), "classified")
+    narrow = [F.col(tokens).alias("_tokens"), *[F.col(c).alias(n) for c, n in zip(chances, names)]]
+    found = marked.select(F.col(id_col).alias("_id"), *narrow)
     if spared_ids is None:
         flagged = found.withColumn("_sure", F.lit(False))
     else:
         ids = spared_ids.select(F.col("id").alias("_id"), F.lit(True).alias("_on"))
         flagged = found.join(ids, "_id", "left").withColumn("_sure", F.coalesce("_on", F.lit(False))).drop("_on")
-    if spared is not None:
-        likely = F.col(names[list(domains).index(spared)]) >= F.greatest(*[F.col(c) for c in names])
-        flagged = flagged.withColumn("_sure", F.col("_sure") | likely)
-    rows = scratch.keep(flagged, "flagged")
-    scratch.drop(found)
+
+    def likely(columns: Sequence[str]) -> Column:
+        if spared is None:
+            return F.lit(False)
+        return F.col(columns[list(domains).index(spared)]) >= F.greatest(*[F.col(c) for c in columns])
+
+    rows = scratch.keep(flagged.withColumn("_sure", F.col("_sure") | likely(names)), "flagged")
     aimed = [k for k, d in enumerate(domains) if d != spared]
     goals = [multiples[k] for k in aimed]
-    chances = [names[k] for k in aimed]
-    result = fit(rows, chances, goals, upper=1.0, relative=True, held=F.col("_sure"))
+    result = fit(rows, [names[k] for k in aimed], goals, upper=1.0, relative=True, held=F.col("_sure"))
+    scratch.drop(rows)
     for k, start, target, reached in zip(aimed, result.start, result.targets, result.reached):
         log.info("%s: share of tokens %.4f, target %.4f, reached %.4f", domains[k], start, target, reached)
-    draw = F.pmod("_key", F.lit(HASH_RANGE)) / float(HASH_RANGE)
-    staying = F.col("_sure") | (draw < result.rate(chances))
-    # As a table, its size is known before the rows are joined with it.
-    gone = scratch.keep(rows.where(~staying).select("_key", "_key2").distinct(), "gone")
-    scratch.drop(rows)
-    key, key2 = fresh(docs, "_key"), fresh(docs, "_key2")
-    gone = gone.select(F.col("_key").alias(key), F.col("_key2").alias(key2))
-    marked = docs.withColumns({key: keys[0], key2: keys[1]})
-    return marked.join(gone, [key, key2], "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
+    draw = F.pmod(F.xxhash64(id_col, text_col), F.lit(HASH_RANGE)) / float(HASH_RANGE)
+    staying = likely(chances) | (draw < result.rate([chances[k] for k in aimed]))
+    kept = marked.where(staying)
+    if spared_ids is not None:
+        # Only rows that would go are looked up by id.
+        key = fresh(docs, "_id")
+        ids = spared_ids.select(F.col("id").alias(key))
+        kept = kept.unionByName(marked.where(~staying).join(ids, F.col(id_col) == F.col(key), "left_semi"))
+    return kept.select([F.col(f"`{c}`") for c in docs.columns])
