@@ -3,6 +3,6 @@
 from pyspark import cloudpickle as _cloudpickle
 import sys as _sys
 
-# Functions of this package travel to executors with the job, so that nothing
-# has to be installed there.
+# Functions of this package travel to executors with the job, so that it does
+# not have to be installed there; what it imports (requirements.txt) does.
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
