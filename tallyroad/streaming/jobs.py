@@ -283,6 +283,8 @@ class _Run:
             millis = json.loads(planned[1])["batchTimestampMs"]
             return dt.datetime.fromtimestamp(millis / 1000, dt.timezone.utc)
         millis = batch.select(F.unix_millis(BATCH_TIME)).first()
+        if millis is None:
+            return dt.datetime.now(dt.timezone.utc)
         return dt.datetime.fromtimestamp(millis[0] / 1000, dt.timezone.utc)
 
     def _planned(self, batch: DataFrame, batch_id: int) -> list[str]:

@@ -257,7 +257,12 @@ def upkeep(
     old = [p for p, version in at.gone.items() if at.version - version >= grace]
     gone: set[Part] = set()
     if life is not None:
-        ended = {p.slot for p in at.of("hour_state") if now.timestamp() - p.time > life}
+        # Every write to a day's hours leaves a newer part.
+        newest: dict[str, float] = {}
+        for p in at.parts:
+            if p.table in EXPIRING:
+                newest[p.slot] = max(p.time, newest.get(p.slot, p.time))
+        ended = {slot for slot, time in newest.items() if now.timestamp() - time > life}
         gone = {p for p in at.parts if p.table in EXPIRING and p.slot in ended}
     live = set(at.parts) - gone
     added: list[Part] = []
