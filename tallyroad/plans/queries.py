@@ -620,5 +620,5 @@ def merged_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = metrics.labelled(metrics.ten_minute(_counted(spark, sf_dir, tb.ONE_DAY)))
     lines = daily.select(F.concat_ws(",", "run_time", "adc_id", *metrics.MEASURES).alias("value"))
     path = scratch_dir(spark, "merged")
-    text_archive.write_merged_text(lines, path)
+    text_archive.write_merged_text(lines, path, files=4)
     return spark.read.text(path, lineSep="\n")
