@@ -79,7 +79,10 @@ class Encoder:
         own: dict[str, bytes] = {}
         # A space next to other white space is no safe place. It leaves a word
         # that is empty or can be stripped; such words are never remembered.
-        if words[0] != words[0].rstrip() or any(not w or w != w.strip() for w in new):
+        listed = list(new)
+        # Most sets of words pass as a whole.
+        plain = " ".join(listed).split() == listed
+        if words[0] != words[0].rstrip() or not plain and any(not w or w != w.strip() for w in new):
             words = re.split(r"(?<=\S) (?=\S)", text)
             new = self.unseen(words[1:])
             own = {w: self.plain(" " + w).tobytes() for w in new if w.split() != [w]}
