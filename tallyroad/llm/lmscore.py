@@ -11,13 +11,17 @@ more it reads like the target.
     p(w) = (c(w) + 1) / (N + size of the vocabulary)
 
 Nothing the corpus gives has a fixed size. Documents are put together in chunks
-of about ``CHUNK`` tokens. A chunk hands in its own counts of words, of words as
-the first of a bigram and of bigrams (so a frequent one is one row per chunk,
-not one per document), which are added up over all chunks by a shuffle; it gets
-back the sums of its own ones that other chunks have too, and scores with them.
-Words and bigrams are known by 64-bit hashes. For a fixed ``size`` the
-vocabulary is the most frequent words and a sign for all others, for fixed
-``buckets`` bigrams are counted by ``1 << buckets`` hash cells.
+of about ``CHUNK`` tokens. A chunk hands in how often its words and bigrams come,
+and gets back how often they come in all chunks. Keys are 64-bit hashes, and
+the keys of a chunk are sorted, cut into ranges and handed in as one packed row
+per range: differences of neighbours and counts, by byte planes, compressed. A
+task merges the blocks of one range and answers each with a packed block.
+
+A range has as many chunks as there are ranges, so what a task merges is as
+large as one chunk, and a frequent word is one entry per block. Beyond ``FAN``
+chunks there are several levels: teams of ``FAN`` merge their blocks first, and
+teams of teams those, cut into finer ranges; answers come back level by level.
+Hashes leave no range larger than others.
 
 Words are split at ASCII white space and lower-cased in ASCII. A null or empty
 text has no tokens and the score 0. Where no document is labelled good, the
@@ -27,116 +31,120 @@ not good; repeated ids are separate rows.
 
 from __future__ import annotations
 
-from collections import Counter
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallyroad.llm.common import stored, word_blocks
 
 MU = 20.0
-# Tokens of a chunk; a longer document is one of its own.
+# Tokens of a chunk, every document being one more; a longer document is a chunk of its own.
 CHUNK = 1 << 20
-# Words whose counts a task holds before it hands them on.
+# Chunks whose blocks are merged at once.
+FAN = 512
+# Words whose hashes a task remembers.
 HELD_WORDS = 500_000
-# What is counted.
-WORD, BEFORE, PAIR = range(3)
+# What is counted of a key: how often it comes, and of a word how often it ends
+# a document; each in all and in good documents.
+N, N_GOOD, LAST, LAST_GOOD = range(4)
 
+BLOCK = "team bigint, part bigint, unit bigint, keys binary, counts binary"
+ANSWER = "unit bigint, part bigint, totals binary, words bigint"
 
-def vocabulary(docs: DataFrame, text_col: str, size: int) -> list[str]:
-    """The most frequent words over all texts; ties go to the smaller word."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
+def good_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    rows = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
+    worst = rows.agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    return worst.where("quality = 1 AND coalesce(toxic, 0) = 0").select("id")
 
-        def partial() -> pa.RecordBatch:
-            words = [w.decode() for w in seen]
-            return pa.RecordBatch.from_pydict({"word": words, "n": list(seen.values())})
 
-        for batch in batches:
-            for text in batch.column(0):
-                for block in word_blocks((text.as_py() or "").encode().lower()):
-                    seen.update(block)
-                    if len(seen) >= HELD_WORDS:
-                        yield partial()
-                        seen.clear()
-        if seen:
-            yield partial()
+def packed(values: np.ndarray) -> bytes:
+    """Numbers from 0 as compressed byte planes, in the fewest bytes that hold
+    the largest."""
+    most = int(values.max(initial=0))
+    size = next(s for s in (1, 2, 4, 8) if most >> 8 * s == 0)
+    planes = np.ascontiguousarray(values, dtype=f"<u{size}").view(np.uint8).reshape(-1, size).T.tobytes()
+    return struct.pack("<QB", len(values), size) + pa.Codec("zstd").compress(planes, asbytes=True)
 
-    words = docs.select(text_col).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    best = words.orderBy(F.col("n").desc(), "word").limit(size)
-    return [r["word"] for r in best.collect()]
 
+def unpacked(data: bytes) -> np.ndarray:
+    n, size = struct.unpack_from("<QB", data)
+    if not n:
+        return np.zeros(0, np.uint64)
+    planes = pa.Codec("zstd").decompress(data[9:], decompressed_size=n * size, asbytes=True)
+    rows = np.frombuffer(planes, np.uint8).reshape(size, n).T
+    return np.ascontiguousarray(rows).view(f"<u{size}").ravel().astype(np.uint64)
 
-def good_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    rows = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
-    worst = rows.agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    return worst.where("quality = 1 AND coalesce(toxic, 0) = 0").select("id")
 
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys as differences."""
+    return packed(np.diff(keys, prepend=np.uint64(0)))
 
-def encode(
-    docs: DataFrame, words: list[str] | None, id_col: str, text_col: str, good_col: str, chunk_tokens: int
-) -> DataFrame:
-    """One row per chunk: its ``ids``, lengths and which are good, its distinct
-    word codes and the tokens as places in those (32 bits). A code is a hash,
-    or, for given words, a number from 1 and 0 for any other word."""
-    given = None
-    if words is not None:
-        if len(words) >= 1 << 16:
-            raise ValueError("a fixed vocabulary has to fit into 16 bits")
-        given = docs.sparkSession.sparkContext.broadcast({w.encode(): i + 1 for i, w in enumerate(words)})
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data), dtype=np.uint64)
+
+
+def unpacked_counts(data: bytes) -> np.ndarray:
+    return unpacked(data).reshape(4, -1)
+
+
+def encode(docs: DataFrame, id_col: str, text_col: str, chunk_tokens: int) -> DataFrame:
+    """One row per chunk: its ``ids`` and lengths, the hashes of its distinct
+    words, frequent ones first, and the tokens as places among those."""
     key = docs.schema[id_col].dataType
-    schema = f"chunk bigint, ids array<{key.simpleString()}>, good array<boolean>, lengths array<bigint>, words array<bigint>, at binary"
+    schema = f"chunk bigint, ids array<{key.simpleString()}>, lengths array<bigint>, words binary, at binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
         known: dict[bytes, int] = {}
         number = TaskContext.get().partitionId() << 32
-        ids, good, lengths, parts, held = [], [], [], [], 0
+        ids, lengths, parts, held = [], [], [], 0
 
         def codes(block: list[bytes]) -> np.ndarray:
-            if given is not None:
-                return np.array([given.value.get(w, 0) for w in block], dtype=np.uint64)
             if len(known) >= HELD_WORDS:
                 known.clear()
             known.update((w, digest(w)) for w in set(block) if w not in known)
-            return np.array([known[w] for w in block], dtype=np.uint64)
+            return np.fromiter(map(known.__getitem__, block), dtype=np.uint64, count=len(block))
 
         def chunk() -> pa.RecordBatch:
-            distinct, at = np.unique(np.concatenate([*parts, np.zeros(0, np.uint64)]), return_inverse=True)
-            row = [number, pa.concat_arrays(ids), good, lengths, distinct.view(np.int64), at.astype("<u4").tobytes()]
-            kinds = [pa.int64(), pa.list_(ids[0].type), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
-            columns = [pa.array([v.tolist() if isinstance(v, np.ndarray) else v.to_pylist() if isinstance(v, pa.Array) else v], k) for v, k in zip(row, kinds)]
-            return pa.RecordBatch.from_arrays(columns, names=["chunk", "ids", "good", "lengths", "words", "at"])
+            distinct, at, n = np.unique(
+                np.concatenate([*parts, np.zeros(0, np.uint64)]), return_inverse=True, return_counts=True
+            )
+            order = np.argsort(-n, kind="stable")
+            place = np.empty_like(order)
+            place[order] = np.arange(len(order))
+            row = {
+                "chunk": pa.array([number], pa.int64()),
+                "ids": pa.array([pa.concat_arrays(ids).to_pylist()], pa.list_(ids[0].type)),
+                "lengths": pa.array([lengths], pa.list_(pa.int64())),
+                "words": pa.array([packed(distinct[order])], pa.binary()),
+                "at": pa.array([packed(place[at])], pa.binary()),
+            }
+            return pa.RecordBatch.from_pydict(row)
 
         for batch in batches:
             for i in range(batch.num_rows):
                 data = (batch.column(1)[i].as_py() or "").encode().lower()
                 blocks = [codes(block) for block in word_blocks(data)]
                 n = sum(map(len, blocks))
-                if ids and held + n > chunk_tokens:
+                if ids and held + n >= chunk_tokens:
                     yield chunk()
                     number += 1
-                    ids, good, lengths, parts, held = [], [], [], [], 0
+                    ids, lengths, parts, held = [], [], [], 0
                 ids.append(batch.column(0).slice(i, 1))
-                good.append(batch.column(2)[i].as_py())
                 lengths.append(n)
                 parts += blocks
-                held += n
+                held += n + 1
         if ids:
             yield chunk()
 
-    return docs.select(id_col, text_col, good_col).mapInArrow(run, schema)
-
-
-def cells(before: np.ndarray, codes: np.ndarray, buckets: int) -> np.ndarray:
-    """Hash cells of bigrams."""
-    mixed = (before << np.uint64(16) | codes) * np.uint64(0x9E3779B97F4A7C15)
-    return mixed >> np.uint64(64 - buckets)
+    return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
 def pair_hashes(before: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -145,25 +153,45 @@ def pair_hashes(before: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return (mixed ^ mixed >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
 
 
-class Counts:
-    """A chunk's tokens, and by kind its distinct keys, every token's place
-    among those, and how often each key comes, in all and in good documents."""
+class Chunk:
+    """A chunk's tokens as places among its distinct words and bigrams. Keys of
+    words are even, those of bigrams odd."""
 
-    def __init__(self, words: np.ndarray, at: bytes, lengths: np.ndarray, good: np.ndarray, buckets: int | None):
-        codes = words.view(np.uint64)[np.frombuffer(at, dtype="<u4")]
+    def __init__(self, lengths: np.ndarray, words: bytes, at: bytes):
+        hashes, tokens = unpacked(words), unpacked(at).astype(np.int64)
+        codes = hashes[tokens]
         before = np.concatenate([np.zeros(1, np.uint64), codes[:-1]])[: len(codes)]
+        ends = np.cumsum(lengths)
+        used = lengths > 0
+        self.lengths, self.starts, self.ends = lengths, (ends - lengths)[used], ends[used] - 1
         # A document's first word follows 0.
-        starts = (np.cumsum(lengths) - lengths)[lengths > 0]
-        before[starts] = 0
-        pairs = pair_hashes(before, codes) if buckets is None else cells(before, codes, buckets)
-        weights = np.repeat(good, lengths).astype(float)
-        self.keys, self.places, self.n, self.n_good = [], [], [], []
-        for values in (codes, before, pairs):
-            keys, places = np.unique(values.view(np.int64), return_inverse=True)
-            self.keys.append(keys)
-            self.places.append(places)
-            self.n.append(np.bincount(places, minlength=len(keys)))
-            self.n_good.append(np.bincount(places, weights, minlength=len(keys)).astype(np.int64))
+        before[self.starts] = 0
+        word_keys, places = np.unique(hashes & ~np.uint64(1), return_inverse=True)
+        self.word = places[tokens]
+        pair_keys, self.pair = np.unique(pair_hashes(before, codes) | np.uint64(1), return_inverse=True)
+        self.n_words = len(word_keys)
+        both = np.concatenate([word_keys, pair_keys])
+        self.order = np.argsort(both)
+        self.keys = both[self.order]
+
+    def counts(self, good: np.ndarray) -> np.ndarray:
+        """Four rows, one column per key."""
+        marked = np.repeat(good, self.lengths).astype(float)
+        size = len(self.keys)
+        rows = np.zeros((4, size))
+        for places, shift in ((self.word, 0), (self.pair, self.n_words)):
+            rows[N] += np.bincount(places + shift, minlength=size)
+            rows[N_GOOD] += np.bincount(places + shift, marked, minlength=size)
+        last = self.word[self.ends]
+        rows[LAST] = np.bincount(last, minlength=size)
+        rows[LAST_GOOD] = np.bincount(last, marked[self.ends], minlength=size)
+        return rows[:, self.order].astype(np.uint64)
+
+    def by_kind(self, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Columns in the order of ``keys`` as those of words and of bigrams."""
+        rows = np.empty(totals.shape)
+        rows[:, self.order] = totals
+        return rows[:, : self.n_words], rows[:, self.n_words :]
 
 
 def flat(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -171,20 +199,100 @@ def flat(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return whole.flatten().to_numpy(zero_copy_only=False)
 
 
-def chunk_counts(encoded: DataFrame, buckets: int | None) -> DataFrame:
-    """``kind, key, chunk, n, n_good`` of every chunk."""
+def chunk_of(row: pa.RecordBatch | pa.Table) -> tuple[Chunk, np.ndarray]:
+    """A chunk, and which of its documents are good."""
+    lengths = flat(row["lengths"])
+    good = np.zeros(len(lengths), dtype=bool)
+    good[flat(row["good"])] = True
+    return Chunk(lengths, row["words"][0].as_py(), row["at"][0].as_py()), good
 
+
+def cut(unit: int, keys: np.ndarray, counts: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+    """A unit's keys as one block per range, named by their first bits."""
+    parts = keys >> np.uint64(64 - bits) if bits else np.zeros_like(keys)
+    names, starts = np.unique(parts, return_index=True)
+    for name, a, b in zip(names.tolist(), starts, [*starts[1:], len(keys)]):
+        block = [0, name, unit, packed_keys(keys[a:b]), packed(counts[:, a:b].ravel())]
+        yield pa.RecordBatch.from_pylist([dict(zip(("team", "part", "unit", "keys", "counts"), block))])
+
+
+def handed_in(chunks: DataFrame, bits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                number, good, lengths, words, at = (c.slice(i, 1) for c in batch.columns)
-                found = Counts(flat(words), at[0].as_py(), flat(lengths), flat(good), buckets)
-                for kind, (keys, n, n_good) in enumerate(zip(found.keys, found.n, found.n_good)):
-                    rows = [np.full(len(keys), kind, np.int8), keys, np.full(len(keys), number[0].as_py()), n, n_good]
-                    yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], names=["kind", "key", "chunk", "n", "n_good"])
+                row = batch.slice(i, 1)
+                chunk, good = chunk_of(row)
+                yield from cut(row["chunk"][0].as_py(), chunk.keys, chunk.counts(good), bits)
 
-    rows = encoded.select("chunk", "good", "lengths", "words", "at")
-    return rows.mapInArrow(run, "kind tinyint, key bigint, chunk bigint, n bigint, n_good bigint")
+    return chunks.mapInArrow(run, BLOCK)
+
+
+def finer(blocks: DataFrame, bits: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield from cut(row["unit"], unpacked_keys(row["keys"]), unpacked_counts(row["counts"]), bits)
+
+    return blocks.mapInArrow(run, BLOCK)
+
+
+def merged(blocks: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """All keys of some blocks, their added counts, and for each block the
+    places of its keys."""
+    found = [unpacked_keys(k.as_py()) for k in blocks["keys"]]
+    keys, places = np.unique(np.concatenate(found), return_inverse=True)
+    counts = np.concatenate([unpacked_counts(c.as_py()) for c in blocks["counts"]], axis=1).astype(float)
+    sums = [np.bincount(places, row, len(keys)) for row in counts]
+    return keys, np.array(sums).astype(np.uint64), np.split(places, np.cumsum([len(f) for f in found])[:-1])
+
+
+def replies(blocks: pa.Table, totals: np.ndarray, places: list[np.ndarray], words: int) -> pa.Table:
+    """An answer to each block. The number of words is given once."""
+    rows = [packed(totals[:, p].ravel()) for p in places]
+    counted = [words] + [0] * (len(rows) - 1)
+    return pa.table({"unit": blocks["unit"], "part": blocks["part"], "totals": pa.array(rows, pa.binary()), "words": pa.array(counted, pa.int64())})
+
+
+def joined(answers: pa.Table) -> np.ndarray:
+    """The answers to one unit in the order of its keys."""
+    rows = answers.sort_by("part")["totals"]
+    return np.concatenate([np.zeros((4, 0), np.uint64), *[unpacked_counts(t.as_py()) for t in rows]], axis=1)
+
+
+def bits_of(n: int) -> int:
+    return max(n - 1, 0).bit_length()
+
+
+def answered(blocks: DataFrame, units: int, fan: int, bits: int) -> DataFrame:
+    """``ANSWER`` to the blocks of ``units`` units, which are cut by ``bits``
+    bits and have their ``team``."""
+    keys = ("team", "part")
+    teams = -(-units // fan)
+    if teams <= 1:
+
+        def merge(group: pa.Table) -> pa.Table:
+            found, sums, places = merged(group)
+            return replies(group, sums, places, int((found & np.uint64(1) == 0).sum()))
+
+        return blocks.groupBy(*keys).applyInArrow(merge, ANSWER)
+
+    def add(group: pa.Table) -> pa.Table:
+        found, sums, _ = merged(group)
+        team, part = group["team"][0].as_py(), group["part"][0].as_py()
+        return pa.Table.from_pylist([{"team": team, "part": part, "unit": team, "keys": packed_keys(found), "counts": packed(sums.ravel())}])
+
+    blocks = stored(blocks, "blocks")
+    added = stored(blocks.groupBy(*keys).applyInArrow(add, BLOCK), "added")
+    more = bits_of(min(teams, fan))
+    cut_again = finer(added, bits + more).withColumn("team", F.expr(f"unit div {fan}"))
+    above = answered(cut_again, teams, fan, bits + more)
+    above = above.select(F.col("unit").alias("team"), F.shiftright("part", more).alias("whole"), "part", "totals", "words")
+
+    def give(group: pa.Table, answers: pa.Table) -> pa.Table:
+        places = merged(group)[2]
+        return replies(group, joined(answers), places, sum(answers["words"].to_pylist()))
+
+    return blocks.groupBy(*keys).cogroup(above.groupBy("team", "whole")).applyInArrow(give, ANSWER)
 
 
 def score(
@@ -192,66 +300,62 @@ def score(
     labels: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    size: int | None = None,
-    buckets: int | None = None,
     mu: float = MU,
     chunk_tokens: int = CHUNK,
+    fan: int = FAN,
 ) -> DataFrame:
     """``id_col, n_tokens, target_loss, background_loss, score``: mean losses
     per token, and their difference."""
-    if buckets is not None and size is None:
-        raise ValueError("hash cells are for a fixed vocabulary")
-    words = None if size is None else vocabulary(docs, text_col, size)
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    marked = plain.join(good_ids(labels).withColumn("good", F.lit(True)), "id", "left")
-    marked = marked.select("id", "text", F.coalesce("good", F.lit(False)).alias("good"))
-    encoded = stored(encode(marked, words, "id", "text", "good", chunk_tokens), "encoded")
-    lengths = F.arrays_zip("lengths", "good")
-    sums = encoded.select(F.explode(lengths).alias("x")).agg(
-        F.sum("x.lengths"), F.sum(F.when(F.col("x.good"), F.col("x.lengths")))
-    )
-    whole, target = (n or 0 for n in sums.first())
+    encoded = stored(encode(plain, "id", "text", chunk_tokens), "encoded")
+    # Labels meet ids, never texts; a chunk gets the places of its good documents.
+    places = encoded.select("chunk", F.posexplode("ids").alias("place", "id"))
+    good = places.join(good_ids(labels), "id").groupBy("chunk").agg(F.collect_list("place").alias("good"))
+    chunks = encoded.join(good, "chunk", "left").withColumn("good", F.coalesce("good", F.array().cast("array<int>")))
+
+    def total(numbers: str) -> F.Column:
+        return F.sum(F.expr(f"aggregate({numbers}, 0L, (x, y) -> x + y)"))
+
+    own = "transform(good, g -> get(lengths, g))"
+    used = "size(filter({}, n -> n > 0))"
+    n_chunks, *sums = chunks.agg(
+        F.count("*"), total("lengths"), total(own), F.sum(F.expr(used.format("lengths"))), F.sum(F.expr(used.format(own)))
+    ).first()
+    whole, target, n_docs, n_good = (n or 0 for n in sums)
+
+    bits = bits_of(min(n_chunks, fan))
+    blocks = handed_in(chunks, bits)
+    teams = max(1, -(-n_chunks // fan))
+    blocks = blocks.withColumn("team", F.pmod(F.xxhash64("unit"), F.lit(teams)))
+    answers = stored(answered(blocks, n_chunks, fan, bits), "answers")
     # One more for words that are not in the vocabulary.
-    types = 1 + (encoded.select(F.explode("words")).distinct().count() if words is None else len(words))
-
-    # A key is one row of each chunk, so no group is large.
-    same = Window.partitionBy("kind", "key")
-    summed = chunk_counts(encoded, buckets).select(
-        "chunk", "kind", "key", "n", F.sum("n").over(same).alias("total"), F.sum("n_good").over(same).alias("total_good")
-    )
-    # What no other chunk has needs no answer.
-    answers = summed.where("total > n").drop("n")
+    types = 1 + (answers.agg(F.sum("words")).first()[0] or 0)
     key = encoded.schema["ids"].dataType.elementType.simpleString()
     schema = f"id {key}, n_tokens bigint, target double, background double"
 
-    def run(chunk: pa.Table, others: pa.Table) -> pa.Table:
-        lengths, good = flat(chunk["lengths"]), flat(chunk["good"])
-        found = Counts(flat(chunk["words"]), chunk["at"][0].as_py(), lengths, good, buckets)
-        kinds, keys, totals, totals_good = (
-            others[c].to_numpy() for c in ("kind", "key", "total", "total_good")
-        )
-        for kind in (WORD, BEFORE, PAIR):
-            mine = kinds == kind
-            at = np.searchsorted(found.keys[kind], keys[mine])
-            found.n[kind][at] = totals[mine]
-            found.n_good[kind][at] = totals_good[mine]
-
-        def means(n: list[np.ndarray], all_tokens: int, factor: float) -> np.ndarray:
-            single = (n[WORD] * factor + 1) / (all_tokens * factor + types)
-            top = n[PAIR][found.places[PAIR]] * factor + mu * single[found.places[WORD]]
-            losses = np.log((n[BEFORE] * factor + mu)[found.places[BEFORE]] / top)
-            sums = np.zeros(len(lengths))
-            used = lengths > 0
-            if used.any():
-                sums[used] = np.add.reduceat(losses, (np.cumsum(lengths) - lengths)[used])
-            return sums / np.maximum(lengths, 1)
-
-        background = means(found.n, whole, target / whole if target else 1.0)
-        aimed = means(found.n_good, target, 1.0) if target else background
-        ids = chunk["ids"].combine_chunks().flatten()
-        return pa.table({"id": ids, "n_tokens": lengths, "target": aimed, "background": background})
-
-    scored = encoded.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, schema)
+    def run(row: pa.Table, totals: pa.Table) -> pa.Table:
+        chunk = Chunk(flat(row["lengths"]), row["words"][0].as_py(), row["at"][0].as_py())
+        words, pairs = chunk.by_kind(joined(totals))
+
+        def means(n: int, last: int, all_tokens: int, all_docs: int, factor: float) -> np.ndarray:
+            single = (words[n] * factor + 1) / (all_tokens * factor + types)
+            # A word comes before another wherever it does not end a document.
+            before = np.empty(len(chunk.word))
+            before[1:] = (words[n] - words[last])[chunk.word[:-1]]
+            before[chunk.starts] = all_docs
+            top = pairs[n][chunk.pair] * factor + mu * single[chunk.word]
+            losses = np.log((before * factor + mu) / top)
+            sums = np.zeros(len(chunk.lengths))
+            if len(chunk.starts):
+                sums[chunk.lengths > 0] = np.add.reduceat(losses, chunk.starts)
+            return sums / np.maximum(chunk.lengths, 1)
+
+        background = means(N, LAST, whole, n_docs, target / whole if target else 1.0)
+        aimed = means(N_GOOD, LAST_GOOD, target, n_good, 1.0) if target else background
+        ids = row["ids"].combine_chunks().flatten()
+        return pa.table({"id": ids, "n_tokens": chunk.lengths, "target": aimed, "background": background})
+
+    scored = encoded.groupBy("chunk").cogroup(answers.groupBy("unit")).applyInArrow(run, schema)
     return scored.select(
         F.col("id").alias(id_col),
         "n_tokens",

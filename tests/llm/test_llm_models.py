@@ -179,52 +179,59 @@ def test_language_edges(spark):
 # --- language-model scores --------------------------------------------------
 
 
-def brute_scores(texts, good, size, buckets, mu):
+def brute_scores(texts, good, mu):
     docs = {i: [w.decode() for w in (t or "").encode().lower().split()] for i, t in texts.items()}
-    words = sorted(Counter(w for d in docs.values() for w in d).items(), key=lambda x: (-x[1], x[0]))[:size]
-    number = {w: i + 1 for i, (w, _) in enumerate(words)}
-    ids = {i: [number.get(w, 0) for w in d] for i, d in docs.items()}
-
-    def cell(a, b):
-        return (((a << 16 | b) * 0x9E3779B97F4A7C15) & (1 << 64) - 1) >> 64 - buckets
+    types = len({w for d in docs.values() for w in d}) + 1
 
     def model(chosen, factor):
         one, before, pair = Counter(), Counter(), Counter()
         for i in chosen:
-            for a, b in zip([0, *ids[i]], ids[i]):
+            for a, b in zip([None, *docs[i]], docs[i]):
                 one[b] += factor
                 before[a] += factor
-                pair[cell(a, b)] += factor
-        total = sum(one.values()) + len(number) + 1
-        return lambda a, b: -math.log((pair[cell(a, b)] + mu * (one[b] + 1) / total) / (before[a] + mu))
+                pair[a, b] += factor
+        total = sum(one.values()) + types
+        return lambda a, b: -math.log((pair[a, b] + mu * (one[b] + 1) / total) / (before[a] + mu))
 
-    scale = sum(len(ids[i]) for i in good) / sum(map(len, ids.values()))
-    target, background = model(good, 1), model(ids, scale)
+    scale = sum(len(docs[i]) for i in good) / sum(map(len, docs.values()))
+    target, background = model(good, 1), model(docs, scale)
     return {
-        i: tuple(sum(m(a, b) for a, b in zip([0, *d], d)) / len(d) if d else 0.0 for m in (target, background))
-        for i, d in ids.items()
+        i: tuple(sum(m(a, b) for a, b in zip([None, *d], d)) / len(d) if d else 0.0 for m in (target, background))
+        for i, d in docs.items()
     }
 
 
-@pytest.mark.parametrize("size,buckets", [(30, 8), (500, 18)])
-def test_scores_equal_brute_force(spark, size, buckets):
-    rng = random.Random(size)
+# One chunk; several at one level; two and three levels.
+@pytest.mark.parametrize("chunk_tokens,fan", [(1 << 20, 512), (200, 512), (100, 8), (60, 3)])
+def test_scores_equal_brute_force(spark, chunk_tokens, fan):
+    rng = random.Random(fan)
     vocab = [f"w{i}" for i in range(60)]
     texts = {i: " ".join(rng.choices(vocab, weights=range(1, 61), k=rng.randrange(80))) for i in range(60)}
-    texts |= {100: None, 101: "", 102: "Ünder W3 W3\tw3"}
+    texts |= {100: None, 101: "", 102: "Ünder W3 W3\tw3", 103: "w1 w2 " * 700}
     good = {i for i in texts if i % 3 == 0 and i < 60}
     labels = [(i, 1 if i in good else 0, 0) for i in texts if i % 2 == 0 or i in good] + [(4, 1, 1), (None, 1, 0), (999, 1, 0)]
     df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
     marked = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
-    rows = lmscore.score(df, marked, size=size, buckets=buckets, mu=5.0).collect()
-    expected = brute_scores(texts, good, size, buckets, 5.0)
+    named = df.withColumns({c: F.lit("x") for c in ("id", "chunk", "good", "unit", "words")})
+    rows = lmscore.score(named, marked, mu=5.0, chunk_tokens=chunk_tokens, fan=fan).collect()
+    expected = brute_scores(texts, good, 5.0)
     assert len(rows) == len(texts)
     for r in rows:
-        assert (r["target_loss"], r["background_loss"]) == pytest.approx(expected[r["doc_id"]], abs=1e-4)
+        assert (r["target_loss"], r["background_loss"]) == pytest.approx(expected[r["doc_id"]], abs=1e-9)
         assert r["score"] == pytest.approx(r["target_loss"] - r["background_loss"])
         assert r["n_tokens"] == len((texts[r["doc_id"]] or "").split())
 
 
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(5)
+    for top in (1, 255, 256, 1 << 16, 1 << 40, (1 << 64) - 1):
+        values = np.append(rng.integers(0, top, 500, dtype=np.uint64, endpoint=True), np.uint64(top))
+        assert np.array_equal(lmscore.unpacked(lmscore.packed(values)), values)
+        keys = np.unique(values)
+        assert np.array_equal(lmscore.unpacked_keys(lmscore.packed_keys(keys)), keys)
+    assert len(lmscore.unpacked(lmscore.packed(np.zeros(0, np.uint64)))) == 0
+
+
 def test_scores_are_of_exact_counts(spark):
     """More distinct words than fit into 16 bits, over many chunks."""
     rng = random.Random(8)
