@@ -16,10 +16,13 @@ objective is r' M^-1 r / 2 for the residual r = sum w_d a_d p_d - target, its
 gradient for w_d in the metric of the shares is p_d' M^-1 r, and a step of
 length 1 never overshoots. Once rates rest on a bound, M over the others is
 tried first, which takes fewer steps. Targets that rates can meet are met in a
-few steps. Targets at the edge of what is possible (0 for a domain that all
-documents belong to a little) would take thousands; the fit then ends after
-``STEPS`` steps, or when a step gains less than a hundredth, and ``Fit.reached``
-tells how far it came.
+few steps. Those at the edge of what is possible, or beyond it (0 for a domain
+that all documents belong to a little), would take thousands. Where ``STEPS``
+steps do not meet the targets, the fixed point of the projected gradient is
+sought directly: with a weight e on the distance from 1, it is one projected step
+clip(1 - p' l) with l = M^-1 r / e, and the few numbers l are found by Newton's
+method, each trial again one aggregate, for an e that shrinks until nothing is
+gained. ``Fit.reached`` tells where the expected shares ended.
 
 Everything is DataFrame expressions. Words are separated by ASCII white space
 and lower-cased; a null text has no words and no tokens, and its rate follows
@@ -34,7 +37,7 @@ from __future__ import annotations
 import functools
 import logging
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -55,6 +58,11 @@ ROUNDS = 300
 SHRINK = 1e-4
 STEPS = 12
 TOLERANCE = 1e-4
+# Weights on the distance from 1 in the search for a fixed point, and the gain
+# over the last one, in parts of the objective, below which it ends.
+NEARNESS = (1e-1, 1e-2, 1e-3, 1e-4, 1e-5, 1e-6)
+GAIN = 1e-3
+TRIALS = 40
 HASH_RANGE = 1 << 30
 
 # Domains of the ``labels`` table and how a row belongs to them.
@@ -235,7 +243,8 @@ def posteriors(df: DataFrame, model: Classifier, text_col: str, tokens: str, nam
 
 @dataclass
 class Fit:
-    """Steps of the descent, and expected shares before and after them."""
+    """Steps of the descent, or the one step to its fixed point, and expected
+    shares before and after."""
 
     upper: float | None
     targets: list[float]
@@ -254,6 +263,47 @@ class Fit:
         return w
 
 
+def inverse_of(matrix: np.ndarray) -> np.ndarray:
+    """A domain that hardly any document belongs to must not blow up steps."""
+    return np.linalg.pinv(matrix, rcond=1e-9, hermitian=True)
+
+
+def fixed_point(
+    measure: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], goal: np.ndarray, matrix: np.ndarray, inverse: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The step l from rates of 1 that least squares end at, and the expected
+    shares there. ``measure`` gives the shares for a step, and M over the
+    documents whose rates are off their bounds."""
+    step = np.zeros(len(goal))
+    shares, near = measure(step)
+    last = math.inf
+    for weight in NEARNESS:
+
+        def miss(step: np.ndarray, shares: np.ndarray) -> np.ndarray:
+            return weight * matrix @ step - (shares - goal)
+
+        error = miss(step, shares)
+        for _ in range(TRIALS):
+            if np.abs(error).max() <= TOLERANCE / 10:
+                break
+            way = -inverse_of(near + weight * matrix) @ error
+            for length in (1.0, 0.5, 0.25, 0.1, 0.03, 0.01):
+                trial = step + length * way
+                new, off = measure(trial)
+                left = miss(trial, new)
+                if left @ inverse @ left < error @ inverse @ error * (1 - length / 10):
+                    break
+            else:
+                break
+            step, shares, near, error = trial, new, off, left
+        residual = shares - goal
+        value = residual @ inverse @ residual
+        if np.abs(residual).max() <= TOLERANCE or value > last * (1 - GAIN):
+            break
+        last = value
+    return step, shares
+
+
 def fit(
     rows: DataFrame,
     names: Sequence[str],
@@ -275,7 +325,7 @@ def fit(
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
 
     def measure(rate: Column, free: Column) -> tuple[np.ndarray, np.ndarray]:
-        """Expected shares, and the inverse of M over documents with ``free``."""
+        """Expected shares, and M over documents with ``free``."""
         rated = rows.withColumn("_rate", F.when(free_rows, rate).otherwise(1.0))
         weight = share * F.when(free & free_rows, 1.0).otherwise(0.0)
         sums = rated.agg(
@@ -285,10 +335,17 @@ def fit(
         matrix = np.zeros((k, k))
         for (i, j), value in zip(pairs, sums[k:]):
             matrix[i, j] = matrix[j, i] = value
-        # A domain that hardly any document belongs to must not blow up steps.
-        return np.array(sums[:k]), np.linalg.pinv(matrix, rcond=1e-9, hermitian=True)
+        return np.array(sums[:k]), matrix
+
+    def inside(upper: float | None) -> Column:
+        free = F.col("_rate") > 0.0
+        return free if upper is None else free & (F.col("_rate") < upper)
+
+    def measure_at(step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return measure(Fit(upper, [], [step.tolist()]).rate(names), inside(upper))
 
-    start, whole = measure(F.lit(1.0), F.lit(True))
+    start, matrix = measure(F.lit(1.0), F.lit(True))
+    whole = inverse_of(matrix)
     goal = np.array(targets, dtype=float) * (start if relative else 1.0)
     result = Fit(upper, goal.tolist(), [], start.tolist(), start.tolist())
     reached, inverse = start, whole
@@ -301,10 +358,8 @@ def fit(
         for metric in (inverse, whole):
             result.steps.append((metric @ residual).tolist())
             rate = result.rate(names)
-            free = F.col("_rate") > 0.0
-            if upper is not None:
-                free = free & (F.col("_rate") < upper)
-            new, near = measure(rate, free)
+            new, near = measure(rate, inside(upper))
+            near = inverse_of(near)
             if (new - goal) @ whole @ (new - goal) < residual @ whole @ residual * (1 - 1e-2):
                 break
             result.steps.pop()
@@ -312,6 +367,10 @@ def fit(
             break
         reached, inverse = new, near
         result.reached = reached.tolist()
+    if np.abs(reached - goal).max() > TOLERANCE:
+        step, ended = fixed_point(measure_at, goal, matrix, whole)
+        if (ended - goal) @ whole @ (ended - goal) < (reached - goal) @ whole @ (reached - goal):
+            result.steps, result.reached = [step.tolist()], ended.tolist()
     return result
 
 
