@@ -3,9 +3,12 @@
 Three base kinds are plain patterns. The fourth, ``entropy``, looks at
 candidate strings of a character class (hexadecimal digits, base64), moves a
 window of fixed width over each and keeps the Shannon entropy of the window up
-to date by the two counts that change. A candidate is reported from the first
-window over the class's threshold to the end of the last one, unless an
-allow-list pattern occurs in it or a base span covers it.
+to date by the two counts that change. Allow-list patterns are looked for in the
+whole candidate; windows that overlap what they match are passed over, and each
+stretch between is reported from the first window over the class's threshold to
+the end of the last one, unless a base span covers it. Short windows have to hold
+several kinds of characters as well, as words and paths of 16 letters have about
+the entropy of a random string.
 
 Positions are code points, ends exclusive. A null text has no spans. Texts of
 any length are scanned whole; a scan takes time in proportion to the text.
@@ -15,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+import string
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -41,17 +45,24 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 
 @dataclass(frozen=True)
 class CharClass:
-    """Candidates of a class: their pattern, and the window that decides."""
+    """Candidates of a class: their pattern, and the window that decides. It
+    has ``least`` characters of every string in ``kinds``."""
 
     pattern: str
     width: int
     bits: float
+    kinds: tuple[str, ...] = ()
+    least: int = 2
 
 
 # A random string of the class stays above these values in most windows, words
 # and numbers stay below. A hexadecimal window of 24 characters has 4 bits at
-# most, a base64 one log2(24) = 4.58.
+# most, a base64 one log2(24) = 4.58; one of 16 has 4 in either class.
+CASES = (string.digits, string.ascii_uppercase, string.ascii_lowercase)
 CLASSES = (
+    CharClass(r"[0-9A-Fa-f]{16,}", 16, 3.0, (string.digits, "abcdefABCDEF")),
+    CharClass(r"[A-Za-z0-9+/_-]{16,}={0,2}", 16, 3.5, CASES),
+    CharClass(r"[A-Za-z0-9+/_-]{20,}={0,2}", 20, 3.7, CASES),
     CharClass(r"[0-9A-Fa-f]{24,}", 24, 3.2),
     CharClass(r"[A-Za-z0-9+/_-]{24,}={0,2}", 24, 4.05),
 )
@@ -60,7 +71,7 @@ CLASSES = (
 ALLOWED = (
     r"^[0-9]+$",
     r"^[A-Za-z]+$",
-    r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
+    r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}(?![0-9A-Fa-f])",
     r"(?i)example|sample|placeholder|dummy|changeme|redacted",
     r"(?i)abcdefghij|0123456789",
 )
@@ -87,16 +98,24 @@ class Scanner:
         random = set()
         for pattern, rule in self.classes:
             for m in pattern.finditer(text):
-                if any(a.search(m[0]) for a in self.allowed):
-                    continue
-                hot = random_part(m[0], rule.width, rule.bits)
-                if hot:
-                    random.add((m.start() + hot[0], m.start() + hot[1]))
+                for a, b in self.gaps(m[0]):
+                    hot = random_part(m[0][a:b], rule.width, rule.bits, rule.kinds, rule.least)
+                    if hot:
+                        random.add((m.start() + a + hot[0], m.start() + a + hot[1]))
         base = sorted((s, e) for s, _, e in found)
         found += [(s, 3, e) for s, e in widest(random) if not any(a <= s and e <= b for a, b in base)]
         return sorted(found)
 
 
+    def gaps(self, candidate: str) -> Iterator[tuple[int, int]]:
+        """The stretches between allow-list matches."""
+        at = 0
+        for start, end in widest({m.span() for a in self.allowed for m in a.finditer(candidate) if m[0]}):
+            yield at, start
+            at = end
+        yield at, len(candidate)
+
+
 def widest(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     """Overlapping spans of several classes as one."""
     out: list[tuple[int, int]] = []
@@ -108,13 +127,18 @@ def widest(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def random_part(text: str, width: int, bits: float) -> tuple[int, int] | None:
-    """From the first to the last window whose entropy is at least ``bits``.
+def random_part(
+    text: str, width: int, bits: float, kinds: Sequence[str] = (), least: int = 0
+) -> tuple[int, int] | None:
+    """From the first to the last window whose entropy is at least ``bits`` and
+    that has ``least`` characters of each of ``kinds``.
 
     H = log2(w) - sum(c log2 c) / w over the counts c, so a step changes two
     terms of one sum. Rounding cannot pile up: the terms come from a table, in
     whole multiples of 2**-40.
     """
+    if len(text) < width:
+        return None
     unit = 1 << 40
     terms = [0] + [round(c * math.log2(c) * unit) for c in range(1, width + 1)]
     most = (math.log2(width) - bits) * width * unit
@@ -130,7 +154,7 @@ def random_part(text: str, width: int, bits: float) -> tuple[int, int] | None:
             c = counts[old]
             counts[old] = c - 1
             total += terms[c - 1] - terms[c]
-        if i >= width - 1 and total <= most:
+        if i >= width - 1 and total <= most and all(sum(counts.get(c, 0) for c in kind) >= least for kind in kinds):
             first = i - width + 1 if first is None else first
             last = i + 1
     return None if first is None else (first, last)

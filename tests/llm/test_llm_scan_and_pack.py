@@ -67,7 +67,15 @@ def test_entropy_counts_are_incremental():
 def test_entropy_finds_what_patterns_miss_and_allows_what_is_listed():
     text = f"see {MIXED} end"
     assert secrets.scan(text) == [(4, 3, 4 + len(MIXED))]
-    assert secrets.scan(text, allowed=(re.escape(MIXED[:5]),)) == []
+    # Only windows that overlap a match are passed over.
+    assert secrets.scan(text, allowed=(re.escape(MIXED[:5]),)) == [(9, 3, 4 + len(MIXED))]
+    assert secrets.scan(text, allowed=(re.escape(MIXED[12:28]),)) == []
+    for path, token in (("/sample/keys/", MIXED), ("docs/example_", MIXED[:20]), ("", MIXED[:16]), ("", "A3F09B27C4D81E65")):
+        (start, kind, end), = secrets.scan(f"at {path}{token}.")
+        assert kind == 3 and start <= 3 + len(path) + 4 and end == 3 + len(path + token), token
+    for fine in ("/usr/local/share/python3/site-packages", "internationalization_of_words", "9807915762804490",
+                 "release-2024-01-31-final", "HttpServletRequestWrapper2", "aaaaBBBB1111aaaaBBBB1111"):
+        assert [s for s in secrets.scan(f"see {fine} end") if s[1] == 3] == [], fine
     assert secrets.scan("id 123E4567-E89B-12D3-A456-426614174000 zzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzz") == []
     # A base span stays whatever is allowed, and is not reported twice.
     assert [s[1] for s in secrets.scan(f"token={KEY}", allowed=(".",))] == [0, 2]
