@@ -53,7 +53,7 @@ class Encoder:
     there, and a word that was seen before needs no second encoding.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -65,6 +65,7 @@ class Encoder:
             self.opens[i] = token.startswith("Ġ")
             self.closes[i] = token.endswith((".", "!", "?")) or "Ċ" in token
         # Words of the full generation before move back when they are seen again.
+        self.cache_words = cache_words
         self.seen: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -73,7 +74,7 @@ class Encoder:
 
     def ids(self, text: str) -> np.ndarray:
         words = text.split(" ")
-        if len(self.seen) > CACHE_WORDS:
+        if len(self.seen) > self.cache_words:
             self.seen, self.older = {}, self.seen
         new = self.unseen(words[1:])
         own: dict[str, bytes] = {}
@@ -113,15 +114,15 @@ class Encoder:
                 self.seen[word] = self.plain(" " + word).tobytes()
 
 
-def worker_encoder(path: str) -> Encoder:
+def worker_encoder(path: str, cache_words: int = CACHE_WORDS) -> Encoder:
     """The encoder of this Python worker. A worker runs many tasks one after
     another; kept on a module that stays loaded, the encoder and the words it
     has seen serve them all."""
     kept = sys.modules.setdefault("_tallyroad_worker", types.ModuleType("_tallyroad_worker"))
     encoders = kept.__dict__.setdefault("encoders", {})
-    if path not in encoders:
-        encoders[path] = Encoder(path)
-    return encoders[path]
+    if (path, cache_words) not in encoders:
+        encoders[path, cache_words] = Encoder(path, cache_words)
+    return encoders[path, cache_words]
 
 
 def cut_points(ids: np.ndarray, closes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
