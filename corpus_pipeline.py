@@ -6,6 +6,8 @@ return the columns of ``documents``.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyroad.llm import langid, mixing, packing, secrets, simhash
@@ -14,6 +16,8 @@ from tallyroad.llm.queries import language_rows, vocabulary
 
 # How much of each domain's expected tokens stays.
 KEEP = {"clean": 1.0, "low": 0.4, "toxic": 0.1}
+# Words that each of two generations of a packing worker remembers.
+CACHE_WORDS = 150_000
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +51,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 tokens, one row per piece of a document."""
     small_batches(spark)
-    return packing.pack(docs, vocabulary())
+    # Workers of other stages keep their models in memory beside it.
+    encoder = functools.partial(packing.worker_encoder, cache_words=CACHE_WORDS)
+    return packing.pack(docs, vocabulary(), encoder=encoder)
 
 
 STAGES = [
