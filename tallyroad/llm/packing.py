@@ -53,7 +53,7 @@ class Encoder:
     there, and a word that was seen before needs no second encoding.
     """
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str, cache_words: int | None = None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -65,7 +65,7 @@ class Encoder:
             self.opens[i] = token.startswith("Ġ")
             self.closes[i] = token.endswith((".", "!", "?")) or "Ċ" in token
         # Words of the full generation before move back when they are seen again.
-        self.cache_words = cache_words
+        self.cache_words = CACHE_WORDS if cache_words is None else cache_words
         self.seen: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -114,7 +114,7 @@ class Encoder:
                 self.seen[word] = self.plain(" " + word).tobytes()
 
 
-def worker_encoder(path: str, cache_words: int = CACHE_WORDS) -> Encoder:
+def worker_encoder(path: str, cache_words: int | None = None) -> Encoder:
     """The encoder of this Python worker. A worker runs many tasks one after
     another; kept on a module that stays loaded, the encoder and the words it
     has seen serve them all."""
