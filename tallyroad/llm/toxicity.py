@@ -18,11 +18,13 @@ Repeated ids are separate rows; an id labelled both ways counts as toxic.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyroad.llm.common import byte_blocks, stored
@@ -37,6 +39,8 @@ FAIRNESS = 4.0
 # How many standard deviations a word's toxic share has to be from the whole.
 SIGMAS = 3.0
 WORD = re.compile(r"\w+")
+# Features a task counts before it hands its counts on.
+COUNTED = 200_000
 # Lengths of word beginnings; they are written with a star.
 BEGINNINGS = (4, 5, 6)
 
@@ -158,24 +162,46 @@ def labelled_ids(labels: DataFrame, id_col: str = "doc_id", label_col: str = "to
     return one.where(F.pmod(F.xxhash64("id"), F.lit(HASH_RANGE)) < below)
 
 
+def counted(batches: Iterator[pa.RecordBatch], limit: int = COUNTED) -> Iterator[pa.RecordBatch]:
+    """``word, n, bad`` of batches of ``label, text``: texts, and texts of label
+    1, that have the feature. A word comes again after ``limit`` others."""
+    n: Counter[str] = Counter()
+    bad: Counter[str] = Counter()
+
+    def taken() -> pa.RecordBatch:
+        columns = [pa.array(n, pa.string()), pa.array(n.values(), pa.int64()), pa.array([bad[w] for w in n], pa.int64())]
+        n.clear(), bad.clear()
+        return pa.RecordBatch.from_arrays(columns, names=["word", "n", "bad"])
+
+    for batch in batches:
+        for label, text in zip(batch.column(0), batch.column(1)):
+            found = features(text.as_py())
+            n.update(found)
+            if label.as_py() == 1:
+                bad.update(found)
+            if len(n) >= limit:
+                yield taken()
+    if n:
+        yield taken()
+
+
 def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> Model:
     """``labelled`` (``id, label``) is bounded, so it may be broadcast."""
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.col("_text").isNotNull())
     mine = texts.join(F.broadcast(labelled), F.col("_id") == F.col("id"))
 
-    @F.pandas_udf("array<string>")
-    def named(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: sorted(features(t)))
-
-    rows = stored(mine.select("id", "label", named(F.col("_text")).alias("words")), "toxicity-sample")
+    # The sample is kept as texts: arrays of all their features would go through
+    # the JVM's heap three times, and most features occur in one text only.
+    rows = stored(mine.select("id", "label", F.col("_text").alias("text")), "toxicity-sample")
     sizes = {r[0]: r[1] for r in rows.groupBy("label").count().collect()}
     toxic, total = sizes.get(1, 0), sum(sizes.values())
     if not 0 < toxic < total:
         return train([], np.array([1.0] if toxic else []), [])
     counts = (
-        rows.select("label", F.explode("words").alias("word"))
+        rows.select("label", "text")
+        .mapInArrow(counted, "word string, n bigint, bad bigint")
         .groupBy("word")
-        .agg(F.count("*").alias("n"), F.count(F.when(F.col("label") == 1, 1)).alias("bad"))
+        .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     )
     # How far the word's toxic share is from the whole, in standard deviations.
     share = toxic / total
@@ -183,8 +209,14 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     best = counts.where((F.col("n") >= LEAST_DOCS) & (far >= SIGMAS)).orderBy(far.desc(), "word").limit(words).collect()
     terms = {t for family in FAMILIES for t in family}
     chosen = sorted({r["word"] for r in best} | terms)
-    known = F.array_intersect("words", F.array(*[F.lit(w) for w in chosen]))
-    sample = sorted((r[0], r[1], r[2]) for r in rows.select("id", "label", known).collect())
+
+    @F.pandas_udf("array<string>")
+    def present(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = Known(chosen)
+        for texts in parts:
+            yield texts.map(lambda t: sorted(known.present(t)))
+
+    sample = sorted((r[0], r[1], r[2]) for r in rows.select("id", "label", present("text")).collect())
     return train([set(r[2]) for r in sample], np.array([float(r[1]) for r in sample]), chosen)
 
 

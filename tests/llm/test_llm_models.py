@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -409,6 +410,41 @@ def test_toxicity_edges(spark):
     assert toxicity.Known(["idiot", "absent", "idio*", "wor*"]).present(long) == {"idiot", "idio*"}
 
 
+def test_sample_is_kept_as_texts(spark, monkeypatch):
+    """Arrays of features filled the executors' heap; the model is that of a plain count."""
+    rng = random.Random(3)
+    rows = [(i // 2 if i < 20 else i, " ".join(rng.choices(["fool", "Fools", "kind", "a_b", "über"] + [f"w{k}" for k in range(40)], k=12)), i % 3) for i in range(300)]
+    rows += [(900, None, 0), (901, "", 1)]
+    df = spark.createDataFrame([(i, t if k or t is None else t + " rotten") for i, t, k in rows], "doc_id bigint, text string")
+    marks = {i: int(k == 0) for i, _, k in rows}
+    kept = []
+    monkeypatch.setattr(toxicity, "stored", lambda frame, name, f=toxicity.stored: kept.append(frame) or f(frame, name))
+    model = toxicity.fit(df, toxicity.labelled_ids(spark.createDataFrame([*marks.items()], "doc_id bigint, toxic int")))
+    assert [f.dtypes for f in kept] == [[("id", "bigint"), ("label", "int"), ("text", "string")]]
+    sample = sorted((r[0], marks[r[0]], sorted(toxicity.features(r[1]))) for r in df.collect() if r[1] is not None)
+    share = sum(r[1] for r in sample) / len(sample)
+    chosen = {t for family in toxicity.FAMILIES for t in family}
+    for word in set().union(*(r[2] for r in sample)):
+        has = [r[1] for r in sample if word in r[2]]
+        far = abs(sum(has) - len(has) * share) / math.sqrt(len(has) * (share * (1 - share)) + 1)
+        chosen |= {word} if len(has) >= toxicity.LEAST_DOCS and far >= toxicity.SIGMAS else set()
+    words = sorted(chosen)
+    plain = toxicity.train([set(r[2]) & chosen for r in sample], np.array([float(r[1]) for r in sample]), words)
+    assert "rotten" in words and model.words == words
+    assert np.allclose(model.weights, plain.weights) and np.isclose(model.base, plain.base)
+
+
+def test_feature_counts_in_parts():
+    texts = ["ab cd", "ab", "", "ab ef cd"] * 3
+    batch = pa.RecordBatch.from_pydict({"label": [1, 0, 1, 0] * 3, "text": texts})
+    for limit in (1, 2, 100):
+        got = {}
+        for part in toxicity.counted(iter([batch, batch]), limit):
+            for word, n, bad in zip(*(c.to_pylist() for c in part.columns)):
+                got[word] = [a + b for a, b in zip(got.get(word, [0, 0]), (n, bad))]
+        assert got == {"ab": [18, 6], "cd": [12, 6], "ef": [6, 0]}
+
+
 def test_known_features_are_those_of_the_text():
     texts = ["Idiots and idiot, idi", "", None, "Äußerst schöne-Wörter_1", "a b abcd abcdefgh"]
     every = sorted(set().union(*map(toxicity.features, texts)))
