@@ -24,10 +24,12 @@ import re
 import sys
 import types
 from collections import ChainMap, deque
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from operator import ne
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -41,6 +43,9 @@ END_ID = 0
 # in one call.
 CACHE_WORDS = 600_000
 CALL_WORDS = 2_000
+# Characters of the texts whose words are looked up together. Longer texts are
+# looked up alone.
+TEXT_BLOCK = 1 << 21
 
 COLUMNS = "start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -95,6 +100,50 @@ class Encoder:
         rest = b"".join(map(known.__getitem__, words[1:]))
         return np.concatenate([self.plain(words[0]), np.frombuffer(rest, dtype="<u4")])
 
+    def many(self, texts: list[str], last: Sequence[int] = ()) -> Iterator[np.ndarray]:
+        """``ids`` of each text, and ``last``. The words of all texts are looked
+        up together, each once; meant for texts of ``TEXT_BLOCK`` characters in all."""
+        if len(self.seen) > self.cache_words:
+            self.seen, self.older = {}, self.seen
+        end = np.array(last, dtype="<u4")
+        parts = [text.partition(" ") for text in texts]
+        lists = pc.split_pattern(pa.array([rest if space else None for _, space, rest in parts], pa.string()), " ")
+        edges = np.asarray(lists.offsets)
+        coded = lists.values.dictionary_encode()
+        words = joined(coded.dictionary)
+        # The same unsafe places as in ``ids``, where such a text goes.
+        unsafe = np.fromiter(map(ne, map(str.strip, words), words), dtype=bool, count=len(words))
+        if "" in words:
+            unsafe[words.index("")] = True
+        alone = {i for i, (first, _, _) in enumerate(parts) if first != first.rstrip()}
+        if unsafe.any():
+            at = np.flatnonzero(unsafe[np.asarray(coded.indices)])
+            alone.update((np.searchsorted(edges, at, side="right") - 1).tolist())
+        found = list(map(self.seen.get, words))
+        lost = [k for k, ids in enumerate(found) if ids is None]
+        if unsafe.any():
+            lost = [k for k in lost if not unsafe[k]]
+        if self.older:
+            back = [k for k in lost if words[k] in self.older]
+            for k in back:
+                found[k] = self.seen[words[k]] = self.older[words[k]]
+            if back:
+                lost = [k for k in lost if found[k] is None]
+        for at in range(0, len(lost), CALL_WORDS):
+            these = lost[at : at + CALL_WORDS]
+            for k, ids in zip(these, self.learn([words[k] for k in these])):
+                found[k] = ids
+        # A word without ids belongs to texts that are looked up alone.
+        rows = pa.array(found, pa.binary()).take(coded.indices)
+        _, ends, data = rows.buffers()
+        ids = np.frombuffer(data, dtype="<u4") if data else end[:0]
+        edges = np.frombuffer(ends, dtype=np.int32)[edges] // 4 if len(rows) else edges
+        for i, (first, _, _) in enumerate(parts):
+            if i in alone:
+                yield np.concatenate([self.ids(texts[i]), end])
+            else:
+                yield np.concatenate([self.plain(first), ids[edges[i] : edges[i + 1]], end])
+
     def unseen(self, words: list[str]) -> set[str]:
         new = set(words).difference(self.seen)
         back = [w for w in new if w in self.older] if self.older else []
@@ -102,16 +151,25 @@ class Encoder:
             self.seen[word] = self.older[word]
         return new.difference(back)
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: list[str]) -> list[bytes]:
         ids = self.plain(" " + " ".join(words))
         starts = np.flatnonzero(self.opens[ids])
         if len(starts) == len(words):
-            ends = [*starts[1:].tolist(), len(ids)]
-            for word, a, b in zip(words, starts.tolist(), ends):
-                self.seen[word] = ids[a:b].tobytes()
+            edges = [*(starts * ids.itemsize).tolist(), ids.nbytes]
+            data = ids.tobytes()
+            found = [data[a:b] for a, b in zip(edges, edges[1:])]
         else:  # a word with inner white space
-            for word in words:
-                self.seen[word] = self.plain(" " + word).tobytes()
+            found = [self.plain(" " + word).tobytes() for word in words]
+        self.seen.update(zip(words, found))
+        return found
+
+
+def joined(words: pa.StringArray) -> list[str]:
+    """The words, which hold no space, as Python strings (``to_pylist`` takes
+    several times as long)."""
+    if not len(words):
+        return []
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), " ")[0].as_py().split(" ")
 
 
 def worker_encoder(path: str, cache_words: int | None = None) -> Encoder:
@@ -267,16 +325,35 @@ def pack(
                 names=[id_col, "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
             )
 
+        def blocks() -> Iterator[tuple[list, list[str]]]:
+            keys, texts, size = [], [], 0
+            for batch in batches:
+                id_type[:] = [batch.column(0).type]
+                for doc_id, text in zip(batch.column(0), batch.column(1)):
+                    text = text.as_py() or ""
+                    if texts and size + len(text) > TEXT_BLOCK:
+                        yield keys, texts
+                        keys, texts, size = [], [], 0
+                    keys.append(doc_id.as_py())
+                    texts.append(text)
+                    size += len(text)
+            if texts:
+                yield keys, texts
+
+        def encoded() -> Iterator[tuple[object, np.ndarray]]:
+            for keys, texts in blocks():
+                if len(texts) > 1:
+                    yield from zip(keys, coder.many(texts, [END_ID]))
+                else:
+                    yield keys[0], np.append(coder.ids(texts[0]), np.array([END_ID], dtype="<u4"))
+
         pieces: list[tuple] = []
-        for batch in batches:
-            id_type = id_type or [batch.column(0).type]
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                ids = np.append(coder.ids(text.as_py() or ""), np.array([END_ID], dtype="<u4"))
-                for piece in packer.add(doc_id.as_py(), ids):
-                    pieces.append(piece)
-                    if len(pieces) >= 4096:
-                        yield table(pieces)
-                        pieces = []
+        for doc_id, ids in encoded():
+            for piece in packer.add(doc_id, ids):
+                pieces.append(piece)
+                if len(pieces) >= 4096:
+                    yield table(pieces)
+                    pieces = []
         pieces += packer.flush(True)
         if pieces:
             yield table(pieces)

@@ -183,6 +183,39 @@ def test_encoder_equals_plain_tokenizer():
             assert encoder.ids(text).tolist() == encoder.plain(text).tolist(), text
 
 
+ODD_TEXTS = [
+    "Plain words, and more words. Words!\nNext line\n\nTwo words,", "", "one", " ", "  ", "trail ", " lead", "a  b", "a b", "b\n c d", "b c\nd e", "a\u00a0 b",
+    "x \u3000y z", "é 漢字 😀 é", "a \x85b \x1c c", "<|endoftext|> in <|endoftext|>text", "it's we'll don't", "tab\tonly here", "z" * 3000 + " z", "a b",
+]
+
+
+@pytest.mark.parametrize("cache_words", [None, 3])
+def test_texts_encoded_together_equal_single_ones(cache_words):
+    encoder = packing.Encoder(queries.vocabulary(), cache_words)
+    for texts in (ODD_TEXTS, ODD_TEXTS[::-1], ["", ""], ["one", "two"], ODD_TEXTS * 3, ["fresh word a", "b fresh  word", "c fresh"]):
+        got = list(encoder.many(texts, [0]))
+        assert [g.tolist() for g in got] == [[*encoder.plain(t).tolist(), 0] for t in texts]
+        assert all(g.dtype == np.dtype("<u4") for g in got)
+    assert list(encoder.many([])) == []
+
+
+def test_words_of_texts_are_looked_up_together(monkeypatch):
+    """Each word of a block is encoded once, however small the memory."""
+    encoder = packing.Encoder(queries.vocabulary(), 2)
+    learnt = []
+    monkeypatch.setattr(encoder, "learn", lambda words, f=encoder.learn: learnt.extend(words) or f(words))
+    texts = [" ".join(f"wörd{(i + j) % 50}" for j in range(20)) for i in range(200)]
+    assert [a.tolist() for a in encoder.many(texts)] == [encoder.plain(t).tolist() for t in texts]
+    assert sorted(learnt) == sorted({f"wörd{k}" for k in range(50)})
+
+
+def test_packing_of_texts_around_a_long_one(spark):
+    texts = ["first text", "a bc " * (packing.TEXT_BLOCK // 4), None, *ODD_TEXTS]
+    encoder = packing.Encoder(queries.vocabulary())
+    rows = packing.pack(docs_of(spark, texts).coalesce(1), queries.vocabulary()).collect()
+    check_pieces(rows, {i: [*encoder.plain(t or "").tolist(), 0] for i, t in enumerate(texts)})
+
+
 def test_cuts_are_optimal():
     rng = np.random.default_rng(0)
     for closed in (True,):
